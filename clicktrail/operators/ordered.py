@@ -22,7 +22,6 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 from dataclasses import dataclass, replace
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,11 +29,17 @@ from pyspark.sql.window import Window, WindowSpec
 
 from clicktrail.session import ensure_checkpoint_dir
 
-# More rows than this are not given to one task. It also bounds the number of
-# hot keys and slices to (rows of the table / HOT_ROWS).
+# A key with more rows than this is sliced. At most (rows of the table /
+# HOT_ROWS) keys can be hot.
 HOT_ROWS = 1_000_000
-# Largest key or slice table that is broadcast; larger ones are shuffle-joined.
-BROADCAST_ROWS = 10_000
+# Rows per slice, as a multiple of `hot_rows`. Keeps the number of shuffle
+# partitions in the tens of thousands for 10^11 hot rows.
+SLICE_FACTOR = 4
+# Largest tables that are broadcast, here a few MB each: the hot keys, which
+# also pass the driver, and one row per (hot key, slice). Larger ones are
+# joined by shuffle.
+BROADCAST_KEYS = 10_000
+BROADCAST_SLICES = 100_000
 # Copies of one row that a single task writes out.
 COPIES_PER_BLOCK = 100_000
 
@@ -162,7 +167,11 @@ class KeySum(RunningSum):
 
 @dataclass(frozen=True)
 class Ordered:
-    """Rows with a key and an order; `slices` is 0 where a key fits one task."""
+    """Rows with a key and an order.
+
+    `slices` bounds the number of (key, slice) pairs; it is 0 where every key
+    fits one task.
+    """
 
     frame: DataFrame
     key: str
@@ -195,7 +204,7 @@ class Ordered:
             F.col(SLICE).alias("_carry_slice"),
             *[s.carry(F.col(n), across).alias(f"_carry_{n}") for n, s in steps.items()],
         )
-        if self.slices <= BROADCAST_ROWS:
+        if self.slices <= BROADCAST_SLICES:
             carried = F.broadcast(carried)
         here = self.frame.withColumns({f"_local_{n}": s.local(inside) for n, s in steps.items()})
         joined = here.join(
@@ -218,32 +227,43 @@ class Ordered:
 
 @dataclass(frozen=True)
 class HotKeys:
-    """The keys with more than the allowed rows, and how many rows they hold."""
+    """The keys with more rows than allowed, their number and all their rows."""
 
     keys: DataFrame
+    count: int
     rows: int
-    small: bool
 
 
 def find_hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> HotKeys | None:
     """Count rows per key and return the hot keys, None if there are none.
 
-    At most BROADCAST_ROWS + 1 keys reach the driver; if there are more, the
-    count stays a distributed table.
+    At most BROADCAST_KEYS + 1 keys reach the driver; if there are more, the
+    keys stay a distributed table.
     """
     counts = (
         df.groupBy(F.col(key).alias("_hot_key"))
         .agg(F.count("*").alias("_hot_rows"))
         .filter(F.col("_hot_rows") > hot_rows)
     )
-    found = counts.limit(BROADCAST_ROWS + 1).collect()
+    found = counts.limit(BROADCAST_KEYS + 1).collect()
     if not found:
         return None
-    if len(found) <= BROADCAST_ROWS:
+    if len(found) <= BROADCAST_KEYS:
         keys = df.sparkSession.createDataFrame(found, counts.schema).select("_hot_key")
-        return HotKeys(F.broadcast(keys), sum(r["_hot_rows"] for r in found), True)
-    total = counts.agg(F.sum("_hot_rows")).first()[0]
-    return HotKeys(counts.select("_hot_key"), total, False)
+        return HotKeys(F.broadcast(keys), len(found), sum(r["_hot_rows"] for r in found))
+    number, total = counts.agg(F.count("*"), F.sum("_hot_rows")).first()
+    return HotKeys(counts.select("_hot_key"), number, total)
+
+
+def hot_limit(df: DataFrame, key: str, hot_rows: int | None = HOT_ROWS) -> int | None:
+    """`hot_rows` if any key exceeds it, else None.
+
+    For callers of several operators on the same events: pass the answer as
+    their `hot_rows`, and they skip the count where no key is hot.
+    """
+    if hot_rows is None or find_hot_keys(df, key, hot_rows) is None:
+        return None
+    return hot_rows
 
 
 def _number_copies(rows: DataFrame, tasks: int) -> DataFrame:
@@ -264,7 +284,7 @@ def _number_copies(rows: DataFrame, tasks: int) -> DataFrame:
     return blocks.select(*columns, F.explode(F.sequence(first, last)).alias(COPY))
 
 
-def _slice(rows: DataFrame, key: str, order: tuple[str, ...], tasks: int) -> Ordered:
+def _slice(rows: DataFrame, key: str, order: tuple[str, ...], hot: HotKeys, tasks: int) -> Ordered:
     """Cut each key's rows into consecutive slices of about equal size.
 
     The checkpoint is reliable storage: range bounds come from sampling, and
@@ -278,7 +298,7 @@ def _slice(rows: DataFrame, key: str, order: tuple[str, ...], tasks: int) -> Ord
         .withColumn(SLICE, F.spark_partition_id())
         .checkpoint()
     )
-    return Ordered(sliced, key, order, slices=tasks)
+    return Ordered(sliced, key, order, slices=tasks + hot.count)
 
 
 def per_key_order(
@@ -300,11 +320,7 @@ def per_key_order(
     match = df[key].eqNullSafe(hot.keys["_hot_key"])
     cold_rows = df.join(hot.keys, match, "left_anti")
     hot_rows_only = df.join(hot.keys, match, "left_semi")
-    # A slice holds rows of one key up to the limit; at least two slices, so
-    # that a single hot key is split.
-    tasks = max(2, math.ceil(hot.rows / hot_rows))
-    parts = [
-        build(Ordered(cold_rows, key, order_by)),
-        build(_slice(hot_rows_only, key, order_by, tasks)),
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    # At least two slices, so that a single hot key is split.
+    tasks = max(2, math.ceil(hot.rows / (hot_rows * SLICE_FACTOR)))
+    cold = build(Ordered(cold_rows, key, order_by))
+    return cold.unionByName(build(_slice(hot_rows_only, key, order_by, hot, tasks)))

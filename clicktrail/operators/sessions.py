@@ -243,7 +243,7 @@ def _sessions_with_list(
     `extra_scalars` are pairs (form for a group inside one task, form that
     combines across tasks).
     """
-    keys = ["user_id", "session_seq", "session_id"]
+    keys = ["user_id", "session_seq"]
     extra = extra_scalars or []
 
     def build(rows: Ordered) -> DataFrame:
@@ -275,7 +275,9 @@ def _sessions_with_list(
         ).drop("_user", "_seq", "_events")
 
     kept = apply_null_ts(events, null_ts)
-    return per_key_order(kept, "user_id", EVENT_ORDER, build, hot_rows)
+    sessions = per_key_order(kept, "user_id", EVENT_ORDER, build, hot_rows)
+    others = [c for c in sessions.columns if c not in keys]
+    return sessions.select("user_id", session_id().alias("session_id"), *others)
 
 
 def _span(last: Column) -> list[Column]:
@@ -296,8 +298,7 @@ def session_pages(
     duration = seconds_between(F.min("ts"), F.max("ts")).alias("session_duration_seconds")
     scalars = [*_span(duration), F.count("*").alias("page_count")]
     pages = _in_order("item_id").alias("pages_visited")
-    sessions = _sessions_with_list(events, gap_minutes, null_ts, hot_rows, scalars, pages)
-    return sessions.drop("session_seq")
+    return _sessions_with_list(events, gap_minutes, null_ts, hot_rows, scalars, pages)
 
 
 def session_products(
@@ -350,8 +351,7 @@ def session_sequences(
     duration = minutes_2dp(seconds_between(F.min("ts"), F.max("ts")))
     scalars = [*_span(duration.alias("duration_minutes")), F.count("*").alias("events")]
     steps = _in_order("event_type", F.col("event_type").isNotNull()).alias("event_sequence")
-    sessions = _sessions_with_list(events, gap_minutes, null_ts, hot_rows, scalars, steps)
-    return sessions.drop("session_seq")
+    return _sessions_with_list(events, gap_minutes, null_ts, hot_rows, scalars, steps)
 
 
 def session_item_parts(
@@ -367,7 +367,6 @@ def session_item_parts(
     Columns: user_id, session_id, part (from 0), first_position, values. The
     parts of a session, in order, are its whole list, however long.
     """
-    keys = ["user_id", "session_seq", "session_id"]
 
     def build(rows: Ordered) -> DataFrame:
         labelled = _positions(rows, gap_minutes, null_ts).frame
@@ -376,12 +375,14 @@ def session_item_parts(
         ordered = F.array_sort(F.collect_list(entry))
         return (
             labelled.withColumn("part", part)
-            .groupBy(*keys, "part")
+            .groupBy("user_id", "session_seq", "part")
             .agg(
                 F.min("event_position").alias("first_position"),
                 F.transform(ordered, lambda x: x["value"]).alias("values"),
             )
-            .drop("session_seq")
+            .select(
+                "user_id", session_id().alias("session_id"), "part", "first_position", "values"
+            )
         )
 
     kept = apply_null_ts(events, null_ts)

@@ -1,8 +1,9 @@
 """The analyses a log user runs, each a function from input to DataFrames.
 
-Nothing is computed, printed or collected here, but for the bounded checks of
-the readers and of `per_key_order`. Column names follow the raw log format the
-analysis reads.
+Nothing is printed or collected here, but for the bounded checks of the readers
+and of `per_key_order`. Column names follow the raw log format the analysis
+reads. Where one sessionization serves several results, a stored session table
+can be passed as `table`.
 """
 
 from __future__ import annotations
@@ -11,15 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from clicktrail.functions.events import DEFAULT_GAP_MINUTES
 from clicktrail.operators import behavior, rankings, reports, sessions
-from clicktrail.operators.ordered import HOT_ROWS
-from clicktrail.sources.readers import (
-    csv_events,
-    event_profile,
-    read_csv_events,
-    read_csv_table,
-    read_json_events,
-    sample_rows,
-)
+from clicktrail.operators.ordered import HOT_ROWS, hot_limit
+from clicktrail.sources.readers import event_profile, read_csv_events, read_json_events, sample_rows
 
 # What the CSV log calls the canonical columns.
 CSV_NAMES = {"item_id": "ProductID", "event_type": "EventType"}
@@ -63,15 +57,20 @@ def session_summary(product_sessions: DataFrame) -> DataFrame:
     )
 
 
+def top_five_products(products: DataFrame) -> DataFrame:
+    """First five rows of the second table of `process_clickstream`."""
+    return products.limit(5)
+
+
 def basic_report(
-    spark: SparkSession,
-    input_csv: str,
+    events: DataFrame,
     gap_minutes: int = DEFAULT_GAP_MINUTES,
     null_ts: str = "drop",
+    table: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
-    """CSV log -> totals, event types, session averages, top 10 products."""
-    events = read_csv_events(spark, input_csv)
-    table = sessions.session_table(events, gap_minutes, null_ts)
+    """Totals, event types, session averages, top 10 products."""
+    if table is None:
+        table = sessions.session_table(events, gap_minutes, null_ts)
     return {
         "basic_totals": reports.basic_totals(table),
         "event_types": csv_names(rankings.event_type_distribution(events)),
@@ -81,64 +80,65 @@ def basic_report(
 
 
 def engagement_report(
-    spark: SparkSession,
-    input_csv: str,
+    events: DataFrame,
     gap_minutes: int = DEFAULT_GAP_MINUTES,
     null_ts: str = "drop",
+    table: DataFrame | None = None,
     hot_rows: int | None = HOT_ROWS,
 ) -> dict[str, DataFrame]:
-    """CSV log -> engagement, event positions, durations, funnel, sequences."""
-    events = read_csv_events(spark, input_csv)
-    table = sessions.session_table(events, gap_minutes, null_ts)
-    counts = reports.sequence_counts(events, gap_minutes, null_ts, hot_rows)
-    positions = reports.event_position_counts(events, gap_minutes, null_ts, hot_rows)
+    """Engagement, event positions, durations, funnel, top 10 sequences."""
+    if table is None:
+        table = sessions.session_table(events, gap_minutes, null_ts)
+    limit = hot_limit(sessions.apply_null_ts(events, null_ts), "user_id", hot_rows)
+    positions = reports.event_position_counts(events, gap_minutes, null_ts, limit)
+    sequences = reports.sequence_counts(events, gap_minutes, null_ts, limit)
     return {
         "engagement": reports.engagement(table),
         "event_positions": csv_names(positions),
         "duration_distribution": reports.duration_distribution(table),
         "funnel_totals": reports.funnel_totals(table),
         "funnel_rates": reports.funnel_rates(table),
-        "top_sequences": reports.top_sequences(counts),
+        "top_sequences": reports.top_sequences(sequences),
     }
 
 
-def product_report(spark: SparkSession, input_csv: str) -> dict[str, DataFrame]:
-    """CSV log -> profile, sample, totals, products by views."""
-    table = read_csv_table(spark, input_csv)
-    events = csv_events(table)
+def product_report(events: DataFrame) -> dict[str, DataFrame]:
+    """Profile, sample rows, totals, products by views."""
     return {
-        "profile": event_profile(table),
-        "sample": sample_rows(table),
+        "profile": event_profile(events, "ts"),
+        "sample": sample_rows(events),
         "raw_totals": rankings.raw_totals(events),
         "top_products": csv_names(rankings.viewed_products(events)),
     }
 
 
-def timing_patterns(events: DataFrame, time_unit: str = "hour") -> tuple[DataFrame, DataFrame]:
+def timing_patterns(events: DataFrame, time_unit: str = "hour") -> dict[str, DataFrame]:
     """Events per time unit, and per time unit and event type."""
-    return (
-        behavior.events_by_time(events, time_unit),
-        csv_names(behavior.event_types_by_time(events, time_unit)),
-    )
+    return {
+        f"events_by_{time_unit}": behavior.events_by_time(events, time_unit),
+        f"event_types_by_{time_unit}": csv_names(behavior.event_types_by_time(events, time_unit)),
+    }
 
 
 def user_returns(events: DataFrame, hot_rows: int | None = HOT_ROWS) -> dict[str, DataFrame]:
     """Gaps between a user's events, their histogram and categories."""
+    timed = sessions.apply_null_ts(events, "drop")
+    limit = hot_limit(timed, "user_id", hot_rows)
     return {
-        "gaps": csv_names(behavior.user_return_gaps(events, hot_rows)),
-        "histogram": behavior.return_histogram(events, hot_rows=hot_rows),
-        "categories": behavior.return_categories(events, hot_rows),
+        "gaps": csv_names(behavior.user_return_gaps(timed, limit)),
+        "histogram": behavior.return_histogram(timed, hot_rows=limit),
+        "categories": behavior.return_categories(timed, limit),
     }
 
 
 def product_behavior(
     events: DataFrame, hot_rows: int | None = HOT_ROWS
-) -> tuple[DataFrame, DataFrame]:
+) -> dict[str, DataFrame]:
     """Events per product and type, and event transitions on a product."""
-    return (
-        csv_names(behavior.product_event_counts(events)),
-        csv_names(behavior.product_transitions(events, hot_rows)),
-    )
+    return {
+        "product_events": csv_names(behavior.product_event_counts(events)),
+        "product_transitions": csv_names(behavior.product_transitions(events, hot_rows)),
+    }
 
 
 def overview(events: DataFrame) -> dict[str, DataFrame]:

@@ -22,9 +22,9 @@ from clicktrail.sources.readers import event_profile
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Row limit per key that sends every user and product of the test data through
-# the sliced plan of `per_key_order`.
-SPLIT_ROWS = 25
+# Row limit per key that sends most users and every product of the test data
+# through the sliced plan of `per_key_order`, the others through the plain one.
+SPLIT_ROWS = 60
 
 
 def comparable(df: DataFrame) -> DataFrame:
