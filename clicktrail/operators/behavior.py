@@ -111,11 +111,11 @@ def return_histogram(
     span = gaps.agg(F.struct(F.min("gap_hours").alias("low"), F.max("gap_hours").alias("high")))
     placed = gaps.withColumn("span", span.scalar())
     low, high = F.col("span.low"), F.col("span.high")
-    share = (F.col("gap_hours") - low) / F.nullif(high - low, F.lit(0.0))
-    number = F.least(F.floor(share * bins) + 1, F.lit(bins))
+    share = (F.col("gap_hours") - low) / (high - low)
+    number = F.when(high == low, 1).otherwise(F.least(F.floor(share * bins) + 1, F.lit(bins)))
     width = (high - low) / F.lit(float(bins))
     return (
-        placed.select(F.coalesce(number, F.lit(1)).cast("bigint").alias("bin"), "span", "count")
+        placed.select(number.cast("bigint").alias("bin"), "span", "count")
         .groupBy("bin", "span")
         .agg(F.sum("count").alias("count"))
         .select(
