@@ -75,12 +75,8 @@ def user_return_gaps(events: DataFrame, hot_rows: int | None = HOT_ROWS) -> Data
     return per_key_order(timed, "user_id", EVENT_ORDER, build, hot_rows)
 
 
-def return_gap_counts(events: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
-    """How often each gap between consecutive events of a user occurs.
-
-    Gaps are whole seconds, so this has at most one row per second of the
-    covered time span; the two reports below read nothing else.
-    """
+def _gap_seconds(events: DataFrame, hot_rows: int | None) -> DataFrame:
+    """The gap before each event but the user's first, as gap_seconds."""
 
     def build(rows: Ordered) -> DataFrame:
         frame = rows.add(prev_ts=Previous(F.col("ts"))).frame
@@ -88,11 +84,7 @@ def return_gap_counts(events: DataFrame, hot_rows: int | None = HOT_ROWS) -> Dat
         return frame.filter(F.col("prev_ts").isNotNull()).select(gap.alias("gap_seconds"))
 
     timed = events.filter(F.col("ts").isNotNull()).select("user_id", "ts")
-    return (
-        per_key_order(timed, "user_id", ["ts"], build, hot_rows)
-        .groupBy("gap_seconds")
-        .count()
-    )
+    return per_key_order(timed, "user_id", ["ts"], build, hot_rows)
 
 
 def return_histogram(
@@ -105,9 +97,10 @@ def return_histogram(
     """
     if bins < 1:
         raise ValueError(f"bins must be at least 1, got {bins}")
-    gaps = return_gap_counts(events, hot_rows).withColumn(
-        "gap_hours", F.col("gap_seconds") / F.lit(3600.0)
+    gaps = _gap_seconds(events, hot_rows).select(
+        (F.col("gap_seconds") / F.lit(3600.0)).alias("gap_hours")
     )
+    # One row; both uses of `gaps` share the shuffle by user.
     span = gaps.agg(F.struct(F.min("gap_hours").alias("low"), F.max("gap_hours").alias("high")))
     placed = gaps.withColumn("span", span.scalar())
     low, high = F.col("span.low"), F.col("span.high")
@@ -115,9 +108,9 @@ def return_histogram(
     number = F.when(high == low, 1).otherwise(F.least(F.floor(share * bins) + 1, F.lit(bins)))
     width = (high - low) / F.lit(float(bins))
     return (
-        placed.select(number.cast("bigint").alias("bin"), "span", "count")
+        placed.select(number.cast("bigint").alias("bin"), "span")
         .groupBy("bin", "span")
-        .agg(F.sum("count").alias("count"))
+        .count()
         .select(
             "bin",
             (low + width * (F.col("bin") - 1)).alias("bin_start"),
@@ -142,12 +135,9 @@ def return_categories(events: DataFrame, hot_rows: int | None = HOT_ROWS) -> Dat
         same_week: (gap > 24 * hour) & (gap <= 168 * hour),
         longer: gap > 168 * hour,
     }
-    # One row of four sums, unfolded: the zeros need no join.
-    totals = return_gap_counts(events, hot_rows).agg(
-        *[
-            F.coalesce(F.sum(F.when(within, F.col("count"))), F.lit(0)).alias(name)
-            for name, within in bounds.items()
-        ]
+    # One row of four counts, unfolded: the zeros need no join.
+    totals = _gap_seconds(events, hot_rows).agg(
+        *[F.count_if(within).alias(name) for name, within in bounds.items()]
     )
     rows = F.array(
         *[F.struct(F.lit(n).alias("category"), F.col(f"`{n}`").alias("count")) for n in bounds]

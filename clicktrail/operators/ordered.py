@@ -23,7 +23,7 @@ import math
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window, WindowSpec
 
@@ -32,9 +32,11 @@ from clicktrail.session import ensure_checkpoint_dir
 # A key with more rows than this is sliced. At most (rows of the table /
 # HOT_ROWS) keys can be hot.
 HOT_ROWS = 1_000_000
-# Rows per slice, as a multiple of `hot_rows`. Keeps the number of shuffle
-# partitions in the tens of thousands for 10^11 hot rows.
-SLICE_FACTOR = 4
+# Rows per slice are between `hot_rows` / SLICE_SHRINK, where that gives no more
+# slices than the session has shuffle partitions, and `hot_rows` * SLICE_GROW,
+# which keeps the slices of 10^11 hot rows in the tens of thousands.
+SLICE_SHRINK = 16
+SLICE_GROW = 4
 # Largest tables that are broadcast, here a few MB each: the hot keys, which
 # also pass the driver, and one row per (hot key, slice). Larger ones are
 # joined by shuffle.
@@ -269,33 +271,51 @@ def hot_limit(df: DataFrame, key: str, hot_rows: int | None = HOT_ROWS) -> int |
 def _number_copies(rows: DataFrame, tasks: int) -> DataFrame:
     """Every row once, identical rows told apart by `_copy` = 0, 1, 2, ...
 
-    Identical rows are counted before the shuffle, then written out again in
-    blocks that are spread over the cluster.
+    Identical rows are counted before the shuffle and written out again after
+    it; a row with very many copies is written by several tasks.
     """
     columns = rows.columns
-    block = F.lit(COPIES_PER_BLOCK)
+    zero, block = F.lit(0).cast("bigint"), F.lit(COPIES_PER_BLOCK)
     counted = rows.groupBy(*columns).agg(F.count("*").alias("_copies"))
-    last_block = F.floor((F.col("_copies") - 1) / block)
-    blocks = counted.select(
-        "*", F.explode(F.sequence(F.lit(0).cast("bigint"), last_block)).alias("_block")
-    ).repartition(tasks, *columns, "_block")
+    few = counted.filter(F.col("_copies") <= block).select(
+        *columns, F.explode(F.sequence(zero, F.col("_copies") - 1)).alias(COPY)
+    )
+    blocks = (
+        counted.filter(F.col("_copies") > block)
+        .select("*", F.explode(F.sequence(zero, F.floor((F.col("_copies") - 1) / block))).alias("_block"))
+        .repartition(tasks, *columns, "_block")
+    )
     first = F.col("_block") * block
     last = F.least(first + block, F.col("_copies")) - 1
-    return blocks.select(*columns, F.explode(F.sequence(first, last)).alias(COPY))
+    many = blocks.select(*columns, F.explode(F.sequence(first, last)).alias(COPY))
+    return few.unionByName(many)
+
+
+def _slice_count(spark: SparkSession, rows: int, hot_rows: int) -> int:
+    """At least two, so that a single hot key is split."""
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    fine = math.ceil(rows * SLICE_SHRINK / hot_rows)
+    coarse = math.ceil(rows / (hot_rows * SLICE_GROW))
+    return max(2, coarse, min(fine, partitions))
 
 
-def _slice(rows: DataFrame, key: str, order: tuple[str, ...], hot: HotKeys, tasks: int) -> Ordered:
+def _slice(rows: DataFrame, key: str, order: tuple[str, ...], hot: HotKeys, hot_rows: int) -> Ordered:
     """Cut each key's rows into consecutive slices of about equal size.
 
     The checkpoint is reliable storage: range bounds come from sampling, and
-    the slice of a row must not change when a lost task is run again.
+    the slice of a row must not change when a lost task is run again. It also
+    keeps the layout by slice, so the windows that follow need no shuffle.
     """
-    ensure_checkpoint_dir(rows.sparkSession)
+    spark = rows.sparkSession
+    ensure_checkpoint_dir(spark)
     order = (*order, COPY)
+    tasks = _slice_count(spark, hot.rows, hot_rows)
     sliced = (
         _number_copies(rows, tasks)
         .repartitionByRange(tasks, key, *order)
         .withColumn(SLICE, F.spark_partition_id())
+        .repartition(tasks, key, SLICE)
+        .sortWithinPartitions(key, SLICE, *order)
         .checkpoint()
     )
     return Ordered(sliced, key, order, slices=tasks + hot.count)
@@ -320,7 +340,5 @@ def per_key_order(
     match = df[key].eqNullSafe(hot.keys["_hot_key"])
     cold_rows = df.join(hot.keys, match, "left_anti")
     hot_rows_only = df.join(hot.keys, match, "left_semi")
-    # At least two slices, so that a single hot key is split.
-    tasks = max(2, math.ceil(hot.rows / (hot_rows * SLICE_FACTOR)))
     cold = build(Ordered(cold_rows, key, order_by))
-    return cold.unionByName(build(_slice(hot_rows_only, key, order_by, hot, tasks)))
+    return cold.unionByName(build(_slice(hot_rows_only, key, order_by, hot, hot_rows)))

@@ -47,6 +47,7 @@ from clicktrail.operators.ordered import (
     Previous,
     RunningMax,
     RunningSum,
+    Step,
     per_key_order,
 )
 
@@ -64,22 +65,47 @@ def apply_null_ts(events: DataFrame, null_ts: str) -> DataFrame:
 # --- every event labelled with its session -----------------------------------
 
 
-def _label(rows: Ordered, gap_minutes: int, null_ts: str) -> Ordered:
-    """Add prev_ts, gap_minutes, new_session, session_seq, session_id."""
+def _label(
+    rows: Ordered,
+    gap_minutes: int,
+    null_ts: str,
+    counted: Column | None = None,
+    positions: bool = False,
+) -> Ordered:
+    """Add prev_ts, gap_minutes, new_session, session_seq, session_id.
+
+    With `counted`, also _rank, the number of counted events of the user so
+    far; with `positions`, also event_position, the same within the session:
+    the rank less the user's rank just before the session.
+
+    All windows share one sort by user and time, and the columns come in two
+    steps, because slices exchange what they know once per step.
+    """
     check_gap(gap_minutes)
-    rows = rows.add(prev_ts=Previous(F.col("ts")))
+    one = F.lit(1) if counted is None else F.when(counted, 1).otherwise(0)
+    first: dict[str, Step] = {"prev_ts": Previous(F.col("ts"))}
+    if counted is not None or positions:
+        first["_rank"] = RunningSum(one)
+    rows = rows.add(**first)
     gap = seconds_between(F.col("prev_ts"), F.col("ts")) / F.lit(60.0)
-    rows = rows.with_column("gap_minutes", gap)
     starts = F.col("prev_ts").isNull() | (F.col("gap_minutes") > gap_minutes)
+    rows = rows.with_column("gap_minutes", gap)
     rows = rows.with_column("new_session", F.when(starts, 1).otherwise(0))
-    ordinal = RunningSum(F.col("new_session"))
+
+    untimed = F.col("ts").isNull() if null_ts == "keep_range" else F.lit(False)
+    second: dict[str, Step] = {"session_seq": RunningSum(F.col("new_session"))}
     if null_ts == "keep_range":
-        untimed = KeySum(F.when(F.col("ts").isNull(), 1).otherwise(0))
-        rows = rows.add(session_seq=ordinal, _untimed=untimed)
-        shared = F.when(F.col("ts").isNull(), F.col("_untimed")).otherwise(F.col("session_seq"))
+        second["_untimed"] = KeySum(F.when(untimed, 1).otherwise(0))
+    if positions:
+        before = F.when(untimed, F.lit(0)).when(F.col("new_session") == 1, F.col("_rank") - one)
+        second["_before"] = RunningMax(before)
+    rows = rows.add(**second)
+    if null_ts == "keep_range":
+        # All of the user's untimed events share the last of their ordinals.
+        shared = F.when(untimed, F.col("_untimed")).otherwise(F.col("session_seq"))
         rows = rows.with_column("session_seq", shared)
-    else:
-        rows = rows.add(session_seq=ordinal)
+    if positions:
+        rows = rows.with_column("event_position", F.col("_rank") - F.col("_before"))
     return rows.with_column("session_id", session_id())
 
 
@@ -99,25 +125,6 @@ def sessionize(
     return per_key_order(kept, "user_id", EVENT_ORDER, build, hot_rows)
 
 
-def _positions(
-    rows: Ordered, gap_minutes: int, null_ts: str, counted: Column | None = None
-) -> Ordered:
-    """`_label` plus event_position, counted from 1 within each session.
-
-    The position is the event's rank within the user less the user's rank just
-    before the session, so all windows share the one sort by user and time.
-    Only `counted` events (default: all) advance the rank.
-    """
-    one = F.lit(1) if counted is None else F.when(counted, 1).otherwise(0)
-    rows = _label(rows.add(_rank=RunningSum(one)), gap_minutes, null_ts)
-    before = F.when(F.col("new_session") == 1, F.col("_rank") - one)
-    if null_ts == "keep_range":
-        # The untimed events come first and share a session.
-        before = F.when(F.col("ts").isNull(), F.lit(0).cast("bigint")).otherwise(before)
-    rows = rows.add(_before=RunningMax(before))
-    return rows.with_column("event_position", F.col("_rank") - F.col("_before"))
-
-
 def event_positions(
     events: DataFrame,
     gap_minutes: int = DEFAULT_GAP_MINUTES,
@@ -127,7 +134,7 @@ def event_positions(
     """The events with session_id and their position in the session."""
 
     def build(rows: Ordered) -> DataFrame:
-        labelled = _positions(rows, gap_minutes, null_ts).frame
+        labelled = _label(rows, gap_minutes, null_ts, positions=True).frame
         return labelled.select(*events.columns, "session_seq", "session_id", "event_position")
 
     kept = apply_null_ts(events, null_ts)
@@ -198,16 +205,19 @@ def session_table(
     return _finish(sessions)
 
 
+def _duration_seconds() -> Column:
+    return seconds_between(F.col("start_ts"), F.col("end_ts"))
+
+
 def _finish(sessions: DataFrame) -> DataFrame:
-    seconds = seconds_between(F.col("start_ts"), F.col("end_ts"))
     return sessions.select(
         "user_id",
         "session_seq",
         session_id().alias("session_id"),
         "start_ts",
         "end_ts",
-        seconds.alias("duration_seconds"),
-        minutes_2dp(seconds).alias("duration_minutes"),
+        _duration_seconds().alias("duration_seconds"),
+        minutes_2dp(_duration_seconds()).alias("duration_minutes"),
         *_TOTALS,
     )
 
@@ -215,73 +225,79 @@ def _finish(sessions: DataFrame) -> DataFrame:
 # --- one row per session, with lists -----------------------------------------
 
 
-def _in_order(name: str, keep: Column | None = None) -> Column:
-    """The group's values of one EVENT_ORDER column as a list in event order.
+def _in_order(name: str, keep: Column | None, rank: str) -> Column:
+    """The group's values of a column as a list, ordered by `rank`.
 
     Events for which `keep` is not true are left out before the collecting.
     """
-    event = F.struct(*EVENT_ORDER)
+    event = F.struct(rank, name)
     entry = event if keep is None else F.when(keep, event)
     return F.transform(F.array_sort(F.collect_list(entry)), lambda x: x[name])
 
 
+def _part(size: int) -> Column:
+    """Number of the session part an event falls into."""
+    return F.floor((F.col("event_position") - 1) / F.lit(size)).alias("part")
+
+
 def _sessions_with_list(
     events: DataFrame,
     gap_minutes: int,
     null_ts: str,
     hot_rows: int | None,
-    scalars: list[Column],
-    in_order: Column,
-    extra_scalars: list[tuple[Column, Column]] | None = None,
+    counts: dict[str, Column],
+    list_name: str,
+    list_of: str,
+    keep: Column | None = None,
+    distinct: dict[str, str] | None = None,
 ) -> DataFrame:
-    """One row per session with `scalars` and the list `in_order`.
+    """One row per session: start_ts, end_ts, counts, distinct counts, a list.
 
     Sessions longer than `hot_rows` have a NULL list: one row cannot hold it.
     `session_item_parts` returns those lists whole, in parts. They occur only
-    among hot users, so the plain path needs no second pass.
-
-    `extra_scalars` are pairs (form for a group inside one task, form that
-    combines across tasks).
+    among hot users.
     """
     keys = ["user_id", "session_seq"]
-    extra = extra_scalars or []
+    spans = [F.min("ts").alias("start_ts"), F.max("ts").alias("end_ts")]
+    counted = [c.alias(n) for n, c in counts.items()]
+    distinct = distinct or {}
+
+    def plain(rows: Ordered) -> DataFrame:
+        labelled = _label(rows, gap_minutes, null_ts, counted=F.lit(True)).frame
+        unique = [F.size(F.collect_set(c)).cast("bigint").alias(n) for n, c in distinct.items()]
+        items = _in_order(list_of, keep, "_rank").alias(list_name)
+        return labelled.groupBy(*keys).agg(*spans, *counted, *unique, items)
+
+    def sliced(rows: Ordered) -> DataFrame:
+        # Parts of at most `hot_rows` events; a list is passed on from the
+        # first part only, and dropped again if there are others.
+        labelled = _label(rows, gap_minutes, null_ts, positions=True).frame
+        items = _in_order(list_of, keep, "event_position").alias(list_name)
+        parts = labelled.groupBy(*keys, _part(hot_rows)).agg(*spans, *counted, items)
+        last = F.max("part")
+        sessions = parts.groupBy(*keys).agg(
+            F.min("start_ts").alias("start_ts"),
+            F.max("end_ts").alias("end_ts"),
+            *[F.sum(n).alias(n) for n in counts],
+            F.when(last == 0, F.max(F.when(F.col("part") == 0, F.col(list_name)))).alias(list_name),
+        )
+        for name, column in distinct.items():
+            unique = labelled.groupBy(
+                F.col("user_id").alias("_user"), F.col("session_seq").alias("_seq")
+            ).agg(F.count_distinct(column).alias(name))
+            same_session = sessions["user_id"].eqNullSafe(unique["_user"]) & (
+                sessions["session_seq"] == unique["_seq"]
+            )
+            sessions = sessions.join(unique, same_session).drop("_user", "_seq")
+        return sessions
 
     def build(rows: Ordered) -> DataFrame:
-        labelled = _label(rows, gap_minutes, null_ts).frame
-        if not rows.hot:
-            return labelled.groupBy(*keys).agg(
-                *scalars,
-                *[inside for inside, _ in extra],
-                in_order,
-            )
-        totals = labelled.groupBy(*keys).agg(
-            *scalars, *[across for _, across in extra], F.count("*").alias("_events")
-        )
-        fitting = totals.filter(F.col("_events") <= hot_rows).select(
-            F.col("user_id").alias("_user"), F.col("session_seq").alias("_seq")
-        )
-        same_session = labelled["user_id"].eqNullSafe(fitting["_user"]) & (
-            labelled["session_seq"] == fitting["_seq"]
-        )
-        lists = (
-            labelled.join(fitting, same_session, "left_semi")
-            .groupBy(F.col("user_id").alias("_user"), F.col("session_seq").alias("_seq"))
-            .agg(in_order)
-        )
-        return totals.join(
-            lists,
-            totals["user_id"].eqNullSafe(lists["_user"]) & (totals["session_seq"] == lists["_seq"]),
-            "left",
-        ).drop("_user", "_seq", "_events")
+        return sliced(rows) if rows.hot else plain(rows)
 
     kept = apply_null_ts(events, null_ts)
-    sessions = per_key_order(kept, "user_id", EVENT_ORDER, build, hot_rows)
-    others = [c for c in sessions.columns if c not in keys]
-    return sessions.select("user_id", session_id().alias("session_id"), *others)
-
-
-def _span(last: Column) -> list[Column]:
-    return [F.min("ts").alias("start_ts"), F.max("ts").alias("end_ts"), last]
+    return per_key_order(kept, "user_id", EVENT_ORDER, build, hot_rows).withColumn(
+        "session_id", session_id()
+    )
 
 
 def session_pages(
@@ -295,10 +311,19 @@ def session_pages(
     `page_count` counts all events of the session, not only page views, and
     `pages_visited` has one entry per event.
     """
-    duration = seconds_between(F.min("ts"), F.max("ts")).alias("session_duration_seconds")
-    scalars = [*_span(duration), F.count("*").alias("page_count")]
-    pages = _in_order("item_id").alias("pages_visited")
-    return _sessions_with_list(events, gap_minutes, null_ts, hot_rows, scalars, pages)
+    counts = {"page_count": F.count("*")}
+    sessions = _sessions_with_list(
+        events, gap_minutes, null_ts, hot_rows, counts, "pages_visited", "item_id"
+    )
+    return sessions.select(
+        "user_id",
+        "session_id",
+        "start_ts",
+        "end_ts",
+        _duration_seconds().alias("session_duration_seconds"),
+        "page_count",
+        "pages_visited",
+    )
 
 
 def session_products(
@@ -313,27 +338,23 @@ def session_products(
     whatever their type. `products_viewed` has the products of the view events
     in order, with repeats and without NULLs.
     """
-    duration = minutes_2dp(seconds_between(F.min("ts"), F.max("ts")))
-    scalars = [
-        *_span(duration.alias("session_duration_minutes")),
-        F.count("*").alias("event_count"),
-        count_events(ADD_TO_CART).alias("items_added_to_cart"),
-    ]
-    unique = (
-        F.size(F.collect_set("item_id")).cast("bigint").alias("unique_products_viewed"),
-        F.count_distinct("item_id").alias("unique_products_viewed"),
-    )
-    viewed = is_event(PRODUCT_VIEW) & F.col("item_id").isNotNull()
-    products = _in_order("item_id", viewed).alias("products_viewed")
     sessions = _sessions_with_list(
-        events, gap_minutes, null_ts, hot_rows, scalars, products, [unique]
+        events,
+        gap_minutes,
+        null_ts,
+        hot_rows,
+        {"event_count": F.count("*"), "items_added_to_cart": count_events(ADD_TO_CART)},
+        "products_viewed",
+        "item_id",
+        keep=is_event(PRODUCT_VIEW) & F.col("item_id").isNotNull(),
+        distinct={"unique_products_viewed": "item_id"},
     )
     return sessions.select(
         "user_id",
         "session_id",
         "start_ts",
         "end_ts",
-        "session_duration_minutes",
+        minutes_2dp(_duration_seconds()).alias("session_duration_minutes"),
         "event_count",
         "unique_products_viewed",
         "items_added_to_cart",
@@ -348,10 +369,25 @@ def session_sequences(
     hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Sessions with the list of their event types, in order, without NULLs."""
-    duration = minutes_2dp(seconds_between(F.min("ts"), F.max("ts")))
-    scalars = [*_span(duration.alias("duration_minutes")), F.count("*").alias("events")]
-    steps = _in_order("event_type", F.col("event_type").isNotNull()).alias("event_sequence")
-    return _sessions_with_list(events, gap_minutes, null_ts, hot_rows, scalars, steps)
+    sessions = _sessions_with_list(
+        events,
+        gap_minutes,
+        null_ts,
+        hot_rows,
+        {"events": F.count("*")},
+        "event_sequence",
+        "event_type",
+        keep=F.col("event_type").isNotNull(),
+    )
+    return sessions.select(
+        "user_id",
+        "session_id",
+        "start_ts",
+        "end_ts",
+        minutes_2dp(_duration_seconds()).alias("duration_minutes"),
+        "events",
+        "event_sequence",
+    )
 
 
 def session_item_parts(
@@ -369,16 +405,12 @@ def session_item_parts(
     """
 
     def build(rows: Ordered) -> DataFrame:
-        labelled = _positions(rows, gap_minutes, null_ts).frame
-        part = F.floor((F.col("event_position") - 1) / F.lit(part_size))
-        entry = F.struct("event_position", F.col(value).alias("value"))
-        ordered = F.array_sort(F.collect_list(entry))
+        labelled = _label(rows, gap_minutes, null_ts, positions=True).frame
         return (
-            labelled.withColumn("part", part)
-            .groupBy("user_id", "session_seq", "part")
+            labelled.groupBy("user_id", "session_seq", _part(part_size))
             .agg(
                 F.min("event_position").alias("first_position"),
-                F.transform(ordered, lambda x: x["value"]).alias("values"),
+                _in_order(value, None, "event_position").alias("values"),
             )
             .select(
                 "user_id", session_id().alias("session_id"), "part", "first_position", "values"
@@ -401,23 +433,22 @@ def session_sequence_labels(
     `sha256:<digest> (<n> events)`, where equal sequences have equal digests.
     """
     typed = F.col("event_type").isNotNull()
+    steps = F.count(F.when(typed, 1)).alias("steps")
 
-    def build(rows: Ordered) -> DataFrame:
-        if not rows.hot:
-            labelled = _label(rows, gap_minutes, null_ts).frame
-            steps = _in_order("event_type", typed)
-            return (
-                labelled.groupBy("user_id", "session_seq")
-                .agg(F.concat_ws(SEQUENCE_SEPARATOR, steps).alias("sequence"), _steps(typed))
-                .select("sequence", "steps")
-            )
-        numbered = _positions(rows, gap_minutes, null_ts, typed).frame.filter(typed)
-        entry = F.struct("event_position", "event_type")
-        ordered = F.transform(F.array_sort(F.collect_list(entry)), lambda x: x["event_type"])
+    def text(rank: str) -> Column:
+        return F.concat_ws(SEQUENCE_SEPARATOR, _in_order("event_type", typed, rank))
+
+    def plain(rows: Ordered) -> DataFrame:
+        labelled = _label(rows, gap_minutes, null_ts, counted=typed).frame
+        sessions = labelled.groupBy("user_id", "session_seq")
+        return sessions.agg(text("_rank").alias("sequence"), steps).select("sequence", "steps")
+
+    def sliced(rows: Ordered) -> DataFrame:
+        labelled = _label(rows, gap_minutes, null_ts, counted=typed, positions=True).frame
         parts = (
-            numbered.withColumn("part", F.floor((F.col("event_position") - 1) / F.lit(hot_rows)))
-            .groupBy("user_id", "session_seq", "part")
-            .agg(F.concat_ws(SEQUENCE_SEPARATOR, ordered).alias("text"), _steps(typed))
+            labelled.filter(typed)
+            .groupBy("user_id", "session_seq", _part(hot_rows))
+            .agg(text("event_position").alias("text"), steps)
         )
         digests = F.array_sort(F.collect_list(F.struct("part", F.sha2("text", 256).alias("d"))))
         sessions = parts.groupBy("user_id", "session_seq").agg(
@@ -431,9 +462,8 @@ def session_sequence_labels(
         label = F.when(F.col("steps") > hot_rows, digest).otherwise(F.col("text"))
         return sessions.select(label.alias("sequence"), "steps")
 
+    def build(rows: Ordered) -> DataFrame:
+        return sliced(rows) if rows.hot else plain(rows)
+
     kept = apply_null_ts(events, null_ts)
     return per_key_order(kept, "user_id", EVENT_ORDER, build, hot_rows)
-
-
-def _steps(typed: Column) -> Column:
-    return F.count(F.when(typed, 1)).alias("steps")

@@ -89,7 +89,7 @@ def test_slices_are_bounded_even_for_copies(spark, monkeypatch):
     assert result.count() == 6000
     assert sum(seen["sizes"]) == 6000
     assert len(seen["sizes"]) >= 10
-    assert max(seen["sizes"]) <= 3 * 100 * o.SLICE_FACTOR
+    assert max(seen["sizes"]) <= 3 * 100 * o.SLICE_GROW
 
 
 @pytest.mark.parametrize("limits", [(2, 100_000), (10_000, 0), (2, 0)])
