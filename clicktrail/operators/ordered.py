@@ -45,8 +45,9 @@ BROADCAST_SLICES = 100_000
 # Copies of one row that a single task writes out.
 COPIES_PER_BLOCK = 100_000
 
-SLICE = "_slice"
 COPY = "_copy"
+ROW = "_row"
+SLICE = "_slice"
 
 
 @dataclass(frozen=True)
@@ -63,7 +64,7 @@ class Step:
         """The result as far as the rows of one slice tell."""
         raise NotImplementedError
 
-    def summary(self, order: Column) -> Column:
+    def summary(self, row: Column) -> Column:
         """Aggregate: what other slices need to know of this one."""
         raise NotImplementedError
 
@@ -89,19 +90,19 @@ class Previous(Step):
     def plain(self, rows):
         return F.lag(self.value).over(rows)
 
-    # Between slices the value travels in a struct, so that a NULL on the
-    # neighbouring row is told apart from having no neighbour.
+    # Inside a slice the value is wrapped, so that a NULL on the neighbouring
+    # row is told apart from having no neighbour there.
     def local(self, inside):
         return F.lag(F.struct(self.value.alias("v"))).over(inside)
 
-    def summary(self, order):
-        return F.max_by(F.struct(self.value.alias("v")), order)
+    def summary(self, row):
+        return F.max_by(self.value, row)
 
     def carry(self, summary, slices):
         return F.lag(summary).over(slices)
 
     def merge(self, local, carried):
-        return F.coalesce(local, carried)["v"]
+        return F.when(local.isNull(), carried).otherwise(local["v"])
 
 
 class Next(Previous):
@@ -113,8 +114,8 @@ class Next(Previous):
     def local(self, inside):
         return F.lead(F.struct(self.value.alias("v"))).over(inside)
 
-    def summary(self, order):
-        return F.min_by(F.struct(self.value.alias("v")), order)
+    def summary(self, row):
+        return F.min_by(self.value, row)
 
     def carry(self, summary, slices):
         return F.lead(summary).over(slices)
@@ -126,7 +127,7 @@ class RunningSum(Step):
     def local(self, inside):
         return F.sum(self.value).over(_up_to_here(inside))
 
-    def summary(self, order):
+    def summary(self, row):
         return F.sum(self.value)
 
     def carry(self, summary, slices):
@@ -142,7 +143,7 @@ class RunningMax(Step):
     def local(self, inside):
         return F.max(self.value).over(_up_to_here(inside))
 
-    def summary(self, order):
+    def summary(self, row):
         return F.max(self.value)
 
     def carry(self, summary, slices):
@@ -196,9 +197,8 @@ class Ordered:
             return replace(self, frame=self.frame.withColumns(columns))
 
         # One row per (key, slice), then what each slice inherits.
-        order = F.struct(*[F.col(c) for c in self.order])
         parts = self.frame.groupBy(self.key, SLICE).agg(
-            *[s.summary(order).alias(n) for n, s in steps.items()]
+            *[s.summary(F.col(ROW)).alias(n) for n, s in steps.items()]
         )
         across = Window.partitionBy(self.key).orderBy(SLICE)
         carried = parts.select(
@@ -271,24 +271,21 @@ def hot_limit(df: DataFrame, key: str, hot_rows: int | None = HOT_ROWS) -> int |
 def _number_copies(rows: DataFrame, tasks: int) -> DataFrame:
     """Every row once, identical rows told apart by `_copy` = 0, 1, 2, ...
 
-    Identical rows are counted before the shuffle and written out again after
-    it; a row with very many copies is written by several tasks.
+    Identical rows are counted before the shuffle, then written out again in
+    blocks that are spread over the tasks.
     """
     columns = rows.columns
     zero, block = F.lit(0).cast("bigint"), F.lit(COPIES_PER_BLOCK)
-    counted = rows.groupBy(*columns).agg(F.count("*").alias("_copies"))
-    few = counted.filter(F.col("_copies") <= block).select(
-        *columns, F.explode(F.sequence(zero, F.col("_copies") - 1)).alias(COPY)
-    )
+    last_block = F.floor((F.col("_copies") - 1) / block)
     blocks = (
-        counted.filter(F.col("_copies") > block)
-        .select("*", F.explode(F.sequence(zero, F.floor((F.col("_copies") - 1) / block))).alias("_block"))
+        rows.groupBy(*columns)
+        .agg(F.count("*").alias("_copies"))
+        .select("*", F.explode(F.sequence(zero, last_block)).alias("_block"))
         .repartition(tasks, *columns, "_block")
     )
     first = F.col("_block") * block
     last = F.least(first + block, F.col("_copies")) - 1
-    many = blocks.select(*columns, F.explode(F.sequence(first, last)).alias(COPY))
-    return few.unionByName(many)
+    return blocks.select(*columns, F.explode(F.sequence(first, last)).alias(COPY))
 
 
 def _slice_count(spark: SparkSession, rows: int, hot_rows: int) -> int:
@@ -302,23 +299,25 @@ def _slice_count(spark: SparkSession, rows: int, hot_rows: int) -> int:
 def _slice(rows: DataFrame, key: str, order: tuple[str, ...], hot: HotKeys, hot_rows: int) -> Ordered:
     """Cut each key's rows into consecutive slices of about equal size.
 
-    The checkpoint is reliable storage: range bounds come from sampling, and
-    the slice of a row must not change when a lost task is run again. It also
-    keeps the layout by slice, so the windows that follow need no shuffle.
+    A slice is a partition of a global sort by key and order, and `_row` the
+    place in that sort, which from here on replaces the order columns. The
+    checkpoint is reliable storage: range bounds come from sampling, and the
+    place of a row must not change when a lost task is run again.
     """
     spark = rows.sparkSession
     ensure_checkpoint_dir(spark)
-    order = (*order, COPY)
     tasks = _slice_count(spark, hot.rows, hot_rows)
-    sliced = (
+    by = [key, *order, COPY]
+    placed = (
         _number_copies(rows, tasks)
-        .repartitionByRange(tasks, key, *order)
-        .withColumn(SLICE, F.spark_partition_id())
-        .repartition(tasks, key, SLICE)
-        .sortWithinPartitions(key, SLICE, *order)
+        .repartitionByRange(tasks, *by)
+        .sortWithinPartitions(*by)
+        .select(*rows.columns, F.monotonically_increasing_id().alias(ROW))
         .checkpoint()
     )
-    return Ordered(sliced, key, order, slices=tasks + hot.count)
+    # The id's upper bits are the partition number.
+    sliced = placed.withColumn(SLICE, F.shiftright(ROW, 33).cast("int"))
+    return Ordered(sliced, key, (ROW,), slices=tasks + hot.count)
 
 
 def per_key_order(
