@@ -27,7 +27,7 @@ from clicktrail.sources.writers import write_csv, write_parquet
 
 
 def _convert(spark: SparkSession, args: argparse.Namespace) -> None:
-    write_parquet(read_events(spark, args.input, args.format), args.out)
+    write_parquet(read_events(spark, args.input, args.format, args.keep), args.out)
 
 
 def _json_sessions(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -100,6 +100,7 @@ def _parser() -> argparse.ArgumentParser:
 
     convert = add("convert", _convert, False)
     convert.add_argument("--format", choices=list(READERS))
+    convert.add_argument("--keep", nargs="*", default=[], help="further source columns")
     convert.add_argument("--out", required=True)
 
     json_sessions = add("json-sessions", _json_sessions, True)

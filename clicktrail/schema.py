@@ -7,6 +7,8 @@
 | event_type | string    | what                                           |
 | item_id    | string    | the page or product, NULL if none              |
 | event_id   | bigint    | breaks ties of `ts`; NULL if the source has none |
+
+More columns may follow; operators that return events pass them through.
 """
 
 from __future__ import annotations
@@ -35,12 +37,14 @@ def to_events(
     event_type: Column,
     item_id: Column,
     event_id: Column | None = None,
+    keep: Iterable[str] = (),
 ) -> DataFrame:
-    """Project any table onto the canonical columns."""
+    """Project any table onto the canonical columns, followed by `keep`."""
     return df.select(
         user_id.cast("string").alias("user_id"),
         ts.cast("timestamp").alias("ts"),
         event_type.cast("string").alias("event_type"),
         item_id.cast("string").alias("item_id"),
         (F.lit(None) if event_id is None else event_id).cast("bigint").alias("event_id"),
+        *keep,
     )

@@ -7,12 +7,14 @@ import tempfile
 from pyspark.sql import SparkSession
 
 # Zone-less timestamps are read as UTC. Runtime re-planning merges small
-# shuffle partitions and splits oversized ones in joins.
+# shuffle partitions and splits oversized ones in joins. Checkpoints of hot
+# keys are deleted once nothing refers to them.
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

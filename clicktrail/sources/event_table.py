@@ -17,8 +17,14 @@ PAGE_TYPES = {"view": PAGE_VIEW, "click": "click", "purchase": PURCHASE}
 FLAVOURS = {"product": PRODUCT_TYPES, "page": PAGE_TYPES}
 
 
+TABLE_SCHEMA = (
+    "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+)
+
+
 def read_event_table(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/events.parquet")
+    """The table as stored; with the schema given, no job runs to find it."""
+    return spark.read.schema(TABLE_SCHEMA).parquet(f"{folder}/events.parquet")
 
 
 def table_events(table: DataFrame, flavour: str = "product") -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,8 +24,8 @@ def parse_timestamp(text: Column) -> Column:
     return F.try_to_timestamp(text)
 
 
-def read_json_table(spark: SparkSession, path: str) -> DataFrame:
-    """JSON lines with the required columns as text, and `_corrupt_record`.
+def read_json_table(spark: SparkSession, path: str, keep: Sequence[str] = ()) -> DataFrame:
+    """JSON lines: the required columns and `keep` as text, and `_corrupt_record`.
 
     Columns are learned from the first lines only. A full inference pass over
     the input runs only if a required column does not occur among them, to
@@ -44,6 +46,7 @@ def read_json_table(spark: SparkSession, path: str) -> DataFrame:
             T.StructField("user_id", T.StringType()),
             T.StructField("action", T.StringType()),
             T.StructField("page_id", T.StringType()),
+            *[T.StructField(name, T.StringType()) for name in keep],
             T.StructField(CORRUPT, T.StringType()),
         ]
     )
@@ -61,13 +64,13 @@ def _infer(spark: SparkSession, lines: DataFrame) -> T.StructType:
 def read_csv_table(spark: SparkSession, path: str) -> DataFrame:
     """CSV with a header line; every column is text.
 
-    Only the header line is read here. Fields are matched to columns by name,
-    so their order in the file does not matter.
+    Only the header of the first file is read here; the files of a folder must
+    share it. Columns are found by name, in whatever order they come.
     """
     return require_columns(spark.read.option("header", True).csv(path), CSV_COLUMNS, "CSV input")
 
 
-def json_events(table: DataFrame) -> DataFrame:
+def json_events(table: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Canonical events of a JSON log table; the items are pages."""
     stamp = F.col("timestamp")
     is_text = isinstance(table.schema["timestamp"].dataType, T.StringType)
@@ -77,10 +80,11 @@ def json_events(table: DataFrame) -> DataFrame:
         ts=parse_timestamp(stamp) if is_text else stamp.cast("timestamp"),
         event_type=F.col("action"),
         item_id=F.col("page_id"),
+        keep=keep,
     )
 
 
-def csv_events(table: DataFrame) -> DataFrame:
+def csv_events(table: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Canonical events of a CSV log table; the items are products."""
     return to_events(
         require_columns(table, CSV_COLUMNS, "CSV input"),
@@ -88,33 +92,38 @@ def csv_events(table: DataFrame) -> DataFrame:
         ts=parse_timestamp(F.col("Timestamp")),
         event_type=F.col("EventType"),
         item_id=F.col("ProductID"),
+        keep=keep,
     )
 
 
-def read_json_events(spark: SparkSession, path: str) -> DataFrame:
-    return json_events(read_json_table(spark, path))
+def read_json_events(spark: SparkSession, path: str, keep: Sequence[str] = ()) -> DataFrame:
+    return json_events(read_json_table(spark, path, keep), keep)
 
 
-def read_csv_events(spark: SparkSession, path: str) -> DataFrame:
-    return csv_events(read_csv_table(spark, path))
+def read_csv_events(spark: SparkSession, path: str, keep: Sequence[str] = ()) -> DataFrame:
+    return csv_events(read_csv_table(spark, path), keep)
 
 
-def read_parquet_events(spark: SparkSession, path: str) -> DataFrame:
+def read_parquet_events(spark: SparkSession, path: str, keep: Sequence[str] = ()) -> DataFrame:
     """Canonical events stored before by `write_parquet`."""
-    return require_columns(spark.read.parquet(path), EVENT_COLUMNS, "event table").select(
-        *EVENT_COLUMNS
-    )
+    table = require_columns(spark.read.parquet(path), EVENT_COLUMNS, "event table")
+    return table.select(*EVENT_COLUMNS, *keep)
 
 
 READERS = {"csv": read_csv_events, "json": read_json_events, "parquet": read_parquet_events}
 
 
-def read_events(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
-    """Canonical events from `path`; the format follows the suffix if not given."""
+def read_events(
+    spark: SparkSession, path: str, fmt: str | None = None, keep: Sequence[str] = ()
+) -> DataFrame:
+    """Canonical events from `path`; the format follows the suffix if not given.
+
+    `keep` names further source columns to carry along, e.g. Amount, Outcome.
+    """
     chosen = fmt or path.rstrip("/").rsplit("/", 1)[-1].rsplit(".", 1)[-1].lower()
     if chosen not in READERS:
         raise ValueError(f"unsupported event format {chosen!r} of {path!r}; use one of {list(READERS)}")
-    return READERS[chosen](spark, path)
+    return READERS[chosen](spark, path, keep)
 
 
 # --- profile -----------------------------------------------------------------
