@@ -6,9 +6,9 @@
     basic, engagement, products, timing, returns, behavior, overview
                    any log -> one Parquet dataset per result under --out
 
-A text log is parsed again by every result that reads it. For more than one
-result, `convert` it once and run the other jobs on the Parquet table, where
-each reads only the columns it needs.
+A text log is parsed again by every result that reads it. With --staging the
+job first stores the canonical events as Parquet, where each result reads only
+the columns it needs; `convert` does that alone, for several jobs.
 """
 
 from __future__ import annotations
@@ -26,19 +26,29 @@ from clicktrail.sources.readers import READERS, read_events
 from clicktrail.sources.writers import write_csv, write_parquet
 
 
+def _events(spark: SparkSession, args: argparse.Namespace, fmt: str | None) -> DataFrame:
+    events = read_events(spark, args.input, fmt)
+    if not args.staging:
+        return events
+    write_parquet(events, args.staging)
+    return read_events(spark, args.staging, "parquet")
+
+
 def _convert(spark: SparkSession, args: argparse.Namespace) -> None:
     write_parquet(read_events(spark, args.input, args.format, args.keep), args.out)
 
 
 def _json_sessions(spark: SparkSession, args: argparse.Namespace) -> None:
-    sessions, pages = analyses.sessionize_logs(spark, args.input, args.gap_minutes, args.null_ts)
+    events = _events(spark, args, "json")
+    sessions, pages = analyses.page_analysis(events, args.gap_minutes, args.null_ts)
     write_parquet(sessions, args.out_sessions)
     write_parquet(pages, args.out_top)
 
 
 def _csv_sessions(spark: SparkSession, args: argparse.Namespace) -> None:
-    sessions, products = analyses.process_clickstream(
-        spark, args.input, args.gap_minutes, args.null_ts, args.cart_scope
+    events = _events(spark, args, "csv")
+    sessions, products = analyses.product_analysis(
+        events, args.gap_minutes, args.null_ts, args.cart_scope
     )
     write_parquet(sessions, args.out_sessions)
     write_parquet(products, args.out_products)
@@ -77,7 +87,7 @@ REPORTS: dict[str, Callable[[SparkSession, DataFrame, argparse.Namespace], dict[
 
 
 def _report(spark: SparkSession, args: argparse.Namespace) -> None:
-    events = read_events(spark, args.input, args.format)
+    events = _events(spark, args, args.format)
     for name, result in REPORTS[args.job](spark, events, args).items():
         if args.csv:
             write_csv(result, f"{args.out}/{name}")
@@ -93,6 +103,8 @@ def _parser() -> argparse.ArgumentParser:
         job = jobs.add_parser(name)
         job.set_defaults(run=run)
         job.add_argument("--input", required=True, help="file or folder")
+        if name != "convert":
+            job.add_argument("--staging", help="store the canonical events here and read them back")
         if sessions:
             job.add_argument("--gap-minutes", type=int, default=DEFAULT_GAP_MINUTES)
             job.add_argument("--null-ts", choices=NULL_TS_POLICIES, default="drop")

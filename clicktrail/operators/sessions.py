@@ -450,6 +450,7 @@ def session_sequence_labels(
             .groupBy("user_id", "session_seq", _part(hot_rows))
             .agg(text("event_position").alias("text"), steps)
         )
+        # One digest per `hot_rows` events, and the text of one part at most.
         digests = F.array_sort(F.collect_list(F.struct("part", F.sha2("text", 256).alias("d"))))
         sessions = parts.groupBy("user_id", "session_seq").agg(
             F.max(F.when(F.col("part") == 0, F.col("text"))).alias("text"),

@@ -23,6 +23,29 @@ def csv_names(df: DataFrame) -> DataFrame:
     return df.withColumnsRenamed(CSV_NAMES)
 
 
+def page_analysis(
+    events: DataFrame,
+    gap_minutes: int = DEFAULT_GAP_MINUTES,
+    null_ts: str = "drop",
+    hot_rows: int | None = HOT_ROWS,
+) -> tuple[DataFrame, DataFrame]:
+    """Sessions with their pages, top pages."""
+    pages = sessions.session_pages(events, gap_minutes, null_ts, hot_rows)
+    return pages, rankings.top_pages(events)
+
+
+def product_analysis(
+    events: DataFrame,
+    gap_minutes: int = DEFAULT_GAP_MINUTES,
+    null_ts: str = "drop",
+    cart_scope: str = "viewed_rows",
+    hot_rows: int | None = HOT_ROWS,
+) -> tuple[DataFrame, DataFrame]:
+    """Sessions with their products, product view statistics."""
+    products = sessions.session_products(events, gap_minutes, null_ts, hot_rows)
+    return products, csv_names(rankings.product_views(events, cart_scope))
+
+
 def sessionize_logs(
     spark: SparkSession,
     input_path: str,
@@ -30,10 +53,9 @@ def sessionize_logs(
     null_ts: str = "drop",
     hot_rows: int | None = HOT_ROWS,
 ) -> tuple[DataFrame, DataFrame]:
-    """JSON log -> (sessions with their pages, top pages)."""
+    """`page_analysis` of a JSON log."""
     events = read_json_events(spark, input_path)
-    pages = sessions.session_pages(events, session_gap_minutes, null_ts, hot_rows)
-    return pages, rankings.top_pages(events)
+    return page_analysis(events, session_gap_minutes, null_ts, hot_rows)
 
 
 def process_clickstream(
@@ -44,21 +66,20 @@ def process_clickstream(
     cart_scope: str = "viewed_rows",
     hot_rows: int | None = HOT_ROWS,
 ) -> tuple[DataFrame, DataFrame]:
-    """CSV log -> (sessions with their products, product view statistics)."""
+    """`product_analysis` of a CSV log."""
     events = read_csv_events(spark, input_path)
-    products = sessions.session_products(events, session_gap_minutes, null_ts, hot_rows)
-    return products, csv_names(rankings.product_views(events, cart_scope))
+    return product_analysis(events, session_gap_minutes, null_ts, cart_scope, hot_rows)
 
 
 def session_summary(product_sessions: DataFrame) -> DataFrame:
-    """Summary of the first table of `process_clickstream`."""
+    """Summary of the first table of `product_analysis`."""
     return reports.session_summary(
         product_sessions.withColumnRenamed("session_duration_minutes", "duration_minutes")
     )
 
 
 def top_five_products(products: DataFrame) -> DataFrame:
-    """First five rows of the second table of `process_clickstream`."""
+    """First five rows of the second table of `product_analysis`."""
     return products.limit(5)
 
 
