@@ -33,10 +33,11 @@ from clicktrail.session import ensure_checkpoint_dir
 # HOT_ROWS) keys can be hot.
 HOT_ROWS = 1_000_000
 # Rows per slice are between `hot_rows` / SLICE_SHRINK, where that gives no more
-# slices than the session has shuffle partitions, and `hot_rows` * SLICE_GROW,
-# which keeps the slices of 10^11 hot rows in the tens of thousands.
+# slices than the session has shuffle partitions, and `hot_rows` * SLICE_GROW
+# (1 to 2 GB, which a sort spills), so that 3 * 10^11 hot rows are sorted with
+# some 20,000 partitions and not with millions.
 SLICE_SHRINK = 16
-SLICE_GROW = 4
+SLICE_GROW = 16
 # Largest tables that are broadcast, here a few MB each: the hot keys, which
 # also pass the driver, and one row per (hot key, slice). Larger ones are
 # joined by shuffle.

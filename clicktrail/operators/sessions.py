@@ -10,6 +10,8 @@ Two plans compute the same sessions:
   gap apart, so a session can only begin at a chunk's first event, and the
   window runs over chunks instead of events. A user has at most (time span /
   gap) chunks, however many events: ten years at 30 minutes are 175,320 rows.
+  Only for gaps so short that this bound exceeds `hot_rows` are the chunks
+  themselves put through `per_key_order`.
 * `sessionize` labels every event and keeps the events in order, so it runs
   `per_key_order` over the events themselves.
 
@@ -24,7 +26,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from clicktrail.functions.events import (
     ADD_TO_CART,
@@ -54,6 +55,8 @@ from clicktrail.operators.ordered import (
 NULL_TS_POLICIES = ("drop", "keep_rows", "keep_range")
 # Events per row of `session_item_parts`.
 PART_SIZE = 100_000
+# Time span assumed for the number of chunks of one user: ten years.
+SPAN_SECONDS = 10 * 366 * 86_400
 
 
 def apply_null_ts(events: DataFrame, null_ts: str) -> DataFrame:
@@ -185,24 +188,23 @@ def session_table(
         .groupBy("user_id", "chunk")
         .agg(F.min("ts").alias("start_ts"), F.max("ts").alias("end_ts"), *_session_totals())
     )
-    by_user = Window.partitionBy("user_id").orderBy("chunk")
-    idle = seconds_between(F.lag("end_ts").over(by_user), F.col("start_ts"))
-    begins = F.when(idle <= gap_seconds, 0).otherwise(1)
-    if null_ts == "keep_range":
-        # The untimed events are the user's chunk NULL, sorted first.
-        begins = F.when(F.col("chunk").isNull(), F.col("event_count")).otherwise(begins)
-    up_to_here = by_user.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    sessions = (
-        chunks.withColumn("begins", begins.cast("bigint"))
-        .withColumn("session_seq", F.sum("begins").over(up_to_here))
-        .groupBy("user_id", "session_seq")
-        .agg(
+    def build(rows: Ordered) -> DataFrame:
+        rows = rows.add(prev_end=Previous(F.col("end_ts")))
+        idle = seconds_between(F.col("prev_end"), F.col("start_ts"))
+        begins = F.when(idle <= gap_seconds, 0).otherwise(1)
+        if null_ts == "keep_range":
+            # The untimed events are the user's chunk NULL, sorted first.
+            begins = F.when(F.col("chunk").isNull(), F.col("event_count")).otherwise(begins)
+        numbered = rows.add(session_seq=RunningSum(begins)).frame
+        return numbered.groupBy("user_id", "session_seq").agg(
             F.min("start_ts").alias("start_ts"),
             F.max("end_ts").alias("end_ts"),
             *[F.sum(name).alias(name) for name in _TOTALS],
         )
-    )
-    return _finish(sessions)
+
+    few_chunks = hot_rows is None or SPAN_SECONDS // width <= hot_rows
+    limit = None if few_chunks else hot_rows
+    return _finish(per_key_order(chunks, "user_id", ["chunk"], build, limit))
 
 
 def _duration_seconds() -> Column:

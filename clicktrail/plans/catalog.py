@@ -7,6 +7,7 @@ used: at 30, sessions of the test data have at most three events.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,8 @@ from clicktrail.operators import behavior as b
 from clicktrail.operators import rankings as r
 from clicktrail.operators import reports as p
 from clicktrail.operators import sessions as s
+from clicktrail.plans import analyses
+from clicktrail.session import ensure_checkpoint_dir
 from clicktrail.sources.event_table import read_event_table, read_table_events
 from clicktrail.sources.readers import event_profile
 
@@ -74,6 +77,39 @@ def _sequences(gap: int, hot_rows: int | None = s.HOT_ROWS) -> Query:
     return _events(build)
 
 
+def _stored_log(spark: SparkSession, folder: str, kind: str) -> str:
+    """The events written as a raw log, in the shared folder of the session."""
+    path = f"{ensure_checkpoint_dir(spark)}/log-{uuid.uuid4().hex}"
+    instant = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    if kind == "json":
+        read_table_events(spark, folder, "page").select(
+            instant.alias("timestamp"),
+            "user_id",
+            F.col("event_type").alias("action"),
+            F.col("item_id").alias("page_id"),
+        ).write.option("ignoreNullFields", False).json(path)
+    else:
+        read_table_events(spark, folder).select(
+            F.col("user_id").alias("UserID"),
+            instant.alias("Timestamp"),
+            F.col("event_type").alias("EventType"),
+            F.col("item_id").alias("ProductID"),
+        ).write.option("header", True).csv(path)
+    return path
+
+
+def _json_log(table: int) -> Query:
+    return lambda spark, folder: comparable(
+        analyses.sessionize_logs(spark, _stored_log(spark, folder, "json"), 720)[table]
+    )
+
+
+def _csv_log(table: int) -> Query:
+    return lambda spark, folder: comparable(
+        analyses.process_clickstream(spark, _stored_log(spark, folder, "csv"), 720)[table]
+    )
+
+
 def _time_queries() -> dict[str, Query]:
     found: dict[str, Query] = {}
     for name, unit in {"hour": "hour", "dow": "day_of_week", "month": "month"}.items():
@@ -104,6 +140,11 @@ def queries() -> dict[str, Query]:
             lambda t: p.session_summary(t).drop("unique_users"), 720
         ),
         "session_summary_approx_users_g720": _sessions(p.session_summary, 720),
+        # the same from raw logs, written and read back
+        "json_log_sessions_g720": _json_log(0),
+        "json_log_top_pages": _json_log(1),
+        "csv_log_sessions_g720": _csv_log(0),
+        "csv_log_products": _csv_log(1),
         # rankings and totals
         "top_pages": _events(r.top_pages, "page"),
         "product_views": _events(r.product_views),

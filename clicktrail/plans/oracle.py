@@ -192,6 +192,9 @@ _CARTS_VIEWED = "count(*) FILTER (event_type = 'add_to_cart' AND event_type = 'p
 def oracle_sql() -> dict[str, str]:
     user_activity = f"{_users(720)} SELECT * FROM a"
     transitions = _TRANSITIONS
+    top_pages = f"""WITH {PAGES}
+SELECT item_id AS page_id, count(*) AS views FROM e WHERE event_type = 'page_view'
+GROUP BY item_id"""
     return {
         "sessionized_events_g30": _sessionized(30),
         "sessionized_events_rows_frame_g30": _sessionized(30),
@@ -213,9 +216,12 @@ SELECT round(avg(minutes), 2) AS avg_duration_min, round(avg(n), 2) AS avg_event
         "session_summary_g720": f"""{_sessions(720)}
 SELECT count(*) AS total_sessions, round(avg(minutes), 2) AS avg_session_minutes,
        round(avg(n), 2) AS avg_events_per_session FROM t""",
-        "top_pages": f"""WITH {PAGES}
-SELECT item_id AS page_id, count(*) AS views FROM e WHERE event_type = 'page_view'
-GROUP BY item_id""",
+        "json_log_sessions_g720": _page_metrics(720),
+        "json_log_top_pages": top_pages,
+        "csv_log_sessions_g720": _product_metrics(720),
+        "csv_log_products": f"""SELECT item_id AS "ProductID", view_count, unique_viewers, cart_adds
+FROM ({_products(_CARTS_VIEWED)})""",
+        "top_pages": top_pages,
         "product_views": _products(_CARTS_VIEWED),
         "product_views_all_cart": _products(_CARTS_ALL),
         "top_products_10": f"""SELECT item_id, view_count AS views, unique_viewers, cart_adds

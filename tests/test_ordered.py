@@ -88,8 +88,16 @@ def test_slices_are_bounded_even_for_copies(spark, monkeypatch):
     result = o.per_key_order(rows, "k", ["t"], keep, 100)
     assert result.count() == 6000
     assert sum(seen["sizes"]) == 6000
-    assert len(seen["sizes"]) >= 10
-    assert max(seen["sizes"]) <= 3 * 100 * o.SLICE_GROW
+    tasks = o._slice_count(spark, 6000, 100)
+    assert len(seen["sizes"]) == tasks == 8
+    assert max(seen["sizes"]) <= 2 * 6000 / tasks
+
+
+def test_slice_count(spark):
+    assert o._slice_count(spark, 1_500_000, 1_000_000) == 8  # the session's partitions
+    assert o._slice_count(spark, 3 * 10**11, 1_000_000) == 18_750  # 16 million rows each
+    assert o._slice_count(spark, 101, 100) == 8
+    assert o._slice_count(spark, 5, 100) == 2
 
 
 @pytest.mark.parametrize("limits", [(2, 100_000), (10_000, 0), (2, 0)])

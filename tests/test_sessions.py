@@ -137,10 +137,12 @@ def micros(ts):
 
 @pytest.mark.parametrize("null_ts", s.NULL_TS_POLICIES)
 @pytest.mark.parametrize("gap", [0, 1, 12, 720])
-def test_session_table_matches_plain_python(skewed, null_ts, gap):
+@pytest.mark.parametrize("hot_rows", [None, s.HOT_ROWS, 30])
+def test_session_table_matches_plain_python(skewed, null_ts, gap, hot_rows):
+    # With a row limit of 30, the chunks of gaps 0, 1 and 12 take the sliced plan.
     found = {
         (r.user_id, r.session_seq): (r.session_id, r.event_count, r.cart_adds, r.purchases, r.product_views, r.duration_seconds)
-        for r in s.session_table(skewed, gap, null_ts).collect()
+        for r in s.session_table(skewed, gap, null_ts, hot_rows).collect()
     }
     expected = {}
     for (user, seq), own in sessions(ROWS, gap, null_ts).items():
