@@ -308,7 +308,10 @@ def _slice(rows: DataFrame, key: str, order: tuple[str, ...], hot: HotKeys, hot_
     spark = rows.sparkSession
     ensure_checkpoint_dir(spark)
     tasks = _slice_count(spark, hot.rows, hot_rows)
-    by = [key, *order, COPY]
+    # Rows that tie in the order are told apart by their other columns, then
+    # by the copy number, so that no range is wider than its share.
+    others = [c for c in rows.columns if c != key and c not in order]
+    by = [key, *order, *others, COPY]
     placed = (
         _number_copies(rows, tasks)
         .repartitionByRange(tasks, *by)

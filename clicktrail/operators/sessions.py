@@ -188,6 +188,7 @@ def session_table(
         .groupBy("user_id", "chunk")
         .agg(F.min("ts").alias("start_ts"), F.max("ts").alias("end_ts"), *_session_totals())
     )
+
     def build(rows: Ordered) -> DataFrame:
         rows = rows.add(prev_end=Previous(F.col("end_ts")))
         idle = seconds_between(F.col("prev_end"), F.col("start_ts"))

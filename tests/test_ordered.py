@@ -75,9 +75,10 @@ def test_neighbour_that_is_null(spark):
     assert as_counts(plain) == as_counts(sliced)
 
 
-def test_slices_are_bounded_even_for_copies(spark, monkeypatch):
+@pytest.mark.parametrize("other", ["0", "id"], ids=["copies", "ties"])
+def test_slices_are_bounded_for_copies_and_ties(spark, monkeypatch, other):
     monkeypatch.setattr(o, "COPIES_PER_BLOCK", 64)
-    rows = spark.range(6000).select(F.lit("bot").alias("k"), F.lit(1).alias("t"))
+    rows = spark.range(6000).select(F.lit("bot").alias("k"), F.lit(1).alias("t"), F.expr(other).alias("x"))
     seen = {}
 
     def keep(ordered):
