@@ -18,6 +18,8 @@ WEEKDAYS = ["Sun", "Mon", "Tue", "Wed", "Thu", "Fri", "Sat"]
 # The order of one user's events. Only `ts` carries meaning; the rest makes
 # the outcome repeatable when several events share an instant.
 EVENT_ORDER = ["ts", "event_id", "event_type", "item_id"]
+# Enough where results show no items.
+TYPE_ORDER = ["ts", "event_id", "event_type"]
 
 DEFAULT_GAP_MINUTES = 30
 

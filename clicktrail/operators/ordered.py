@@ -240,15 +240,16 @@ class HotKeys:
 def find_hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> HotKeys | None:
     """Count rows per key and return the hot keys, None if there are none.
 
-    At most BROADCAST_KEYS + 1 keys reach the driver; if there are more, the
-    keys stay a distributed table.
+    The largest BROADCAST_KEYS + 1 keys at most reach the driver; if there are
+    that many, the keys stay a distributed table. (Taking the largest is one
+    job; taking any would try few partitions first, then more, in several.)
     """
     counts = (
         df.groupBy(F.col(key).alias("_hot_key"))
         .agg(F.count("*").alias("_hot_rows"))
         .filter(F.col("_hot_rows") > hot_rows)
     )
-    found = counts.limit(BROADCAST_KEYS + 1).collect()
+    found = counts.orderBy(F.desc("_hot_rows")).limit(BROADCAST_KEYS + 1).collect()
     if not found:
         return None
     if len(found) <= BROADCAST_KEYS:

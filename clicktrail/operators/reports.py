@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from clicktrail.functions.events import (
     DEFAULT_GAP_MINUTES,
+    TYPE_ORDER,
     bucket_order,
     duration_bucket,
 )
@@ -139,14 +140,18 @@ def event_position_counts(
     gap_minutes: int = DEFAULT_GAP_MINUTES,
     null_ts: str = "drop",
     hot_rows: int | None = HOT_ROWS,
+    limit: int | None = None,
 ) -> DataFrame:
     """How often each event type stands at each position of a session."""
-    return (
-        event_positions(events, gap_minutes, null_ts, hot_rows)
-        .groupBy("event_type", "event_position")
+    positions = event_positions(
+        events.select("user_id", *TYPE_ORDER), gap_minutes, null_ts, hot_rows
+    )
+    counts = (
+        positions.groupBy("event_type", "event_position")
         .count()
         .orderBy("event_position", F.desc("count"), "event_type")
     )
+    return counts if limit is None else counts.limit(limit)
 
 
 def sequence_counts(

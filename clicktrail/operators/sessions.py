@@ -24,6 +24,8 @@ Events without a timestamp (`null_ts`):
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +36,7 @@ from clicktrail.functions.events import (
     PRODUCT_VIEW,
     PURCHASE,
     SEQUENCE_SEPARATOR,
+    TYPE_ORDER,
     check_gap,
     count_events,
     is_event,
@@ -65,6 +68,11 @@ def apply_null_ts(events: DataFrame, null_ts: str) -> DataFrame:
     return events.filter(F.col("ts").isNotNull()) if null_ts == "drop" else events
 
 
+def _order(events: DataFrame) -> list[str]:
+    """The order columns the events have: what no result shows, none carries."""
+    return [c for c in EVENT_ORDER if c in events.columns]
+
+
 # --- every event labelled with its session -----------------------------------
 
 
@@ -125,7 +133,7 @@ def sessionize(
         return _label(rows, gap_minutes, null_ts).frame.select(*events.columns, *added)
 
     kept = apply_null_ts(events, null_ts)
-    return per_key_order(kept, "user_id", EVENT_ORDER, build, hot_rows)
+    return per_key_order(kept, "user_id", _order(kept), build, hot_rows)
 
 
 def event_positions(
@@ -141,7 +149,7 @@ def event_positions(
         return labelled.select(*events.columns, "session_seq", "session_id", "event_position")
 
     kept = apply_null_ts(events, null_ts)
-    return per_key_order(kept, "user_id", EVENT_ORDER, build, hot_rows)
+    return per_key_order(kept, "user_id", _order(kept), build, hot_rows)
 
 
 # --- one row per session, totals only ----------------------------------------
@@ -253,6 +261,7 @@ def _sessions_with_list(
     list_of: str,
     keep: Column | None = None,
     distinct: dict[str, str] | None = None,
+    order: Sequence[str] = EVENT_ORDER,
 ) -> DataFrame:
     """One row per session: start_ts, end_ts, counts, distinct counts, a list.
 
@@ -297,8 +306,8 @@ def _sessions_with_list(
     def build(rows: Ordered) -> DataFrame:
         return sliced(rows) if rows.hot else plain(rows)
 
-    kept = apply_null_ts(events, null_ts)
-    return per_key_order(kept, "user_id", EVENT_ORDER, build, hot_rows).withColumn(
+    kept = apply_null_ts(events.select("user_id", *order), null_ts)
+    return per_key_order(kept, "user_id", order, build, hot_rows).withColumn(
         "session_id", session_id()
     )
 
@@ -381,6 +390,7 @@ def session_sequences(
         "event_sequence",
         "event_type",
         keep=F.col("event_type").isNotNull(),
+        order=TYPE_ORDER,
     )
     return sessions.select(
         "user_id",
@@ -420,8 +430,8 @@ def session_item_parts(
             )
         )
 
-    kept = apply_null_ts(events, null_ts)
-    return per_key_order(kept, "user_id", EVENT_ORDER, build, hot_rows)
+    kept = apply_null_ts(events.select("user_id", *{*EVENT_ORDER, value}), null_ts)
+    return per_key_order(kept, "user_id", _order(kept), build, hot_rows)
 
 
 def session_sequence_labels(
@@ -469,5 +479,5 @@ def session_sequence_labels(
     def build(rows: Ordered) -> DataFrame:
         return sliced(rows) if rows.hot else plain(rows)
 
-    kept = apply_null_ts(events, null_ts)
-    return per_key_order(kept, "user_id", EVENT_ORDER, build, hot_rows)
+    kept = apply_null_ts(events.select("user_id", *TYPE_ORDER), null_ts)
+    return per_key_order(kept, "user_id", TYPE_ORDER, build, hot_rows)

@@ -282,5 +282,7 @@ GROUP BY item_id, event_type""",
         "product_transitions_split": transitions,
         "event_profile": """SELECT count(*) AS row_count,
        count(*) FILTER (ts IS NULL) AS untimed_rows, CAST(6 AS BIGINT) AS column_count,
-       'event_id,ts,user_id,event_type,value,props' AS columns FROM events""",
+       'event_id,ts,user_id,event_type,value,props' AS columns,
+       'struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string,value:double,props:string>'
+         AS schema FROM events""",
     }

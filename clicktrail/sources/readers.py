@@ -130,12 +130,13 @@ def read_events(
 
 
 def event_profile(table: DataFrame, ts: str | None = None) -> DataFrame:
-    """One row: row_count, column_count, columns, and untimed_rows if `ts` is given."""
+    """One row: row_count, column_count, columns, schema, and untimed_rows if `ts` is given."""
     untimed = [] if ts is None else [F.count_if(F.col(ts).isNull()).alias("untimed_rows")]
     return table.agg(F.count("*").alias("row_count"), *untimed).withColumns(
         {
             "column_count": F.lit(len(table.columns)).cast("bigint"),
             "columns": F.lit(",".join(table.columns)),
+            "schema": F.lit(table.schema.simpleString()),
         }
     )
 

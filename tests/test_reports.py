@@ -113,6 +113,7 @@ def test_sequences_and_positions(skewed):
             expected[text] = expected.get(text, 0) + 1
     counts = p.sequence_counts(skewed, gap)
     assert dict(tuples(counts)) == expected
+    assert p.event_position_counts(skewed, gap, limit=3).count() == 3
     best = sorted(expected.items(), key=lambda x: (-x[1], x[0]))[:10]
     assert tuples(p.top_sequences(counts)) == best
 

@@ -137,7 +137,7 @@ def micros(ts):
 
 @pytest.mark.parametrize("null_ts", s.NULL_TS_POLICIES)
 @pytest.mark.parametrize("gap", [0, 1, 12, 720])
-@pytest.mark.parametrize("hot_rows", [None, s.HOT_ROWS, 30])
+@pytest.mark.parametrize("hot_rows", [s.HOT_ROWS, 30])
 def test_session_table_matches_plain_python(skewed, null_ts, gap, hot_rows):
     # With a row limit of 30, the chunks of gaps 0, 1 and 12 take the sliced plan.
     found = {
