@@ -281,17 +281,16 @@ def _sessions_with_list(
         return labelled.groupBy(*keys).agg(*spans, *counted, *unique, items)
 
     def sliced(rows: Ordered) -> DataFrame:
-        # Parts of at most `hot_rows` events; a list is passed on from the
-        # first part only, and dropped again if there are others.
+        # No more than `hot_rows` events of a session are collected; a list
+        # that would need more is dropped for `session_item_parts` to give.
         labelled = _label(rows, gap_minutes, null_ts, positions=True).frame
-        items = _in_order(list_of, keep, "event_position").alias(list_name)
-        parts = labelled.groupBy(*keys, _part(hot_rows)).agg(*spans, *counted, items)
-        last = F.max("part")
-        sessions = parts.groupBy(*keys).agg(
-            F.min("start_ts").alias("start_ts"),
-            F.max("end_ts").alias("end_ts"),
-            *[F.sum(n).alias(n) for n in counts],
-            F.when(last == 0, F.max(F.when(F.col("part") == 0, F.col(list_name)))).alias(list_name),
+        fits = F.col("event_position") <= hot_rows
+        kept_and_fits = fits if keep is None else fits & keep
+        items = _in_order(list_of, kept_and_fits, "event_position")
+        sessions = labelled.groupBy(*keys).agg(
+            *spans,
+            *counted,
+            F.when(F.max("event_position") <= hot_rows, items).alias(list_name),
         )
         for name, column in distinct.items():
             unique = labelled.groupBy(
