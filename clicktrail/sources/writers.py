@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 # Largest result that goes through one task into one file.
 SINGLE_FILE_ROWS = 1_000_000
@@ -13,23 +14,18 @@ def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def write_csv(
-    df: DataFrame,
-    path: str,
-    order_by: list[str | Column] | None = None,
-    single_file_rows: int = SINGLE_FILE_ROWS,
-) -> None:
-    """CSV with header, replacing what is there: one file if the result is small.
+def write_csv(df: DataFrame, path: str, single_file_rows: int = SINGLE_FILE_ROWS) -> None:
+    """CSV with header in the order of `df`, replacing what is there.
 
-    A result of more than `single_file_rows` rows keeps its partitions, one
-    file each, which read in file order are in the order of `df`.
+    A result of up to `single_file_rows` rows becomes one file. A larger one
+    keeps its partitions, one file each, to be read in the order of their names.
     """
-    result = df.persist()
+    # The place of each row, as moving rows into one task loses their order.
+    placed = df.withColumn("_place", F.monotonically_increasing_id()).persist()
     try:
-        if result.count() <= single_file_rows:
-            result = result.repartition(1)
-            if order_by:
-                result = result.sortWithinPartitions(*order_by)
-        result.write.mode("overwrite").option("header", True).csv(path)
+        result = placed
+        if placed.count() <= single_file_rows:
+            result = placed.repartition(1).sortWithinPartitions("_place")
+        result.drop("_place").write.mode("overwrite").option("header", True).csv(path)
     finally:
-        df.unpersist()
+        placed.unpersist()
