@@ -7,11 +7,11 @@ import os
 import duckdb
 import pytest
 
-import __spark_entry__ as contract
+from clicktrail.plans import catalog, oracle
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
-QUERIES = contract.queries()
-SQL = contract.oracle_sql()
+QUERIES = catalog.queries()
+SQL = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
