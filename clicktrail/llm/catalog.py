@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from clicktrail.llm.common import table
 from clicktrail.llm.line_dedup import drop_repeated_lines
+from clicktrail.llm.simhash import simhash_components
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,6 +19,10 @@ def line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash_components(table(spark, folder, "documents"))
+
+
 SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
@@ -44,6 +49,7 @@ FROM marked GROUP BY doc_id
 def queries() -> dict[str, Query]:
     return {
         "op1_line_dedup": line_dedup,
+        "op3_simhash": simhash,
     }
 
 
