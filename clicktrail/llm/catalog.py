@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clicktrail.llm.common import table
 from clicktrail.llm.line_dedup import drop_repeated_lines
+from clicktrail.llm.pieces import encode_pieces
 from clicktrail.llm.simhash import simhash_components
+from clicktrail.llm.topk import top_k
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,10 +22,25 @@ def line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    encoded = encode_pieces(table(spark, folder, "documents"), model)
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash_components(table(spark, folder, "documents"))
 
 
+def topk(spark: SparkSession, folder: str) -> DataFrame:
+    return top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
@@ -45,15 +63,34 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
 FROM marked GROUP BY doc_id
 """
 
+TOPK = """
+WITH kept AS (
+  SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+    CAST(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) AS BIGINT) AS score
+  FROM kept q JOIN kept c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+  WHERE q.vec_id % 50 = 0
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
 
 def queries() -> dict[str, Query]:
     return {
         "op1_line_dedup": line_dedup,
+        "op2_sentencepiece": sentencepiece,
         "op3_simhash": simhash,
+        "op5_topk": topk,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_line_dedup": LINE_DEDUP,
+        "op5_topk": TOPK,
     }

@@ -13,7 +13,7 @@ from clicktrail.session import ensure_checkpoint_dir
 
 # A slice of an Arrow batch that is turned into Python objects at one time.
 SLICE_ROWS = 256
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -44,12 +44,12 @@ def others(df: DataFrame, *taken: str) -> Column:
     return F.struct(*[F.col(f"`{name}`") for name in names] or [F.lit(None).alias("none")]).alias("rest")
 
 
-def text_slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
-    """Ranges of rows with at most SLICE_ROWS rows and, beyond one row, SLICE_BYTES bytes."""
+def text_slices(texts: pa.Array, rows: int = SLICE_ROWS) -> Iterator[tuple[int, int]]:
+    """Ranges with at most `rows` rows and, beyond one row, SLICE_BYTES bytes."""
     sizes = pa.compute.fill_null(pa.compute.binary_length(texts), 0).to_pylist()
     start = size = 0
     for row, more in enumerate(sizes):
-        if row > start and (row - start >= SLICE_ROWS or size + more > SLICE_BYTES):
+        if row > start and (row - start >= rows or size + more > SLICE_BYTES):
             yield start, row
             start, size = row, 0
         size += more
