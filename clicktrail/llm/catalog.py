@@ -8,11 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clicktrail.llm.common import table
+from clicktrail.llm.common import shared_path, table
 from clicktrail.llm.line_dedup import drop_repeated_lines
 from clicktrail.llm.pieces import encode_pieces
 from clicktrail.llm.simhash import simhash_components
 from clicktrail.llm.topk import top_k
+from clicktrail.llm.warc import read_warc, write_warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -41,6 +42,13 @@ def topk(spark: SparkSession, folder: str) -> DataFrame:
     return top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def warc(spark: SparkSession, folder: str) -> DataFrame:
+    path = shared_path(spark, "warc")
+    write_warc(table(spark, folder, "pages"), path)
+    chunks = read_warc(spark, path, with_data=False)
+    return chunks.where("last").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
@@ -79,6 +87,18 @@ WITH kept AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
+WARC = """
+WITH payloads AS (
+  SELECT page_id, coalesce(html, '') AS payload, octet_length(encode(coalesce(html, ''))) AS n FROM pages
+), kept AS (
+  SELECT payload, max(page_id) AS keeper FROM payloads WHERE n >= 1000 GROUP BY payload
+)
+SELECT p.page_id, CAST(p.n AS BIGINT) AS payload_bytes, sha1(p.payload) AS payload_digest,
+  CASE WHEN k.keeper <> p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN k.keeper <> p.page_id THEN k.keeper END AS refers_to
+FROM payloads p LEFT JOIN kept k ON p.payload = k.payload AND p.n >= 1000
+"""
+
 
 def queries() -> dict[str, Query]:
     return {
@@ -86,6 +106,7 @@ def queries() -> dict[str, Query]:
         "op2_sentencepiece": sentencepiece,
         "op3_simhash": simhash,
         "op5_topk": topk,
+        "op6_warc": warc,
     }
 
 
@@ -93,4 +114,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_line_dedup": LINE_DEDUP,
         "op5_topk": TOPK,
+        "op6_warc": WARC,
     }
