@@ -12,6 +12,7 @@ from clicktrail.llm.common import shared_path, table
 from clicktrail.llm.line_dedup import drop_repeated_lines
 from clicktrail.llm.pieces import encode_pieces
 from clicktrail.llm.simhash import simhash_components
+from clicktrail.llm.token_files import read_ids, write_documents
 from clicktrail.llm.topk import top_k
 from clicktrail.llm.warc import read_warc, write_warc
 
@@ -38,6 +39,12 @@ def simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash_components(table(spark, folder, "documents"))
 
 
+def token_files(spark: SparkSession, folder: str) -> DataFrame:
+    path = shared_path(spark, "token-files")
+    write_documents(table(spark, folder, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    return read_ids(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def topk(spark: SparkSession, folder: str) -> DataFrame:
     return top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
 
@@ -105,6 +112,7 @@ def queries() -> dict[str, Query]:
         "op1_line_dedup": line_dedup,
         "op2_sentencepiece": sentencepiece,
         "op3_simhash": simhash,
+        "op4_token_files": token_files,
         "op5_topk": topk,
         "op6_warc": warc,
     }
