@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clicktrail.llm.common import shared_path, table
+from clicktrail.llm.decontaminate import contaminated
 from clicktrail.llm.line_dedup import drop_repeated_lines
 from clicktrail.llm.pieces import encode_pieces
 from clicktrail.llm.simhash import simhash_components
@@ -56,6 +57,10 @@ def warc(spark: SparkSession, folder: str) -> DataFrame:
     return chunks.where("last").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
@@ -115,6 +120,7 @@ def queries() -> dict[str, Query]:
         "op4_token_files": token_files,
         "op5_topk": topk,
         "op6_warc": warc,
+        "op9_decontamination": decontamination,
     }
 
 
