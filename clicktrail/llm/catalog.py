@@ -5,16 +5,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clicktrail.llm.common import shared_path, table
 from clicktrail.llm.decontaminate import contaminated
 from clicktrail.llm.line_dedup import drop_repeated_lines
 from clicktrail.llm.pieces import encode_pieces
+from clicktrail.llm.quality import fit_quality, quality_score
+from clicktrail.llm.samples import fold
 from clicktrail.llm.simhash import simhash_components
 from clicktrail.llm.token_files import read_ids, write_documents
 from clicktrail.llm.topk import top_k
+from clicktrail.llm.toxicity import fit_toxicity, toxicity
 from clicktrail.llm.warc import read_warc, write_warc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +64,23 @@ def decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def _scored(docs: DataFrame, score: Column, held_out: Column) -> DataFrame:
+    scored = docs.select("doc_id", held_out.alias("held_out"), score.alias("score"))
+    return scored.withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0))
+
+
+def quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = fit_quality(docs, table(spark, folder, "labels"))
+    return _scored(docs, quality_score(model), fold(F.col("doc_id"), 3) == 1)
+
+
+def toxic(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = fit_toxicity(docs, table(spark, folder, "labels"))
+    return _scored(docs, toxicity(model)["score"], fold(F.col("doc_id"), 5) == 0)
+
+
 SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
@@ -120,7 +140,9 @@ def queries() -> dict[str, Query]:
         "op4_token_files": token_files,
         "op5_topk": topk,
         "op6_warc": warc,
+        "op7_quality": quality,
         "op9_decontamination": decontamination,
+        "op10_toxicity": toxic,
     }
 
 
