@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from clicktrail.llm.common import shared_path, table
 from clicktrail.llm.decontaminate import contaminated
+from clicktrail.llm.licenses import licence_scan
 from clicktrail.llm.line_dedup import drop_repeated_lines
 from clicktrail.llm.pieces import encode_pieces
 from clicktrail.llm.quality import fit_quality, quality_score
@@ -81,6 +82,26 @@ def toxic(spark: SparkSession, folder: str) -> DataFrame:
     return _scored(docs, toxicity(model)["score"], fold(F.col("doc_id"), 5) == 0)
 
 
+def licenses(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    scanned = docs.select("doc_id", licence_scan(docs).alias("scan")).select("doc_id", "scan.*")
+
+    def joined(labels: Column) -> Column:
+        return F.array_join(F.array_sort(F.array_distinct(labels)), ",")
+
+    base, words = F.col("places")["label"], F.col("places")["word"]
+    return scanned.select(
+        "doc_id",
+        "n_words",
+        F.size("places").cast("long").alias("n_base"),
+        F.array_min(words).alias("first_word"),
+        F.array_max(words).alias("last_word"),
+        joined(base).alias("base_labels"),
+        joined(F.concat(base, F.col("found")["label"])).alias("labels"),
+        "score",
+    )
+
+
 SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
@@ -141,6 +162,7 @@ def queries() -> dict[str, Query]:
         "op5_topk": topk,
         "op6_warc": warc,
         "op7_quality": quality,
+        "op8_licenses": licenses,
         "op9_decontamination": decontamination,
         "op10_toxicity": toxic,
     }

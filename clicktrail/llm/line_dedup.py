@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from clicktrail.llm.common import batch_of, byte_texts, others, settled, stored, text_slices
 
-SHARD_KEYS = 1 << 15  # keys of a shard; its arrays take about 25 bytes a key
+SHARD_KEYS = 1 << 12  # keys of a shard; its arrays take about 25 bytes a key
 HOT_SHARDS = 64  # a shard with more than this fraction of the probes is copied
 SPREAD = 512  # a copy answers about this fraction of the probes
 
