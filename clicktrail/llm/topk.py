@@ -9,7 +9,7 @@ vectors, as an exact search needs; rows between steps are tiles and lists of k.
 
 Components become floor(256 * x) of the double x. Products are taken in doubles
 where every sum stays below 2^53, which is exact, and in Python's integers
-where it doesn't; a score beyond 64 bits is given as the nearest 64-bit number.
+where it doesn't; scores beyond 64 bits become the nearest 64-bit number and tie.
 
 Rules: vectors that are NULL, or hold a NULL or non-finite component, take no
 part, nor do rows with NULL id. Vectors of unequal length never meet. Ties go
