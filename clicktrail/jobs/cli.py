@@ -6,9 +6,13 @@
     basic, engagement, products, timing, returns, behavior, overview
                    any log -> one Parquet dataset per result under --out
 
-A text log is parsed again by every result that reads it. With --staging the
-job first stores the canonical events as Parquet, where each result reads only
-the columns it needs; `convert` does that alone, for several jobs.
+A text log is parsed once: the job first stores the canonical events as Parquet,
+where each result reads only the columns it needs, in the folder that --staging
+names or beside the results. With --no-staging every result parses the log
+again. `convert` stores the events alone, for several jobs.
+
+Jobs that make sessions also write `dropped_events`, the number of events that
+have no timestamp and therefore no session.
 """
 
 from __future__ import annotations
@@ -19,30 +23,36 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from clicktrail.functions.events import DEFAULT_GAP_MINUTES
-from clicktrail.operators.sessions import NULL_TS_POLICIES, session_table
+from clicktrail.operators.sessions import NULL_TS_POLICIES, dropped_events, session_table
 from clicktrail.plans import analyses
 from clicktrail.session import build_spark
-from clicktrail.sources.readers import READERS, read_events
+from clicktrail.sources.readers import READERS, event_format, read_events
 from clicktrail.sources.writers import write_csv, write_parquet
 
 
 def _events(spark: SparkSession, args: argparse.Namespace, fmt: str | None) -> DataFrame:
     events = read_events(spark, args.input, fmt)
-    if not args.staging:
+    if args.no_staging or (event_format(args.input, fmt) == "parquet" and not args.staging):
         return events
-    write_parquet(events, args.staging)
-    return read_events(spark, args.staging, "parquet")
+    staging = args.staging or f"{getattr(args, 'out', None) or args.out_sessions}_events"
+    write_parquet(events, staging)
+    return read_events(spark, staging, "parquet")
 
 
 def _convert(spark: SparkSession, args: argparse.Namespace) -> None:
     write_parquet(read_events(spark, args.input, args.format, args.keep), args.out)
 
 
+def _dropped(events: DataFrame, args: argparse.Namespace) -> None:
+    write_parquet(dropped_events(events, args.null_ts), f"{args.out_sessions}_dropped_events")
+
+
 def _json_sessions(spark: SparkSession, args: argparse.Namespace) -> None:
     events = _events(spark, args, "json")
     sessions, pages = analyses.page_analysis(events, args.gap_minutes, args.null_ts)
     write_parquet(sessions, args.out_sessions)
     write_parquet(pages, args.out_top)
+    _dropped(events, args)
 
 
 def _csv_sessions(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -52,6 +62,7 @@ def _csv_sessions(spark: SparkSession, args: argparse.Namespace) -> None:
     )
     write_parquet(sessions, args.out_sessions)
     write_parquet(products, args.out_products)
+    _dropped(events, args)
     # The summaries read the stored results, not the log again.
     analyses.session_summary(spark.read.parquet(args.out_sessions)).show()
     stored = spark.read.parquet(args.out_products)
@@ -75,12 +86,19 @@ def _engagement(spark: SparkSession, events: DataFrame, args: argparse.Namespace
     return analyses.engagement_report(events, args.gap_minutes, args.null_ts, table)
 
 
+def _returns(spark: SparkSession, events: DataFrame, args: argparse.Namespace) -> dict[str, DataFrame]:
+    """The gaps are written once; histogram and categories read them."""
+    path = f"{args.out}/gaps"
+    write_parquet(analyses.return_gaps(events), path)
+    return analyses.user_returns(spark.read.parquet(path))
+
+
 REPORTS: dict[str, Callable[[SparkSession, DataFrame, argparse.Namespace], dict[str, DataFrame]]] = {
     "basic": _basic,
     "engagement": _engagement,
     "products": lambda spark, events, args: analyses.product_report(events),
     "timing": lambda spark, events, args: analyses.timing_patterns(events, args.time_unit),
-    "returns": lambda spark, events, args: analyses.user_returns(events),
+    "returns": _returns,
     "behavior": lambda spark, events, args: analyses.product_behavior(events),
     "overview": lambda spark, events, args: analyses.overview(events),
 }
@@ -90,7 +108,7 @@ def _report(spark: SparkSession, args: argparse.Namespace) -> None:
     events = _events(spark, args, args.format)
     for name, result in REPORTS[args.job](spark, events, args).items():
         if args.csv:
-            write_csv(result, f"{args.out}/{name}")
+            write_csv(result, f"{args.out}/{name}", args.single_file)
         else:
             write_parquet(result, f"{args.out}/{name}")
 
@@ -105,6 +123,7 @@ def _parser() -> argparse.ArgumentParser:
         job.add_argument("--input", required=True, help="file or folder")
         if name != "convert":
             job.add_argument("--staging", help="store the canonical events here and read them back")
+            job.add_argument("--no-staging", action="store_true", help="parse a text log for every result")
         if sessions:
             job.add_argument("--gap-minutes", type=int, default=DEFAULT_GAP_MINUTES)
             job.add_argument("--null-ts", choices=NULL_TS_POLICIES, default="drop")
@@ -129,6 +148,7 @@ def _parser() -> argparse.ArgumentParser:
         report.add_argument("--format", choices=list(READERS))
         report.add_argument("--out", required=True)
         report.add_argument("--csv", action="store_true", help="write CSV instead of Parquet")
+        report.add_argument("--single-file", action="store_true", help="one CSV file per result")
         if name == "timing":
             report.add_argument("--time-unit", choices=["hour", "day_of_week", "month"], default="hour")
     return parser

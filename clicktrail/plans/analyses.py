@@ -89,13 +89,14 @@ def basic_report(
     null_ts: str = "drop",
     table: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
-    """Totals, event types, session averages, top 10 products."""
+    """Totals, event types, session averages, dropped events, top 10 products."""
     if table is None:
         table = sessions.session_table(events, gap_minutes, null_ts)
     return {
         "basic_totals": reports.basic_totals(table),
         "event_types": csv_names(rankings.event_type_distribution(events)),
         "session_averages": reports.session_averages(table),
+        "dropped_events": sessions.dropped_events(events, null_ts),
         "top_products": csv_names(rankings.top_products(events, 10)),
     }
 
@@ -107,13 +108,14 @@ def engagement_report(
     table: DataFrame | None = None,
     hot_rows: int | None = HOT_ROWS,
 ) -> dict[str, DataFrame]:
-    """Engagement, event positions, durations, funnel, top 10 sequences."""
+    """Dropped events, engagement, event positions, durations, funnel, top 10 sequences."""
     if table is None:
         table = sessions.session_table(events, gap_minutes, null_ts)
     limit = hot_limit(sessions.apply_null_ts(events, null_ts), "user_id", hot_rows)
     positions = reports.event_position_counts(events, gap_minutes, null_ts, limit)
     sequences = reports.sequence_counts(events, gap_minutes, null_ts, limit)
     return {
+        "dropped_events": sessions.dropped_events(events, null_ts),
         "engagement": reports.engagement(table),
         "event_positions": csv_names(positions),
         "duration_distribution": reports.duration_distribution(table),
@@ -135,21 +137,24 @@ def product_report(events: DataFrame) -> dict[str, DataFrame]:
 
 def timing_patterns(events: DataFrame, time_unit: str = "hour") -> dict[str, DataFrame]:
     """Events per time unit, and per time unit and event type."""
-    return {
+    found = {
         f"events_by_{time_unit}": behavior.events_by_time(events, time_unit),
         f"event_types_by_{time_unit}": csv_names(behavior.event_types_by_time(events, time_unit)),
     }
+    if time_unit == "hour":
+        found["event_types_hourly"] = csv_names(behavior.event_types_by_hour(events))
+    return found
 
 
-def user_returns(events: DataFrame, hot_rows: int | None = HOT_ROWS) -> dict[str, DataFrame]:
-    """Gaps between a user's events, their histogram and categories."""
-    timed = sessions.apply_null_ts(events, "drop")
-    limit = hot_limit(timed, "user_id", hot_rows)
-    return {
-        "gaps": csv_names(behavior.user_return_gaps(timed, limit)),
-        "histogram": behavior.return_histogram(timed, hot_rows=limit),
-        "categories": behavior.return_categories(timed, limit),
-    }
+def return_gaps(events: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+    """Gaps between a user's events."""
+    return csv_names(behavior.user_return_gaps(events, hot_rows))
+
+
+def user_returns(gaps: DataFrame) -> dict[str, DataFrame]:
+    """Histogram and categories of `return_gaps`, which a job stores first."""
+    seconds = behavior.stored_gap_seconds(gaps)
+    return {"histogram": behavior.gap_histogram(seconds), "categories": behavior.gap_categories(seconds)}
 
 
 def product_behavior(

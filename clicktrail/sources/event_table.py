@@ -8,23 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clicktrail.functions.events import ADD_TO_CART, PAGE_VIEW, PRODUCT_VIEW, PURCHASE
-from clicktrail.schema import to_events
+from clicktrail.schema import require_columns, to_events
 
 # Event names of the table and what they stand for. Event types
 # not listed keep their name and concern no item.
 PRODUCT_TYPES = {"view": PRODUCT_VIEW, "click": ADD_TO_CART, "purchase": PURCHASE}
 PAGE_TYPES = {"view": PAGE_VIEW, "click": "click", "purchase": PURCHASE}
 FLAVOURS = {"product": PRODUCT_TYPES, "page": PAGE_TYPES}
-
-
-TABLE_SCHEMA = (
-    "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
-)
+USED_COLUMNS = ["event_id", "ts", "user_id", "event_type", "props"]
 
 
 def read_event_table(spark: SparkSession, folder: str) -> DataFrame:
-    """The table as stored; with the schema given, no job runs to find it."""
-    return spark.read.schema(TABLE_SCHEMA).parquet(f"{folder}/events.parquet")
+    """The table as stored; a ValueError names the columns it lacks."""
+    return require_columns(spark.read.parquet(f"{folder}/events.parquet"), USED_COLUMNS, "event table")
 
 
 def table_events(table: DataFrame, flavour: str = "product") -> DataFrame:

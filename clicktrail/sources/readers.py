@@ -15,8 +15,11 @@ JSON_COLUMNS = ["timestamp", "user_id", "action", "page_id"]
 CSV_COLUMNS = ["UserID", "Timestamp", "EventType", "ProductID"]
 
 CORRUPT = "_corrupt_record"
-# JSON lines looked at to learn the columns without reading the whole input.
+# JSON lines looked at before all are searched for a column's name.
 SAMPLE_LINES = 1000
+# A number, which as a timestamp means epoch seconds, and the largest that has an instant.
+NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+LAST_SECOND = 253_402_300_799.0
 
 
 def parse_timestamp(text: Column) -> Column:
@@ -24,60 +27,53 @@ def parse_timestamp(text: Column) -> Column:
     return F.try_to_timestamp(text)
 
 
+def parse_epoch_or_timestamp(text: Column) -> Column:
+    """As `parse_timestamp`, but a number is seconds since 1970 (up to the year 9999)."""
+    seconds = F.when(text.rlike(NUMBER), text.try_cast("double"))
+    instant = F.timestamp_seconds(F.when(F.abs(seconds) <= LAST_SECOND, seconds))
+    return F.when(seconds.isNull(), parse_timestamp(text)).otherwise(instant)
+
+
+def _names(lines: DataFrame) -> set[str]:
+    """Which of the required columns any of the JSON objects in `lines` has."""
+    names = lines.select(F.explode(F.json_object_keys("value")).alias("name"))
+    return {row["name"] for row in names.where(F.col("name").isin(JSON_COLUMNS)).distinct().collect()}
+
+
 def read_json_table(spark: SparkSession, path: str, keep: Sequence[str] = ()) -> DataFrame:
     """JSON lines: the required columns and `keep` as text, and `_corrupt_record`.
 
-    Columns are learned from the first lines only. A full inference pass over
-    the input runs only if a required column does not occur among them, to
-    tell a rare column from a missing one.
+    Every value is text, whatever the lines hold; nothing is inferred. The
+    required columns are looked for in the first lines, and in all lines only
+    if those lack one, to tell a rare column from a missing one.
     """
-    head = spark.read.text(path).limit(SAMPLE_LINES)
-    inferred = _infer(spark, head)
-    if not set(JSON_COLUMNS) <= set(inferred.names):
-        inferred = spark.read.json(path).schema
-        missing = [name for name in JSON_COLUMNS if name not in inferred.names]
+    lines = spark.read.text(path)
+    if len(_names(lines.limit(SAMPLE_LINES))) < len(JSON_COLUMNS):
+        found = _names(lines)
+        missing = [name for name in JSON_COLUMNS if name not in found]
         if missing:
             raise ValueError(f"JSON input lacks the columns {missing}")
-    # Numbers stay numbers in `timestamp` alone: there they mean epoch seconds.
-    numeric = isinstance(inferred["timestamp"].dataType, T.NumericType)
-    schema = T.StructType(
-        [
-            T.StructField("timestamp", T.DoubleType() if numeric else T.StringType()),
-            T.StructField("user_id", T.StringType()),
-            T.StructField("action", T.StringType()),
-            T.StructField("page_id", T.StringType()),
-            *[T.StructField(name, T.StringType()) for name in keep],
-            T.StructField(CORRUPT, T.StringType()),
-        ]
-    )
-    return spark.read.schema(schema).option("columnNameOfCorruptRecord", CORRUPT).json(path)
-
-
-def _infer(spark: SparkSession, lines: DataFrame) -> T.StructType:
-    """Schema of the JSON objects in `lines` (a bounded sample)."""
-    samples = [row["value"] for row in lines.collect()]
-    if not samples:
-        return T.StructType()
-    return spark.read.json(spark.sparkContext.parallelize(samples, 1)).schema
+    fields = [T.StructField(name, T.StringType()) for name in [*JSON_COLUMNS, *keep, CORRUPT]]
+    return spark.read.schema(T.StructType(fields)).option("columnNameOfCorruptRecord", CORRUPT).json(path)
 
 
 def read_csv_table(spark: SparkSession, path: str) -> DataFrame:
     """CSV with a header line; every column is text.
 
-    Only the header of the first file is read here; the files of a folder must
-    share it. Columns are found by name, in whatever order they come.
+    Columns are found by name in the header of the first file, in whatever
+    order they come. Spark compares every file's header with it as it reads
+    the file, and the job fails at one that differs.
     """
-    return require_columns(spark.read.option("header", True).csv(path), CSV_COLUMNS, "CSV input")
+    header = require_columns(spark.read.option("header", True).csv(path), CSV_COLUMNS, "CSV input")
+    return spark.read.schema(header.schema).option("header", True).option("enforceSchema", False).csv(path)
 
 
 def json_events(table: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Canonical events of a JSON log table; the items are pages."""
-    stamp = F.col("timestamp")
-    is_text = isinstance(table.schema["timestamp"].dataType, T.StringType)
     return to_events(
         require_columns(table, JSON_COLUMNS, "JSON input"),
         user_id=F.col("user_id"),
-        ts=parse_timestamp(stamp) if is_text else stamp.cast("timestamp"),
+        ts=parse_epoch_or_timestamp(F.col("timestamp")),
         event_type=F.col("action"),
         item_id=F.col("page_id"),
         keep=keep,
@@ -113,6 +109,14 @@ def read_parquet_events(spark: SparkSession, path: str, keep: Sequence[str] = ()
 READERS = {"csv": read_csv_events, "json": read_json_events, "parquet": read_parquet_events}
 
 
+def event_format(path: str, fmt: str | None = None) -> str:
+    """`fmt`, or the format that the suffix of `path` names."""
+    chosen = fmt or path.rstrip("/").rsplit("/", 1)[-1].rsplit(".", 1)[-1].lower()
+    if chosen not in READERS:
+        raise ValueError(f"unsupported event format {chosen!r} of {path!r}; use one of {list(READERS)}")
+    return chosen
+
+
 def read_events(
     spark: SparkSession, path: str, fmt: str | None = None, keep: Sequence[str] = ()
 ) -> DataFrame:
@@ -120,10 +124,7 @@ def read_events(
 
     `keep` names further source columns to carry along, e.g. Amount, Outcome.
     """
-    chosen = fmt or path.rstrip("/").rsplit("/", 1)[-1].rsplit(".", 1)[-1].lower()
-    if chosen not in READERS:
-        raise ValueError(f"unsupported event format {chosen!r} of {path!r}; use one of {list(READERS)}")
-    return READERS[chosen](spark, path, keep)
+    return READERS[event_format(path, fmt)](spark, path, keep)
 
 
 # --- profile -----------------------------------------------------------------

@@ -5,27 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest result that goes through one task into one file.
-SINGLE_FILE_ROWS = 1_000_000
-
-
 def write_parquet(df: DataFrame, path: str) -> None:
     """One Parquet dataset, replacing what is there."""
     df.write.mode("overwrite").parquet(path)
 
 
-def write_csv(df: DataFrame, path: str, single_file_rows: int = SINGLE_FILE_ROWS) -> None:
+def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     """CSV with header in the order of `df`, replacing what is there.
 
-    A result of up to `single_file_rows` rows becomes one file. A larger one
-    keeps its partitions, one file each, to be read in the order of their names.
+    One file per partition, to be read in the order of their names. With
+    `single_file` all rows go through one task into one file, which is for
+    results known to be small.
     """
-    # The place of each row, as moving rows into one task loses their order.
-    placed = df.withColumn("_place", F.monotonically_increasing_id()).persist()
-    try:
-        result = placed
-        if placed.count() <= single_file_rows:
-            result = placed.repartition(1).sortWithinPartitions("_place")
-        result.drop("_place").write.mode("overwrite").option("header", True).csv(path)
-    finally:
-        placed.unpersist()
+    if single_file:
+        # The place of each row, as moving rows into one task loses their order.
+        placed = df.withColumn("_place", F.monotonically_increasing_id())
+        df = placed.repartition(1).sortWithinPartitions("_place").drop("_place")
+    df.write.mode("overwrite").option("header", True).csv(path)

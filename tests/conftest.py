@@ -1,3 +1,5 @@
+import tempfile
+
 import pytest
 
 from clicktrail.session import build_spark
@@ -11,7 +13,8 @@ def spark():
         spark__sql__shuffle__partitions="8",
         spark__ui__enabled="false",
         spark__driver__memory="8g",
-        spark__sql__warehouse__dir="/tmp/clicktrail-warehouse",
+        spark__sql__warehouse__dir=tempfile.mkdtemp(prefix="clicktrail-warehouse-"),
+        spark__checkpoint__dir=tempfile.mkdtemp(prefix="clicktrail-shared-"),
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
