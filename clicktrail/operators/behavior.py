@@ -44,6 +44,11 @@ def event_types_by_time(events: DataFrame, unit: str = "hour") -> DataFrame:
     )
 
 
+def event_types_by_hour(events: DataFrame) -> DataFrame:
+    """Events per hour of the day and event type: hour, event_type, count."""
+    return events.groupBy(F.hour("ts").alias("hour"), "event_type").count()
+
+
 def daily_activity(events: DataFrame) -> DataFrame:
     """Events per calendar date (text yyyy-MM-dd), in date order."""
     # Grouping by the date itself keeps text formatting out of the scan's hot
@@ -87,9 +92,24 @@ def _gap_seconds(events: DataFrame, hot_rows: int | None) -> DataFrame:
     return per_key_order(timed, "user_id", ["ts"], build, hot_rows)
 
 
+def stored_gap_seconds(gaps: DataFrame) -> DataFrame:
+    """The gaps of a stored result of `user_return_gaps`, as gap_seconds."""
+    return gaps.select(seconds_between(F.col("prev_ts"), F.col("ts")).alias("gap_seconds"))
+
+
 def return_histogram(
     events: DataFrame, bins: int = HISTOGRAM_BINS, hot_rows: int | None = HOT_ROWS
 ) -> DataFrame:
+    """`gap_histogram` of the gaps between each user's events."""
+    return gap_histogram(_gap_seconds(events, hot_rows), bins)
+
+
+def return_categories(events: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+    """`gap_categories` of the gaps between each user's events."""
+    return gap_categories(_gap_seconds(events, hot_rows))
+
+
+def gap_histogram(gaps: DataFrame, bins: int = HISTOGRAM_BINS) -> DataFrame:
     """Gaps per bin, `bins` equal bins from the shortest to the longest gap.
 
     Columns: bin (from 1), bin_start and bin_end in hours, count. Empty bins
@@ -97,10 +117,11 @@ def return_histogram(
     """
     if bins < 1:
         raise ValueError(f"bins must be at least 1, got {bins}")
-    gaps = _gap_seconds(events, hot_rows).select(
-        (F.col("gap_seconds") / F.lit(3600.0)).alias("gap_hours")
+    # Equal gaps are counted first: the bounds and the bins need each value once,
+    # and both share that shuffle.
+    gaps = gaps.groupBy("gap_seconds").agg(F.count("*").alias("n")).select(
+        (F.col("gap_seconds") / F.lit(3600.0)).alias("gap_hours"), "n"
     )
-    # One row; both uses of `gaps` share the shuffle by user.
     span = gaps.agg(F.struct(F.min("gap_hours").alias("low"), F.max("gap_hours").alias("high")))
     placed = gaps.withColumn("span", span.scalar())
     low, high = F.col("span.low"), F.col("span.high")
@@ -108,9 +129,9 @@ def return_histogram(
     number = F.when(high == low, 1).otherwise(F.least(F.floor(share * bins) + 1, F.lit(bins)))
     width = (high - low) / F.lit(float(bins))
     return (
-        placed.select(number.cast("bigint").alias("bin"), "span")
+        placed.select(number.cast("bigint").alias("bin"), "span", "n")
         .groupBy("bin", "span")
-        .count()
+        .agg(F.sum("n").alias("count"))
         .select(
             "bin",
             (low + width * (F.col("bin") - 1)).alias("bin_start"),
@@ -120,7 +141,7 @@ def return_histogram(
     )
 
 
-def return_categories(events: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+def gap_categories(gaps: DataFrame) -> DataFrame:
     """Gaps per category, most frequent first; all four categories are listed.
 
     A gap belongs to the first category whose upper bound (1 h, 24 h, 168 h,
@@ -136,7 +157,7 @@ def return_categories(events: DataFrame, hot_rows: int | None = HOT_ROWS) -> Dat
         longer: gap > 168 * hour,
     }
     # One row of four counts, unfolded: the zeros need no join.
-    totals = _gap_seconds(events, hot_rows).agg(
+    totals = gaps.agg(
         *[F.count_if(within).alias(name) for name, within in bounds.items()]
     )
     rows = F.array(

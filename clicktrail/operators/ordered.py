@@ -25,6 +25,7 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window, WindowSpec
 
 from clicktrail.session import ensure_checkpoint_dir
@@ -270,21 +271,49 @@ def hot_limit(df: DataFrame, key: str, hot_rows: int | None = HOT_ROWS) -> int |
     return hot_rows
 
 
+def _comparable(value: Column, kind: T.DataType) -> Column:
+    """`value` in a form that can be grouped and sorted: maps become sorted lists of entries."""
+    if isinstance(kind, T.MapType):
+        entries = F.transform(
+            F.map_entries(value),
+            lambda e: F.struct(
+                _comparable(e["key"], kind.keyType).alias("key"), _comparable(e["value"], kind.valueType).alias("value")
+            ),
+        )
+        return F.sort_array(entries)
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda e: _comparable(e, kind.elementType))
+    if isinstance(kind, T.StructType):
+        fields = [_comparable(value[f.name], f.dataType).alias(f.name) for f in kind.fields]
+        return F.when(value.isNotNull(), F.struct(*fields))
+    return value
+
+
+def _sort_keys(rows: DataFrame, names: list[str]) -> list[Column]:
+    """The columns called `names`, those that hold maps in a comparable form."""
+    kinds = {f.name: f.dataType for f in rows.schema.fields}
+    return [
+        _comparable(F.col(n), kinds[n]) if "map<" in kinds[n].simpleString() else F.col(n) for n in names
+    ]
+
+
 def _number_copies(rows: DataFrame, tasks: int) -> DataFrame:
     """Every row once, identical rows told apart by `_copy` = 0, 1, 2, ...
 
     Identical rows are counted before the shuffle, then written out again in
-    blocks that are spread over the tasks.
+    blocks that are spread over the tasks. Rows with maps are grouped by the
+    comparable form of the maps, and any of the equal maps stands for them.
     """
     columns = rows.columns
     zero, block = F.lit(0).cast("bigint"), F.lit(COPIES_PER_BLOCK)
     last_block = F.floor((F.col("_copies") - 1) / block)
+    keys = [key.alias(f"_key_{n}") for n, key in enumerate(_sort_keys(rows, columns))]
     blocks = (
-        rows.groupBy(*columns)
-        .agg(F.count("*").alias("_copies"))
-        .select("*", F.explode(F.sequence(zero, last_block)).alias("_block"))
-        .repartition(tasks, *columns, "_block")
+        rows.groupBy(*keys)
+        .agg(F.count("*").alias("_copies"), *[F.any_value(F.col(c)).alias(c) for c in columns])
+        .select(*columns, "_copies", F.explode(F.sequence(zero, last_block)).alias("_block"))
     )
+    blocks = blocks.repartition(tasks, *_sort_keys(blocks, columns), "_block")
     first = F.col("_block") * block
     last = F.least(first + block, F.col("_copies")) - 1
     return blocks.select(*columns, F.explode(F.sequence(first, last)).alias(COPY))
@@ -312,10 +341,10 @@ def _slice(rows: DataFrame, key: str, order: tuple[str, ...], hot: HotKeys, hot_
     # Rows that tie in the order are told apart by their other columns, then
     # by the copy number, so that no range is wider than its share.
     others = [c for c in rows.columns if c != key and c not in order]
-    by = [key, *order, *others, COPY]
+    numbered = _number_copies(rows, tasks)
+    by = _sort_keys(numbered, [key, *order, *others, COPY])
     placed = (
-        _number_copies(rows, tasks)
-        .repartitionByRange(tasks, *by)
+        numbered.repartitionByRange(tasks, *by)
         .sortWithinPartitions(*by)
         .select(*rows.columns, F.monotonically_increasing_id().alias(ROW))
         .checkpoint()

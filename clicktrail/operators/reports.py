@@ -115,9 +115,12 @@ def funnel_totals(sessions: DataFrame) -> DataFrame:
     """Number of sessions, and of sessions that reached each step."""
     return funnel_flags(sessions).agg(
         F.count("*").alias("total_sessions"),
-        F.sum("reached_product").alias("product_views"),
-        F.sum("reached_cart").alias("cart_adds"),
-        F.sum("reached_purchase").alias("purchases"),
+        *[
+            F.coalesce(F.sum(step), F.lit(0)).alias(name)
+            for step, name in {
+                "reached_product": "product_views", "reached_cart": "cart_adds", "reached_purchase": "purchases"
+            }.items()
+        ],
     )
 
 

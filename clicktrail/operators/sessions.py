@@ -10,8 +10,8 @@ Two plans compute the same sessions:
   gap apart, so a session can only begin at a chunk's first event, and the
   window runs over chunks instead of events. A user has at most (time span /
   gap) chunks, however many events: ten years at 30 minutes are 175,320 rows.
-  Only for gaps so short that this bound exceeds `hot_rows` are the chunks
-  themselves put through `per_key_order`.
+  The span is measured; if it allows more than `hot_rows` chunks, the chunks
+  themselves are put through `per_key_order`.
 * `sessionize` labels every event and keeps the events in order, so it runs
   `per_key_order` over the events themselves.
 
@@ -58,8 +58,6 @@ from clicktrail.operators.ordered import (
 NULL_TS_POLICIES = ("drop", "keep_rows", "keep_range")
 # Events per row of `session_item_parts`.
 PART_SIZE = 100_000
-# Time span assumed for the number of chunks of one user: ten years.
-SPAN_SECONDS = 10 * 366 * 86_400
 
 
 def apply_null_ts(events: DataFrame, null_ts: str) -> DataFrame:
@@ -68,6 +66,14 @@ def apply_null_ts(events: DataFrame, null_ts: str) -> DataFrame:
     return events.filter(F.col("ts").isNotNull()) if null_ts == "drop" else events
 
 
+def dropped_events(events: DataFrame, null_ts: str = "drop") -> DataFrame:
+    """One row: how many events `null_ts` leaves out of the sessions."""
+    if null_ts not in NULL_TS_POLICIES:
+        raise ValueError(f"null_ts must be one of {NULL_TS_POLICIES}, got {null_ts!r}")
+    untimed = F.col("ts").isNull() if null_ts == "drop" else F.lit(False)
+    return events.agg(F.count_if(untimed).alias("dropped_events"))
+
+
 def _order(events: DataFrame) -> list[str]:
     """The order columns the events have: what no result shows, none carries."""
     return [c for c in EVENT_ORDER if c in events.columns]
@@ -211,11 +217,17 @@ def session_table(
             *[F.sum(name).alias(name) for name in _TOTALS],
         )
 
-    few_chunks = hot_rows is None or SPAN_SECONDS // width <= hot_rows
-    limit = None if few_chunks else hot_rows
+    limit = None if hot_rows is None or _most_chunks(kept, width) <= hot_rows else hot_rows
     return _finish(per_key_order(chunks, "user_id", ["chunk"], build, limit))
 
 
+def _most_chunks(events: DataFrame, width: int) -> int:
+    """A bound on one user's chunks: those of the whole time span, and the untimed one."""
+    second = F.unix_timestamp("ts")
+    first, last = events.agg(F.min(second), F.max(second)).first()
+    return 1 if first is None else (last - first) // width + 3
+
+
 def _duration_seconds() -> Column:
     return seconds_between(F.col("start_ts"), F.col("end_ts"))
 
@@ -265,9 +277,10 @@ def _sessions_with_list(
 ) -> DataFrame:
     """One row per session: start_ts, end_ts, counts, distinct counts, a list.
 
-    Sessions longer than `hot_rows` have a NULL list: one row cannot hold it.
-    `session_item_parts` returns those lists whole, in parts. They occur only
-    among hot users.
+    `counts` are counts, so that those of a session's parts add up. The lists of
+    hot users are collected per part of `hot_rows` events and joined in the
+    order of the parts, so no task sorts more than a part. A list too long for
+    a row makes the job fail; `session_item_parts` gives it in parts.
     """
     keys = ["user_id", "session_seq"]
     spans = [F.min("ts").alias("start_ts"), F.max("ts").alias("end_ts")]
@@ -281,26 +294,23 @@ def _sessions_with_list(
         return labelled.groupBy(*keys).agg(*spans, *counted, *unique, items)
 
     def sliced(rows: Ordered) -> DataFrame:
-        # No more than `hot_rows` events of a session are collected; a list
-        # that would need more is dropped for `session_item_parts` to give.
         labelled = _label(rows, gap_minutes, null_ts, positions=True).frame
-        fits = F.col("event_position") <= hot_rows
-        kept_and_fits = fits if keep is None else fits & keep
-        items = _in_order(list_of, kept_and_fits, "event_position")
-        sessions = labelled.groupBy(*keys).agg(
+        parts = labelled.groupBy(*keys, _part(hot_rows)).agg(
             *spans,
             *counted,
-            F.when(F.max("event_position") <= hot_rows, items).alias(list_name),
+            *[F.collect_set(c).alias(n) for n, c in distinct.items()],
+            _in_order(list_of, keep, "event_position").alias(list_name),
+        )
+        return parts.groupBy(*keys).agg(
+            F.min("start_ts").alias("start_ts"),
+            F.max("end_ts").alias("end_ts"),
+            *[F.sum(n).alias(n) for n in counts],
+            *[
+                F.size(F.array_distinct(F.flatten(F.collect_list(n)))).cast("bigint").alias(n)
+                for n in distinct
+            ],
+            F.flatten(_in_order(list_name, None, "part")).alias(list_name),
         )
-        for name, column in distinct.items():
-            unique = labelled.groupBy(
-                F.col("user_id").alias("_user"), F.col("session_seq").alias("_seq")
-            ).agg(F.count_distinct(column).alias(name))
-            same_session = sessions["user_id"].eqNullSafe(unique["_user"]) & (
-                sessions["session_seq"] == unique["_seq"]
-            )
-            sessions = sessions.join(unique, same_session).drop("_user", "_seq")
-        return sessions
 
     def build(rows: Ordered) -> DataFrame:
         return sliced(rows) if rows.hot else plain(rows)
@@ -409,11 +419,13 @@ def session_item_parts(
     value: str = "item_id",
     part_size: int = PART_SIZE,
     hot_rows: int | None = HOT_ROWS,
+    keep: Column | None = None,
 ) -> DataFrame:
     """Every session's ordered values in parts of `part_size` events.
 
     Columns: user_id, session_id, part (from 0), first_position, values. The
-    parts of a session, in order, are its whole list, however long.
+    parts of a session, in order, are its whole list, however long. With `keep`
+    only the values of events for which it is true are listed.
     """
 
     def build(rows: Ordered) -> DataFrame:
@@ -422,7 +434,7 @@ def session_item_parts(
             labelled.groupBy("user_id", "session_seq", _part(part_size))
             .agg(
                 F.min("event_position").alias("first_position"),
-                _in_order(value, None, "event_position").alias("values"),
+                _in_order(value, keep, "event_position").alias("values"),
             )
             .select(
                 "user_id", session_id().alias("session_id"), "part", "first_position", "values"
@@ -441,8 +453,7 @@ def session_sequence_labels(
 ) -> DataFrame:
     """Per session its event sequence as text, and its number of steps.
 
-    A sequence longer than `hot_rows` steps does not fit one row; its text is
-    `sha256:<digest> (<n> events)`, where equal sequences have equal digests.
+    The texts of hot users are put together from parts of `hot_rows` steps.
     """
     typed = F.col("event_type").isNotNull()
     steps = F.count(F.when(typed, 1)).alias("steps")
@@ -457,23 +468,16 @@ def session_sequence_labels(
 
     def sliced(rows: Ordered) -> DataFrame:
         labelled = _label(rows, gap_minutes, null_ts, counted=typed, positions=True).frame
-        parts = (
-            labelled.filter(typed)
-            .groupBy("user_id", "session_seq", _part(hot_rows))
-            .agg(text("event_position").alias("text"), steps)
-        )
-        # One digest per `hot_rows` events, and the text of one part at most.
-        digests = F.array_sort(F.collect_list(F.struct("part", F.sha2("text", 256).alias("d"))))
-        sessions = parts.groupBy("user_id", "session_seq").agg(
-            F.max(F.when(F.col("part") == 0, F.col("text"))).alias("text"),
-            F.sum("steps").alias("steps"),
-            F.concat_ws("", F.transform(digests, lambda x: x["d"])).alias("digests"),
+        # A part without steps adds no text: NULL, which the list leaves out.
+        parts = labelled.groupBy("user_id", "session_seq", _part(hot_rows)).agg(
+            F.when(steps > 0, text("event_position")).alias("text"), steps
         )
-        digest = F.concat(
-            F.lit("sha256:"), F.sha2("digests", 256), F.format_string(" (%d events)", "steps")
+        whole = _in_order("text", F.col("text").isNotNull(), "part")
+        return (
+            parts.groupBy("user_id", "session_seq")
+            .agg(F.concat_ws(SEQUENCE_SEPARATOR, whole).alias("sequence"), F.sum("steps").alias("steps"))
+            .select("sequence", "steps")
         )
-        label = F.when(F.col("steps") > hot_rows, digest).otherwise(F.col("text"))
-        return sessions.select(label.alias("sequence"), "steps")
 
     def build(rows: Ordered) -> DataFrame:
         return sliced(rows) if rows.hot else plain(rows)

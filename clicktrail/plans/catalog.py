@@ -20,6 +20,7 @@ from clicktrail.operators import reports as p
 from clicktrail.operators import sessions as s
 from clicktrail.plans import analyses
 from clicktrail.session import ensure_checkpoint_dir
+from clicktrail.sources import readers, writers
 from clicktrail.sources.event_table import read_event_table, read_table_events
 from clicktrail.sources.readers import event_profile
 
@@ -28,6 +29,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Row limit per key that sends most users and every product of the test data
 # through the sliced plan of `per_key_order`, the others through the plain one.
 SPLIT_ROWS = 60
+# Below the longest session, so that lists and sequences are put together from parts.
+PART_ROWS = 5
 
 
 def comparable(df: DataFrame) -> DataFrame:
@@ -110,6 +113,58 @@ def _csv_log(table: int) -> Query:
     )
 
 
+def _mixed_json_log(spark: SparkSession, folder: str) -> DataFrame:
+    """Events of a log whose times are epoch numbers in one file, text, missing or no time in another."""
+    path = f"{ensure_checkpoint_dir(spark)}/log-{uuid.uuid4().hex}"
+    events = read_table_events(spark, folder, "page")
+    early = F.col("event_id") < 2000
+    named = [F.col("user_id"), F.col("event_type").alias("action"), F.col("item_id").alias("page_id")]
+    seconds = F.unix_micros(F.col("ts")) / F.lit(1_000_000)
+    text = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    bad = F.when(F.col("event_id") % 11 == 0, "no time").when(F.col("event_id") % 13 != 0, text)
+    writer = {"ignoreNullFields": False}
+    events.where(early).select(seconds.alias("timestamp"), *named).coalesce(1).write.json(f"{path}/a", **writer)
+    events.where(~early).select(bad.alias("timestamp"), *named).write.json(f"{path}/b", **writer)
+    found = readers.read_json_events(spark, f"{path}/*")
+    return comparable(found.select("user_id", "event_type", "item_id", F.date_trunc("second", "ts").alias("ts")))
+
+
+def _stored_events(kind: str) -> Query:
+    """Events written by a sink of the library and read back by suffix."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        path = f"{ensure_checkpoint_dir(spark)}/events-{uuid.uuid4().hex}.{kind}"
+        events = read_table_events(spark, folder)
+        if kind == "parquet":
+            writers.write_parquet(events, path)
+            return comparable(readers.read_events(spark, path))
+        instant = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+        log = events.select(
+            F.col("item_id").alias("ProductID"), F.col("user_id").alias("UserID"),
+            instant.alias("Timestamp"), F.col("event_type").alias("EventType"),
+        )
+        writers.write_csv(log, path, single_file=True)
+        return comparable(readers.read_events(spark, path).drop("event_id"))
+
+    return query
+
+
+def _nulled(column: str, every: int, build: Callable[[DataFrame], DataFrame]) -> Query:
+    """`build` on events of which every so many have no value in `column`."""
+
+    def nulled(events: DataFrame) -> DataFrame:
+        return events.withColumn(column, F.when(F.col("event_id") % every != 0, F.col(column)))
+
+    return _events(lambda events: build(nulled(events)))
+
+
+def _approximate_users(table: DataFrame) -> DataFrame:
+    """The approximate user count is within 5 % of the exact one."""
+    exact = table.agg(F.count_distinct("user_id").alias("n"))
+    near = F.abs(F.col("unique_users") - exact.scalar()) <= 0.05 * exact.scalar()
+    return p.session_summary(table).select("total_sessions", near.alias("users_within_5_percent"))
+
+
 def _time_queries() -> dict[str, Query]:
     found: dict[str, Query] = {}
     for name, unit in {"hour": "hour", "dow": "day_of_week", "month": "month"}.items():
@@ -139,12 +194,43 @@ def queries() -> dict[str, Query]:
         "session_summary_g720": _sessions(
             lambda t: p.session_summary(t).drop("unique_users"), 720
         ),
-        "session_summary_approx_users_g720": _sessions(p.session_summary, 720),
+        "session_summary_approx_users_g720": _sessions(_approximate_users, 720),
+        # lists and texts put together from parts
+        "session_pages_g720_parts": _page_metrics(720, PART_ROWS),
+        "session_product_metrics_g720_parts": _events(
+            lambda e: s.session_products(e, 720, hot_rows=PART_ROWS)
+        ),
+        "event_sequences_g720_parts": _sequences(720, PART_ROWS),
+        "sequence_counts_g720_parts": _events(
+            lambda e: p.sequence_counts(e, 720, hot_rows=PART_ROWS)
+        ),
+        "session_metrics_g30_split": _events(
+            lambda e: s.session_table(e, 30, hot_rows=PART_ROWS).select(
+                "user_id", "session_id", "start_ts", "end_ts",
+                F.col("duration_seconds").alias("session_duration_seconds"),
+                F.col("event_count").alias("page_count"),
+            )
+        ),
+        # events without time, user or item
+        "untimed_rows_frame_g30": _nulled("ts", 10, lambda e: s.sessionize(e, 30, "keep_rows")),
+        "untimed_range_frame_g30": _nulled("ts", 10, lambda e: s.sessionize(e, 30, "keep_range")),
+        "dropped_events": _nulled("ts", 10, s.dropped_events),
+        "session_stats_null_user_g720": _nulled(
+            "user_id", 7, lambda e: p.session_stats(s.session_table(e, 720))
+        ),
+        "overview_totals_null_user": _nulled("user_id", 7, r.overview_totals),
+        "overview_totals_null_item": _nulled("item_id", 7, r.overview_totals),
+        "top_products_null_item": _nulled("item_id", 7, r.viewed_products),
+        "product_views_null_user": _nulled("user_id", 7, r.product_views),
         # the same from raw logs, written and read back
         "json_log_sessions_g720": _json_log(0),
         "json_log_top_pages": _json_log(1),
         "csv_log_sessions_g720": _csv_log(0),
         "csv_log_products": _csv_log(1),
+        "json_log_mixed_timestamps": _mixed_json_log,
+        # written by the sinks and read back
+        "events_parquet_round_trip": _stored_events("parquet"),
+        "events_csv_round_trip": _stored_events("csv"),
         # rankings and totals
         "top_pages": _events(r.top_pages, "page"),
         "product_views": _events(r.product_views),
@@ -175,6 +261,7 @@ def queries() -> dict[str, Query]:
         "top_sequences_10_g720": _events(lambda e: p.top_sequences(p.sequence_counts(e, 720))),
         # time, returns, products
         **_time_queries(),
+        "event_types_hourly": _events(b.event_types_by_hour),
         "daily_activity": _events(b.daily_activity),
         "user_return_gaps": _events(b.user_return_gaps),
         "user_return_gaps_split": _events(lambda e: b.user_return_gaps(e, SPLIT_ROWS)),

@@ -23,6 +23,33 @@ PRODUCTS = _EVENTS.format(view="product_view", click="add_to_cart")
 PAGES = _EVENTS.format(view="page_view", click="click")
 
 
+def _nulled(column: str, every: int, events: str = PRODUCTS) -> str:
+    """The events, every so many without a value in `column`."""
+    renamed = events.replace("e AS (", "e0 AS (", 1)
+    return f"""{renamed},
+e AS (SELECT * REPLACE (CASE WHEN event_id % {every} <> 0 THEN {column} END AS {column}) FROM e0)"""
+
+
+def _untimed(gap: int, frame: str) -> str:
+    """Events labelled with sessions, one in ten without a time; untimed events come first."""
+    rows = "PARTITION BY user_id ORDER BY ts NULLS FIRST, event_id"
+    ties = "PARTITION BY user_id ORDER BY ts NULLS FIRST"
+    over = rows if frame == "ROWS" else ties
+    return f"""WITH {_nulled("ts", 10)},
+g AS (
+  SELECT * REPLACE (CASE WHEN ts IS NOT NULL THEN sec END AS sec) FROM e),
+d AS (
+  SELECT *, lag(ts) OVER ({rows}) AS prev_ts, (sec - lag(sec) OVER ({rows})) / 60.0 AS gap_minutes FROM g),
+f AS (
+  SELECT *, CAST(CASE WHEN prev_ts IS NULL OR gap_minutes > {gap} THEN 1 ELSE 0 END AS BIGINT)
+              AS new_session FROM d),
+n AS (
+  SELECT *, CAST(sum(new_session) OVER ({over}
+                 {frame} BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS session_seq FROM f)
+SELECT {_EVENT_COLUMNS}, prev_ts, gap_minutes, new_session, session_seq,
+       user_id || '_' || session_seq AS session_id FROM n"""
+
+
 def _labelled(gap: int, events: str = PRODUCTS) -> str:
     """WITH list ending in `l`, the events with their session."""
     return f"""WITH {events},
@@ -35,7 +62,7 @@ f AS (
 n AS (
   SELECT *, CAST(sum(new_session) OVER (PARTITION BY user_id ORDER BY ts, event_id
                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS session_seq FROM f),
-l AS (SELECT *, user_id || '_' || session_seq AS session_id FROM n)"""
+l AS (SELECT *, concat_ws('_', user_id, session_seq) AS session_id FROM n)"""
 
 
 def _sessions(gap: int, events: str = PRODUCTS) -> str:
@@ -133,8 +160,8 @@ def _sequence_counts(gap: int) -> str:
 SELECT sequence, count(*) AS count FROM t WHERE n > 1 GROUP BY sequence"""
 
 
-def _products(cart_adds: str, extra: str = "") -> str:
-    return f"""WITH {PRODUCTS}
+def _products(cart_adds: str, extra: str = "", events: str = PRODUCTS) -> str:
+    return f"""WITH {events}
 SELECT item_id, count(*) FILTER (event_type = 'product_view') AS view_count,
        count(DISTINCT user_id) FILTER (event_type = 'product_view') AS unique_viewers,
        {cart_adds} AS cart_adds
@@ -192,6 +219,13 @@ _CARTS_VIEWED = "count(*) FILTER (event_type = 'add_to_cart' AND event_type = 'p
 def oracle_sql() -> dict[str, str]:
     user_activity = f"{_users(720)} SELECT * FROM a"
     transitions = _TRANSITIONS
+    event_sequences = f"""{_sessions(720)}
+SELECT user_id, session_id, start_ts, end_ts, minutes AS duration_minutes, n AS events,
+       steps AS event_sequence FROM t"""
+    overview = """WITH {}
+SELECT count(*) AS total_events,
+       (SELECT count(*) FROM (SELECT DISTINCT user_id FROM e)) AS unique_users,
+       (SELECT count(*) FROM (SELECT DISTINCT item_id FROM e)) AS unique_products FROM e"""
     top_pages = f"""WITH {PAGES}
 SELECT item_id AS page_id, count(*) AS views FROM e WHERE event_type = 'page_view'
 GROUP BY item_id"""
@@ -199,6 +233,33 @@ GROUP BY item_id"""
         "sessionized_events_g30": _sessionized(30),
         "sessionized_events_rows_frame_g30": _sessionized(30),
         "sessionized_events_g720_split": _sessionized(720),
+        "untimed_rows_frame_g30": _untimed(30, "ROWS"),
+        "untimed_range_frame_g30": _untimed(30, "RANGE"),
+        "dropped_events": "SELECT count(*) AS dropped_events FROM events WHERE ts IS NULL OR event_id % 10 = 0",
+        "session_stats_null_user_g720": f"""{_sessions(720, _nulled("user_id", 7))}
+SELECT session_id, start_ts, end_ts, minutes AS duration_minutes, n AS events,
+       carts AS cart_adds FROM t""",
+        "overview_totals_null_user": overview.format(_nulled("user_id", 7)),
+        "overview_totals_null_item": overview.format(_nulled("item_id", 7)),
+        "top_products_null_item": f"""WITH {_nulled("item_id", 7)}
+SELECT item_id, count(*) AS views, count(DISTINCT user_id) AS unique_viewers
+FROM e WHERE event_type = 'product_view' GROUP BY item_id""",
+        "product_views_null_user": _products(_CARTS_VIEWED, events=_nulled("user_id", 7)),
+        "session_pages_g720_parts": _page_metrics(720),
+        "session_product_metrics_g720_parts": _product_metrics(720),
+        "event_sequences_g720_parts": event_sequences,
+        "sequence_counts_g720_parts": _sequence_counts(720),
+        "session_metrics_g30_split": _scalar_metrics(30),
+        "session_summary_approx_users_g720": f"""{_sessions(720)}
+SELECT count(*) AS total_sessions, true AS users_within_5_percent FROM t""",
+        "json_log_mixed_timestamps": f"""WITH {PAGES}
+SELECT user_id, event_type, item_id,
+       CASE WHEN event_id < 2000 OR (event_id % 11 <> 0 AND event_id % 13 <> 0)
+            THEN CAST(date_trunc('second', ts) AS TIMESTAMP) END AS ts FROM e""",
+        "events_parquet_round_trip": f"WITH {PRODUCTS} SELECT {_EVENT_COLUMNS} FROM e",
+        "events_csv_round_trip": f"WITH {PRODUCTS} SELECT user_id, ts, event_type, item_id FROM e",
+        "event_types_hourly": f"""WITH {PRODUCTS}
+SELECT CAST(hour(ts) AS BIGINT) AS hour, event_type, count(*) AS count FROM e GROUP BY ALL""",
         "session_metrics_g30": _scalar_metrics(30),
         "session_metrics_g720": _scalar_metrics(720),
         "session_pages_g30": _page_metrics(30),
@@ -236,10 +297,7 @@ SELECT count(DISTINCT user_id) AS unique_users, count(DISTINCT session_id) AS to
         "raw_totals": f"""WITH {PRODUCTS}
 SELECT count(*) AS total_events,
        (SELECT count(*) FROM (SELECT DISTINCT user_id FROM e)) AS unique_users FROM e""",
-        "overview_totals": f"""WITH {PRODUCTS}
-SELECT count(*) AS total_events,
-       (SELECT count(*) FROM (SELECT DISTINCT user_id FROM e)) AS unique_users,
-       (SELECT count(*) FROM (SELECT DISTINCT item_id FROM e)) AS unique_products FROM e""",
+        "overview_totals": overview.format(PRODUCTS),
         "event_type_distribution": f"""WITH {PRODUCTS}
 SELECT event_type, count(*) AS count FROM e GROUP BY event_type""",
         "user_activity_g720": user_activity,
@@ -257,9 +315,7 @@ SELECT count(user_id) AS total_users, avg(total_events) AS avg_events_per_user,
 SELECT product_views / nullif(total_sessions, 0) * 100 AS product_view_rate,
        cart_adds / nullif(total_sessions, 0) * 100 AS add_to_cart_rate,
        purchases / nullif(total_sessions, 0) * 100 AS purchase_rate FROM s""",
-        "event_sequences_g720": f"""{_sessions(720)}
-SELECT user_id, session_id, start_ts, end_ts, minutes AS duration_minutes, n AS events,
-       steps AS event_sequence FROM t""",
+        "event_sequences_g720": event_sequences,
         "sequence_counts_g720": _sequence_counts(720),
         "sequence_counts_g720_split": _sequence_counts(720),
         "top_sequences_10_g720": f"{_sequence_counts(720)} ORDER BY count DESC, sequence LIMIT 10",

@@ -52,6 +52,10 @@ def test_user_reports_add_one_row_per_task(events):
     assert [kind for kind, _ in found] == ["SinglePartition", "hashpartitioning", "hashpartitioning"]
 
 
+def test_overview_writes_no_row_three_times(events):
+    assert "Expand" not in plan(rankings.overview_totals(events))
+
+
 def test_unused_columns_are_not_read(events):
     scan = next(x for x in plan(reports.basic_totals(sessions.session_table(events))).splitlines() if "FileScan" in x)
     assert re.search(r"ReadSchema: struct<ts:timestamp_ntz,user_id:bigint>", scan)

@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from clicktrail.operators import behavior
 from clicktrail.operators import sessions as s
 from clicktrail.sources.event_table import read_table_events
 from tests.brute import event, label, make_events, session_id, sessions, whole_second
@@ -50,17 +51,15 @@ def skewed(spark):
 
 def test_sample_log(spark):
     rows = [
-        event("user1", 0, "page_view", "home"), event("user1", 300, "page_view", "search"),
-        event("user1", 2700, "page_view", "product-123"),
-        event("user2", 3600, "page_view", "home"), event("user2", 4200, "page_view", "product-123"),
-        event("user3", 7200, "page_view", "home"),
+        event("ann", 30, "page_view", "start"), event("ann", 75, "page_view", "help"),
+        event("ann", 75 + 1801, "page_view", "start"), event("bob", 10, "signup", None),
+        event("bob", 1200, "page_view", "prices"), event("bob", 2900, "page_view", "start"),
     ]
     found = s.session_pages(make_events(spark, rows)).orderBy("session_id").collect()
     assert [(r.session_id, r.page_count, r.session_duration_seconds, r.pages_visited) for r in found] == [
-        ("user1_1", 2, 300, ["home", "search"]),
-        ("user1_2", 1, 0, ["product-123"]),
-        ("user2_1", 2, 600, ["home", "product-123"]),
-        ("user3_1", 1, 0, ["home"]),
+        ("ann_1", 2, 45, ["start", "help"]),
+        ("ann_2", 1, 0, ["start"]),
+        ("bob_1", 3, 2890, [None, "prices", "start"]),
     ]
 
 
@@ -171,13 +170,9 @@ def test_positions_match_plain_python(skewed, null_ts, hot_rows):
 def test_lists_match_plain_python(skewed, hot_rows):
     gap = 12
     groups = sessions(ROWS, gap)
-
-    def fits(own):
-        return hot_rows is None or len(own) <= hot_rows
-
     pages = {r.session_id: r.pages_visited for r in s.session_pages(skewed, gap, hot_rows=hot_rows).collect()}
     assert pages == {
-        session_id(*k): [r[3] for r in own] if fits(own) else None for k, own in groups.items()
+        session_id(*k): [r[3] for r in own] for k, own in groups.items()
     }
     products = {
         r.session_id: (r.event_count, r.unique_products_viewed, r.items_added_to_cart, r.products_viewed)
@@ -186,7 +181,7 @@ def test_lists_match_plain_python(skewed, hot_rows):
     assert products == {
         session_id(*k): (
             len(own), len({r[3] for r in own} - {None}), sum(r[2] == "add_to_cart" for r in own),
-            [r[3] for r in own if r[2] == "product_view" and r[3] is not None] if fits(own) else None,
+            [r[3] for r in own if r[2] == "product_view" and r[3] is not None],
         )
         for k, own in groups.items()
     }
@@ -195,11 +190,66 @@ def test_lists_match_plain_python(skewed, hot_rows):
         for r in s.session_sequences(skewed, gap, hot_rows=hot_rows).collect()
     }
     assert sequences == {
-        session_id(*k): (len(own), [r[2] for r in own if r[2] is not None] if fits(own) else None)
+        session_id(*k): (len(own), [r[2] for r in own if r[2] is not None])
         for k, own in groups.items()
     }
 
 
+@pytest.mark.parametrize("hot_rows", [None, 2000, 100])
+def test_user_over_many_years(spark, hot_rows):
+    """22 years and stray times: the chunks are counted, not assumed."""
+    day = 86_400
+    rows = [event("old", n * 30 * day) for n in range(270)] + [event("old", n * 30 * day + 60) for n in range(270)]
+    rows += [event("stray", 0), event("stray", 7000 * 365 * day), event("stray", -1900 * 365 * day)]
+    table = s.session_table(make_events(spark, rows), 30, hot_rows=hot_rows)
+    assert {r.user_id: r["count"] for r in table.groupBy("user_id").count().collect()} == {"old": 270, "stray": 3}
+    assert table.agg(F.sum("event_count")).first()[0] == len(rows)
+
+
+def test_slices_only_where_the_span_needs_them(spark, monkeypatch):
+    limits = []
+    real = s.per_key_order
+    monkeypatch.setattr(s, "per_key_order", lambda *args: limits.append(args[-1]) or real(*args))
+    events = make_events(spark, [event("u", 0), event("u", 10 * 1800)])
+    s.session_table(events, 30, hot_rows=13)
+    s.session_table(events, 30, hot_rows=12)
+    assert limits == [None, 12]
+
+
+@pytest.mark.parametrize("hot_rows", [None, 3])
+def test_map_columns_pass_through(spark, hot_rows):
+    rows = [("u", n % 5, {"a": n % 2, "b": 1} if n % 3 else None, [{"k": n % 2}]) for n in range(20)] * 2
+    frame = spark.createDataFrame(rows, "user_id string, t int, props map<string,int>, more array<map<string,int>>")
+    events = frame.select(
+        "user_id", F.timestamp_seconds("t").alias("ts"), F.lit("x").alias("event_type"),
+        F.lit(None).cast("string").alias("item_id"), F.lit(None).cast("bigint").alias("event_id"), "props", "more",
+    )
+    found = s.sessionize(events, 30, hot_rows=hot_rows)
+    assert sorted(str((r.props, r.more)) for r in found.collect()) == sorted(str((r[2], r[3])) for r in rows)
+    assert found.agg(F.sum("new_session")).first()[0] == 1
+    gaps = behavior.user_return_gaps(events, hot_rows)
+    assert gaps.count() == len(rows) - 1
+
+
+def test_dropped_events(spark):
+    events = make_events(spark, [event("a", None), event("a", 1), event(None, None)])
+    assert [s.dropped_events(events, policy).first()[0] for policy in s.NULL_TS_POLICIES] == [2, 0, 0]
+    with pytest.raises(ValueError, match="null_ts"):
+        s.dropped_events(events, "other")
+
+
+@pytest.mark.parametrize("hot_rows", [None, 40])
+def test_parts_of_chosen_events(skewed, hot_rows):
+    keep = F.col("event_type") == "purchase"
+    parts = s.session_item_parts(skewed, 12, part_size=7, hot_rows=hot_rows, keep=keep).collect()
+    whole = {}
+    for r in sorted(parts, key=lambda r: (r.session_id, r.part)):
+        whole.setdefault(r.session_id, []).extend(r["values"])
+    assert whole == {
+        session_id(*k): [r[3] for r in own if r[2] == "purchase"] for k, own in sessions(ROWS, 12).items()
+    }
+
+
 @pytest.mark.parametrize("hot_rows", [None, 40, 3])
 def test_parts_are_whole_lists(skewed, hot_rows):
     parts = s.session_item_parts(skewed, 12, part_size=7, hot_rows=hot_rows).collect()
