@@ -291,7 +291,8 @@ def read_ids(spark: SparkSession, path: str, max_bits: int = MAX_BITS) -> DataFr
     files = blocks.groupBy("file").agg(F.sum("n_tokens").alias("total"))
     starts = files.select("file", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("before"))
     docs = blocks.mapInArrow(decode, "file int, doc_id long, first long, n_tokens long, ids binary")
-    return docs.join(starts, "file").select(
+    # There are as many files as the writer's shuffle had partitions, so `starts` is small.
+    return docs.join(F.broadcast(starts), "file").select(
         "doc_id", (F.col("before") + F.col("first")).alias("start"), "n_tokens", "ids"
     )
 
