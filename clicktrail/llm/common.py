@@ -44,12 +44,12 @@ def others(df: DataFrame, *taken: str) -> Column:
     return F.struct(*[F.col(f"`{name}`") for name in names] or [F.lit(None).alias("none")]).alias("rest")
 
 
-def text_slices(texts: pa.Array, rows: int = SLICE_ROWS) -> Iterator[tuple[int, int]]:
-    """Ranges with at most `rows` rows and, beyond one row, SLICE_BYTES bytes."""
+def text_slices(texts: pa.Array, rows: int = SLICE_ROWS, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
+    """Ranges with at most `rows` rows and, beyond one row, `most` bytes."""
     sizes = pa.compute.fill_null(pa.compute.binary_length(texts), 0).to_pylist()
     start = size = 0
     for row, more in enumerate(sizes):
-        if row > start and (row - start >= rows or size + more > SLICE_BYTES):
+        if row > start and (row - start >= rows or size + more > most):
             yield start, row
             start, size = row, 0
         size += more
@@ -63,5 +63,13 @@ def byte_texts(texts: pa.Array, start: int, end: int) -> list[bytes]:
     return [value or b"" for value in part.to_pylist()]
 
 
+class Numbering(dict):
+    """Numbers keys from 0 as they are first looked up."""
+
+    def __missing__(self, key) -> int:
+        number = self[key] = len(self)
+        return number
+
+
 def batch_of(columns: Iterable[pa.Array], names: list[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(list(columns), names=names)

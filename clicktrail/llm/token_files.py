@@ -24,6 +24,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from clicktrail.llm.common import batch_of, byte_texts, stored, text_slices
+from clicktrail.llm.common import Numbering, batch_of, byte_texts, stored, text_slices
 
 MAX_BITS = 18
 BLOCK_TOKENS = 1 << 16  # a block closes with the document that reaches this
@@ -43,6 +44,17 @@ SLICE_ROWS = 4096
 # pre-token goes on, so texts may be cut there without changing their ids.
 CUT = re.compile("(?<=[!-~À-ɏ])(?=[ \n])")
 
+# Letters that are letters in every version of Unicode, and marks that join no letter behind them.
+SIMPLE = re.compile("( ?[A-Za-zÀ-ÖØ-öø-ſ]+)([!-&(-/:-@\\[-`{-~]*)")
+KNOWN_PARTS = 600_000  # distinct parts that a task keeps the ids of
+
+# A byte-level BPE writes printable bytes as themselves, the others as characters from 256 on.
+PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_SYMBOLS = {b: 256 + n for n, b in enumerate(sorted(set(range(256)) - set(PRINTABLE)))}
+SPACE = chr(BYTE_SYMBOLS[32])
+
+FIRST = "\x01"  # marks a part that stands as it is
+
 BLOCK_SCHEMA = (
     "file int, block int, first long, n_tokens long, doc_ids array<long>, doc_sizes array<long>, "
     "checkpoints array<long>, bits binary"
@@ -59,41 +71,133 @@ def id_type(tokenizer: str, end_id: int = 0) -> str:
     return "<u2" if max(Tokenizer.from_file(tokenizer).get_vocab().values(), default=0) < 1 << 16 > end_id else "<u4"
 
 
+def _odd_spaces(texts: list[bytes]) -> set[int]:
+    """Which texts have a space or line feed that doesn't follow a visible ASCII or Latin character."""
+    data = np.frombuffer(b"\0\0" + b"".join(texts), np.uint8)
+    starts = np.cumsum([0, *map(len, texts[:-1])])
+    at = np.flatnonzero((data == 32) | (data == 10))
+    before, lead = data[at - 1], data[at - 2]
+    # The characters from À to ɏ are two bytes, of which the first is 0xC3 to 0xC9.
+    usual = ((before >= 33) & (before <= 126)) | ((before >= 128) & (lead >= 0xC3) & (lead <= 0xC9))
+    text = np.searchsorted(starts, at - 2, side="right") - 1
+    return set(text[~usual | (at - 2 == starts[text])].tolist())
+
+
+def _parts(text: str, odd: bool) -> list[str]:
+    """The parts of a text, cut where `CUT` matches.
+
+    Mostly every space and line feed is such a place. Then the parts come from
+    a split at spaces, and those that begin the text or a line are marked, as
+    the others have lost their space.
+    """
+    if odd or FIRST in text:
+        return [FIRST + part for part in CUT.split(text)]
+    parts = text.replace("\n", f" {FIRST}\n").split(" ")
+    parts[0] = FIRST + parts[0]
+    return parts
+
+
+def _plain(part: str) -> str:
+    return part[1:] if part[:1] == FIRST else f" {part}"
+
+
+class PartEncoder:
+    """Ids of the parts of texts, by the tokenizers library; each distinct part is encoded once.
+
+    A part of plain letters with or without a space before and marks behind is
+    one or two pre-tokens, which go to the library's model at once; any other
+    part goes through the whole library. `units` number what was encoded,
+    `parts` the parts: a part is one unit or two.
+    """
+
+    def __init__(self, tokenizer: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.library = Tokenizer.from_file(tokenizer)
+        self.library.encode_special_tokens = True
+        self.forget()
+
+    def forget(self) -> None:
+        self.parts, self.units = Numbering(), Numbering()
+        self.known = 0
+        self.first = self.second = np.zeros(0, np.int64)
+        self.flat, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+
+    def _learn(self) -> None:
+        """Encode what `parts` has got since the last call."""
+        new = [_plain(part) for part in islice(self.parts, self.known, None)]
+        self.known = len(self.parts)
+        before = len(self.units)
+        number = self.units.__getitem__
+        first, second, whole = [], [], set()
+        for part, match in zip(new, map(SIMPLE.fullmatch, new), strict=True):
+            if match:
+                word, marks = match.groups()
+                first.append(number(word))
+                second.append(number(marks) if marks else -1)
+            else:
+                first.append(number((part,)))
+                second.append(-1)
+                whole.add(part)
+        rest = list(whole)
+        found = self.library.encode_batch_fast(rest, add_special_tokens=False)
+        others = dict(zip(rest, (made.ids for made in found), strict=True))
+        encoded = [
+            others[unit[0]] if isinstance(unit, tuple) else self._pre_token(unit)
+            for unit in islice(self.units, before, None)
+        ]
+        sizes = np.fromiter(map(len, encoded), np.int64, len(encoded))
+        flat = np.fromiter(chain.from_iterable(encoded), np.uint32, int(sizes.sum()))
+        self.flat, self.sizes = np.concatenate([self.flat, flat]), np.concatenate([self.sizes, sizes])
+        self.first = np.concatenate([self.first, np.array(first, np.int64)])
+        self.second = np.concatenate([self.second, np.array(second, np.int64)])
+
+    def _pre_token(self, unit: str) -> list[int]:
+        plain = unit.isascii()
+        symbols = unit.replace(" ", SPACE) if plain else unit.encode().decode("latin-1").translate(BYTE_SYMBOLS)
+        return [made.id for made in self.library.model.tokenize(symbols)]
+
+    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, flat, and where each text's end."""
+        if self.known > KNOWN_PARTS:
+            self.forget()
+        order: list[int] = []
+        counts = []
+        odd = _odd_spaces(texts)
+        for number, text in enumerate(texts):
+            parts = _parts(text.decode(), number in odd)
+            order.extend(map(self.parts.__getitem__, parts))
+            counts.append(len(parts))
+        self._learn()
+        pairs = np.array(order, np.int64)
+        pairs = np.stack([self.first[pairs], self.second[pairs]], axis=1)
+        per_text = np.cumsum(counts)
+        units = pairs.ravel()
+        units = units[units >= 0]
+        size = self.sizes[units]
+        stops = np.cumsum(size)
+        starts = (np.cumsum(self.sizes) - self.sizes)[units]
+        at = np.arange(stops[-1]) - np.repeat(stops - size, size) + np.repeat(starts, size)
+        last_unit = np.cumsum((pairs >= 0).sum(axis=1))[per_text - 1]
+        return self.flat[at], stops[last_unit - 1]
+
+
 def encode_ids(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, ids): the ids of each text and the end id, in bytes as `id_type` says.
 
-    `tokenizer` is the path of a byte-level BPE of the tokenizers library. The
-    distinct parts of a slice of texts are encoded once.
+    `tokenizer` is the path of a byte-level BPE of the tokenizers library.
     """
     kind = id_type(tokenizer, end_id)
     width = int(kind[-1])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        library = Tokenizer.from_file(tokenizer)
-        library.encode_special_tokens = True
+        encoder = PartEncoder(tokenizer)
         for batch in batches:
             for start, end in text_slices(batch.column(1), SLICE_ROWS):
-                seen: dict[str, int] = {"": 0}
-                order: list[int] = []
-                counts = []
-                for text in byte_texts(batch.column(1), start, end):
-                    parts = CUT.split(text.decode())
-                    order.extend([seen.setdefault(part, len(seen)) for part in parts])
-                    counts.append(len(parts))
-                encoded = [found.ids for found in library.encode_batch_fast(list(seen), add_special_tokens=False)]
-                sizes = np.fromiter(map(len, encoded), np.int64, len(encoded))
-                flat = np.fromiter((i for ids in encoded for i in ids), np.uint32, int(sizes.sum()))
-                order = np.array(order, np.int64)
-                size = sizes[order]
-                stops = np.cumsum(size)
-                starts = (np.cumsum(sizes) - sizes)[order]
-                at = np.arange(stops[-1]) - np.repeat(stops - size, size) + np.repeat(starts, size)
-                ends = stops[np.cumsum(counts) - 1]
-                ids = np.insert(flat[at], ends, end_id).astype(kind).tobytes()
-                ends = width * (ends + np.arange(1, len(counts) + 1))
+                found, ends = encoder.encode(byte_texts(batch.column(1), start, end))
+                ids = np.insert(found, ends, end_id).astype(kind).tobytes()
+                ends = width * (ends + np.arange(1, len(ends) + 1))
                 bounds = zip(np.r_[0, ends[:-1]].tolist(), ends.tolist(), strict=True)
                 values = pa.array([ids[i:j] for i, j in bounds], pa.binary())
                 yield batch_of([batch.column(0).slice(start, end - start), values], ["doc_id", "ids"])
@@ -108,11 +212,10 @@ def id_counts(encoded: DataFrame, kind: str) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for value in batch.column(0):
-                found = np.bincount(np.frombuffer(value.as_buffer(), kind))
-                if len(found) > len(total):
-                    total = np.pad(total, (0, len(found) - len(total)))
-                total[: len(found)] += found
+            found = np.bincount(np.frombuffer(b"".join(batch.column(0).to_pylist()), kind))
+            if len(found) > len(total):
+                total = np.pad(total, (0, len(found) - len(total)))
+            total[: len(found)] += found
         ids = np.flatnonzero(total)
         yield batch_of([pa.array(ids), pa.array(total[ids])], ["id", "n"])
 

@@ -38,7 +38,7 @@ def expected(library, rows):
 def test_parts_give_the_ids_of_whole_texts(library, monkeypatch, known):
     monkeypatch.setattr(token_files, "KNOWN_PARTS", known)
     parts = [
-        "a", "the", " ", "\n", "\n\n", "é", "日本", "😀", "12", " in", "'s", "'", "don't", "I'll ", "\x00", "\t", "%%%",
+        "a", "the", " ", "\n", "\n\n", "é", "日本", "😀", "12", " in", "'s", "'", "don't", "I'll ", "\x00", "\x01", "\x01 ", "\t", "%%%",
         " " * 5, "<|endoftext|>", "ÿ", "ſ", "×", "ª", " \n", ".", "!", "_", "\xa0", "​", "\x1c", "\x85",
     ]
     rng = random.Random(2)
@@ -46,7 +46,7 @@ def test_parts_give_the_ids_of_whole_texts(library, monkeypatch, known):
     for _ in range(3):
         texts = ["".join(rng.choices(parts, k=rng.randint(0, 40))) for _ in range(500)]
         texts += ["".join(chr(rng.randint(0, 0x250)) for _ in range(50)) for _ in range(300)] + [t or "" for t in EDGE_TEXTS]
-        ids, ends = encoder.encode(texts)
+        ids, ends = encoder.encode([text.encode() for text in texts])
         found = [ids[a:b].tolist() for a, b in zip([0, *ends[:-1]], ends, strict=True)]
         assert found == [library.encode(text, add_special_tokens=False).ids for text in texts]
 
