@@ -30,12 +30,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clicktrail.llm.common import batch_of, byte_texts, others, text_slices
+from clicktrail.llm.common import Numbering, batch_of, byte_texts, others, text_slices
 
 SPACE = "▁"
 WORD = regex.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
-SLICE_ROWS = 4096  # texts whose words are merged together, within the bytes of a slice
-SEGMENT = 1 << 20  # characters of a text that are cut into words at a time
+SLICE_ROWS = 4096  # texts whose words are merged together, at most
+SLICE_BYTES = 2 << 20  # bytes of such texts, at most, beyond one text
+SEGMENT = 1 << 19  # characters of a text that are cut into words at a time
 ROUNDS = 64
 NONE = np.iinfo(np.int64).max
 
@@ -188,13 +189,13 @@ class PieceModel:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, flat, and the number of each text's."""
-        seen: dict[str, int] = {}
+        seen = Numbering()
         order: list[int] = []
         counts = np.zeros(len(texts), np.int64)
         for i, text in enumerate(texts):
             for segment in _segments(text):
                 words = WORD.findall(segment)
-                order.extend([seen.setdefault(word, len(seen)) for word in words])
+                order.extend(map(seen.__getitem__, words))
                 counts[i] += len(words)
         ids, sizes = self.encode_words(list(seen))
         starts = np.cumsum(sizes) - sizes
@@ -236,7 +237,7 @@ def encode_pieces(
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = PieceModel(model)
         for batch in batches:
-            for start, end in text_slices(batch.column(1), SLICE_ROWS):
+            for start, end in text_slices(batch.column(1), SLICE_ROWS, SLICE_BYTES):
                 texts = [t.decode() for t in byte_texts(batch.column(1), start, end)]
                 ids, counts = pieces.encode(texts)
                 offsets = np.r_[0, np.cumsum(counts)].astype(np.int32)
