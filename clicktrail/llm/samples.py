@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SAMPLE_ROWS = 6000  # documents of each class
+SAMPLE_ROWS = 4000  # documents of each class
 SAMPLE_BYTES = 1 << 16  # longer documents are not fitted on
 
 
