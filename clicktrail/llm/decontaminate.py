@@ -1,10 +1,8 @@
-"""Finding test items in training documents: rare seeds, then local alignment.
+"""Finding test items in training documents: seeds, then local alignment.
 
-How: texts become lower-case words. The word 3-grams of the test items are
-counted over all documents; of every two neighbouring 3-grams of an item the
-rarer one is a seed, so any four words in a row that a document shares with an
-item hold a seed. Documents are scanned for the seeds in place, without a
-shuffle; around the hits of an item Smith-Waterman aligns the item's words with
+How: texts become lower-case words. Every word 3-gram of the test items is a
+seed, so any three words in a row that a document shares with an item are found.
+Documents are scanned for the seeds in place, without a shuffle; around the hits of an item Smith-Waterman aligns the item's words with
 the document's (match 2, mismatch and gap -1). The similarity is the alignment's
 score as a fraction of the item's own, so edited and paraphrased copies score
 by what is left. A window whose words can't reach the threshold even in the best
@@ -26,12 +24,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clicktrail.llm.common import batch_of
-
 SEED_WORDS = 3
 MIN_MATCH = 8
 BLOCK_WORDS = 1 << 20  # words of test items that are searched in one scan; 2^21 fit a seed's key
@@ -45,7 +40,7 @@ def words_of(text: str | None) -> list[str]:
 
 
 class SeedIndex:
-    """Seeds of a block of test items; all of them, or the rarer ones if counts are given."""
+    """Seeds of a block of test items: all their 3-grams."""
 
     def __init__(self, items: list[tuple[int, str]]):
         self.vocabulary: dict[str, int] = {}
@@ -59,10 +54,7 @@ class SeedIndex:
                 self.items.append(np.array(numbers, np.int64))
         grams = [self.grams(item) for item in self.items]
         at = [(key, number, place) for number, keys in enumerate(grams) for place, key in enumerate(keys.tolist())]
-        self._set(sorted(at))
-
-    def _set(self, postings: list[tuple[int, int, int]]) -> None:
-        rows = np.array(postings, np.int64).reshape(-1, 3)
+        rows = np.array(sorted(at), np.int64).reshape(-1, 3)
         self.keys, self.starts = np.unique(rows[:, 0], return_index=True)
         self.stops = np.r_[self.starts[1:], len(rows)].astype(np.int64)
         self.postings = rows
@@ -87,17 +79,6 @@ class SeedIndex:
         same = self.keys[found] == keys[places]
         return places[same], found[same]
 
-    def keep_rare(self, counts: np.ndarray) -> None:
-        """Keep, of every two neighbouring 3-grams of an item, the one in fewer documents."""
-        kept = []
-        for number, item in enumerate(self.items):
-            keys = self.grams(item)
-            seed = np.searchsorted(self.keys, keys)
-            order = list(zip(counts[seed].tolist(), keys.tolist(), range(len(keys)), strict=True))
-            chosen = {min(order[i : i + 2])[2] for i in range(max(1, len(order) - 1))}
-            kept.extend((int(keys[place]), number, place) for place in chosen)
-        self._set(sorted(kept))
-
 
 def align(item: np.ndarray, window: np.ndarray) -> tuple[int, int, int]:
     """(score, last place in the item, last place in the window) of the best local alignment."""
@@ -169,25 +150,6 @@ def _item_blocks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[l
         yield sorted(tuple(row) for row in mine.collect())
 
 
-def seed_counts(docs: DataFrame, index: SeedIndex, text_col: str) -> np.ndarray:
-    """In how many documents each 3-gram of the items occurs, over all documents."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(index.keys), np.int64)
-        for batch in batches:
-            for value in batch.column(0):
-                _, seeds = index.hits(index.numbers(value.as_py()))
-                total[np.unique(seeds)] += 1
-        seeds = np.flatnonzero(total)
-        yield batch_of([pa.array(seeds), pa.array(total[seeds])], ["seed", "n"])
-
-    counted = docs.select(F.col(text_col).alias("text")).mapInArrow(count, "seed long, n long")
-    counts = np.zeros(len(index.keys), np.int64)
-    for seed, n in counted.groupBy("seed").agg(F.sum("n")).collect():
-        counts[seed] = n
-    return counts
-
-
 def contained_items(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -213,7 +175,6 @@ def contained_items(
     for block in _item_blocks(benchmark, item_id_col, item_text_col):
         index = SeedIndex(block)
         if index.items:
-            index.keep_rare(seed_counts(docs, index, text_col))
             found.append(search(index))
     return F.concat(*found) if found else F.array().cast(HITS)
 

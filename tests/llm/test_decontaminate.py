@@ -86,6 +86,26 @@ def test_against_brute_force(spark, tmp_path, monkeypatch, block):
     assert len(found) > 50
 
 
+def test_copies_with_scattered_edits(spark):
+    """Every fourth word replaced, or a quarter of them at random, with and without a whole copy elsewhere."""
+    rng = random.Random(8)
+    pool = [f"w{k}" for k in range(900)]
+    items = [(number, " ".join(rng.choices(pool, k=16 if number < 30 else 40))) for number in range(60)]
+    docs = []
+    for number, text in items:
+        words = text.split()
+        fourth = [f"new{k}" if k % 4 == 3 else word for k, word in enumerate(words)]
+        replaced = set(rng.sample(range(len(words)), len(words) // 4))
+        mixed = [f"new{k}" if k in replaced else word for k, word in enumerate(words)]
+        docs += [(3 * number, "x y " + " ".join(fourth)), (3 * number + 1, " ".join(mixed))]
+        if number % 2:
+            docs.append((3 * number + 2, text))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = rounded(decontaminate.contaminated(documents(spark, docs), bench).collect())
+    assert found == brute(docs, items)
+    assert {3 * number for number, _ in items} <= {row[0] for row in found}
+
+
 def test_span_of_the_passage(spark):
     item = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
     docs = documents(spark, [(1, "x y z " + item.replace("delta", "DELTA, extra") + " tail"), (2, "clean text")])
