@@ -15,8 +15,8 @@ whole code) and `blocks` (file, block, first, ...), both written as Parquet, so
 that Spark commits them and any store can hold them.
 
 Rules: a NULL or empty text is the end id alone. Documents with NULL id come
-first; rows with the same id are ordered by their ids' bytes. Strings of special
-tokens in a text are ordinary text.
+first; rows with the same id are ordered by their ids' bytes. A string of an added
+token, special or not, is that token's id wherever the library finds it in a text.
 """
 
 from __future__ import annotations
@@ -107,7 +107,9 @@ class PartEncoder:
     A part of plain letters with or without a space before and marks behind is
     one or two pre-tokens, which go to the library's model at once; any other
     part goes through the whole library. `units` number what was encoded,
-    `parts` the parts: a part is one unit or two.
+    `parts` the parts: a part is one unit or two. Texts are cut at added tokens
+    first, as the library does it. If added tokens take spaces, stand for whole
+    words only or match normalised text, a text with such a string is one part.
     """
 
     def __init__(self, tokenizer: str):
@@ -115,7 +117,13 @@ class PartEncoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(tokenizer)
-        self.library.encode_special_tokens = True
+        added = list(self.library.get_added_tokens_decoder().values())
+        strings = sorted({token.content for token in added if token.content}, key=len, reverse=True)
+        self.added = re.compile("(" + "|".join(map(re.escape, strings)) + ")") if strings else None
+        self.cut_added = not any(
+            token.lstrip or token.rstrip or token.single_word or (token.normalized and self.library.normalizer is not None)
+            for token in added
+        ) and len({token.normalized for token in added}) < 2
         self.forget()
 
     def forget(self) -> None:
@@ -124,6 +132,19 @@ class PartEncoder:
         self.first = self.second = np.zeros(0, np.int64)
         self.flat, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64)
 
+    def _parts_of(self, text: str, odd: bool) -> list[str]:
+        if self.added is None or not self.added.search(text):
+            return _parts(text, odd)
+        if not self.cut_added:
+            return [FIRST + text]
+        found = []
+        for number, piece in enumerate(self.added.split(text)):
+            if number % 2:
+                found.append(FIRST + piece)
+            elif piece:
+                found.extend(_parts(piece, True))
+        return found
+
     def _learn(self) -> None:
         """Encode what `parts` has got since the last call."""
         new = [_plain(part) for part in islice(self.parts, self.known, None)]
@@ -132,7 +153,7 @@ class PartEncoder:
         number = self.units.__getitem__
         first, second, whole = [], [], set()
         for part, match in zip(new, map(SIMPLE.fullmatch, new), strict=True):
-            if match:
+            if match and not (self.added and self.added.search(part)):
                 word, marks = match.groups()
                 first.append(number(word))
                 second.append(number(marks) if marks else -1)
@@ -166,7 +187,7 @@ class PartEncoder:
         counts = []
         odd = _odd_spaces(texts)
         for number, text in enumerate(texts):
-            parts = _parts(text.decode(), number in odd)
+            parts = self._parts_of(text.decode(), number in odd)
             order.extend(map(self.parts.__getitem__, parts))
             counts.append(len(parts))
         self._learn()

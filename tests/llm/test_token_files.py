@@ -7,7 +7,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
-from tokenizers import Tokenizer
+from tokenizers import AddedToken, Tokenizer
 
 from clicktrail.llm import catalog, token_files
 from tests.llm.helpers import EDGE_TEXTS, SF_DIR, by_id, documents, edge_rows, tables
@@ -59,6 +59,36 @@ def test_query_on_odd_documents(spark, tmp_path, library, monkeypatch, block):
     assert by_id(catalog.token_files(spark, folder).collect()) == expected(library, edge_rows())
 
 
+def test_added_tokens_in_texts(spark, tmp_path):
+    plain = Tokenizer.from_file(PATH)
+    assert plain.encode("a <|endoftext|> b", add_special_tokens=False).ids == [64, 220, 50256, 275]
+    end = "<|endoftext|>"
+    texts = [
+        f"a {end} b", end, end * 3, f"{end}\n\n{end} x", f"x  {end}  y", f"don{end}'t", f"<|end{end}oftext|>", "<|endoftext|",
+        f"two\n {end}.{end}", f"{end} " + "word and " * 500 + end, "plain text behind it", None,
+    ]
+    rng = random.Random(5)
+    texts += ["".join(rng.choices([end, " ", "\n", "ab", "'s", "é", "12", "<|", "\x01", "  "], k=30)) for _ in range(200)]
+    rows = list(enumerate(texts))
+    folder = tables(spark, tmp_path / "t", documents=documents(spark, rows))
+    assert by_id(catalog.token_files(spark, folder).collect()) == expected(plain, rows)
+
+
+@pytest.mark.parametrize("flags", [{}, {"lstrip": True}, {"rstrip": True}, {"single_word": True}, {"normalized": True}])
+def test_added_tokens_of_other_kinds(tmp_path, flags):
+    path = str(tmp_path / "t.json")
+    changed = Tokenizer.from_file(PATH)
+    changed.add_tokens([AddedToken("hello", **{"normalized": False, **flags}), AddedToken("hello w", normalized=False)])
+    changed.save(path)
+    plain = Tokenizer.from_file(path)
+    rng = random.Random(6)
+    parts = ["hello", " hello ", "hello w", "ot", "  ", "\n", "orld", ".", "<|endoftext|>"]
+    texts = ["".join(rng.choices(parts, k=12)) for _ in range(300)]
+    ids, ends = token_files.PartEncoder(path).encode([text.encode() for text in texts])
+    found = [ids[a:b].tolist() for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+    assert found == [plain.encode(text, add_special_tokens=False).ids for text in texts]
+
+
 def test_query_on_the_whole_table(spark, library):
     rows = [tuple(row) for row in spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").collect()]
     assert by_id(catalog.token_files(spark, SF_DIR).collect()) == expected(library, rows)
