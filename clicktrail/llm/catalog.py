@@ -14,6 +14,8 @@ from clicktrail.llm.licenses import licence_scan
 from clicktrail.llm.line_dedup import drop_repeated_lines
 from clicktrail.llm.pieces import encode_pieces
 from clicktrail.llm.quality import fit_quality, quality_score
+from clicktrail.llm.ranked_search import ranked_search
+from clicktrail.llm.resampling import importance_ranks
 from clicktrail.llm.samples import fold
 from clicktrail.llm.simhash import simhash_components
 from clicktrail.llm.token_files import read_ids, write_documents
@@ -102,6 +104,14 @@ def licenses(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return importance_ranks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked_search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
@@ -152,6 +162,81 @@ SELECT p.page_id, CAST(p.n AS BIGINT) AS payload_bytes, sha1(p.payload) AS paylo
 FROM payloads p LEFT JOIN kept k ON p.payload = k.payload AND p.n >= 1000
 """
 
+# Distinct words with their CRC-32, whose table of 256 remainders is made by eight halvings each.
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), {lower}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+WORDS = _WORDS.format(lower=LOWER)
+RESAMPLING = f"""
+WITH remainders AS (
+  SELECT list(list_reduce(range(0, 8), lambda c, step: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, n)
+    ORDER BY n) AS rest FROM (SELECT unnest(range(0, 256)) AS n)
+), docs AS (
+  SELECT row_number() OVER () AS r, doc_id, {WORDS} AS words FROM documents
+), features AS (
+  SELECT r, unnest(words) AS word FROM docs
+), wanted AS (
+  SELECT unnest({WORDS}) AS word FROM benchmark
+), hashed AS (
+  SELECT word, xor(list_reduce(list_transform(range(1, length(hex(encode(word))) // 2 + 1),
+      lambda i: CAST('0x' || substr(hex(encode(word)), 2 * i - 1, 2) AS BIGINT)),
+    lambda c, byte: xor(c >> 8, rest[xor(c & 255, byte) + 1]), 4294967295), 4294967295) % 10000 AS bucket
+  FROM (SELECT word FROM features UNION SELECT word FROM wanted), remainders
+), corpus AS (
+  SELECT bucket, count(*) AS s FROM features JOIN hashed USING (word) GROUP BY bucket
+), target AS (
+  SELECT bucket, count(*) AS t FROM wanted JOIN hashed USING (word) GROUP BY bucket
+), totals AS (
+  SELECT (SELECT count(*) FROM features) AS big_s, (SELECT count(*) FROM wanted) AS big_t
+), gains AS (
+  SELECT bucket, CAST(floor(1000 * ln((CAST(coalesce(t, 0) AS DOUBLE) + 1) * (CAST(big_s AS DOUBLE) + 10000)
+    / ((CAST(s AS DOUBLE) + 1) * (CAST(big_t AS DOUBLE) + 10000)))) AS BIGINT) AS gain
+  FROM corpus LEFT JOIN target USING (bucket), totals
+), sums AS (
+  SELECT r, CAST(sum(gain) AS BIGINT) AS total, count(*) AS n FROM features JOIN hashed USING (word) JOIN gains USING (bucket)
+  GROUP BY r
+), weighed AS (
+  SELECT doc_id, coalesce(n, 0) AS n_features,
+    CASE WHEN n IS NULL THEN 0 ELSE (total - ((total % n) + n) % n) // n END AS weight,
+    CAST('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) AS h
+  FROM docs LEFT JOIN sums USING (r)
+), scored AS (
+  SELECT doc_id, n_features, weight,
+    weight + CAST(floor(-1000 * ln(-ln((CAST(h AS DOUBLE) + 0.5) / 4294967296))) AS BIGINT) AS score FROM weighed
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id, n_features, weight) AS place,
+    count(*) FILTER (n_features >= 20) OVER () * 10 // 100 AS most FROM scored
+)
+SELECT doc_id, n_features, CAST(weight AS BIGINT) AS weight, CAST(score AS BIGINT) AS score,
+  CASE WHEN n_features >= 20 AND place <= most THEN place END AS rank FROM ranked
+"""
+
+SEARCH = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, {WORDS} AS words FROM documents
+), terms AS (
+  SELECT r, unnest(words) AS term FROM docs
+), lengths AS (
+  SELECT r, doc_id, len(words) AS n FROM docs WHERE len(words) > 0
+), totals AS (
+  SELECT count(*) AS big_n, CAST(sum(n) AS BIGINT) AS big_l FROM lengths
+), counted AS (
+  SELECT r, term, count(*) AS tf FROM terms GROUP BY r, term
+), wanted AS (
+  SELECT DISTINCT item_id, term FROM (SELECT item_id, unnest({WORDS}) AS term FROM benchmark)
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * big_n + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM counted, totals WHERE term IN (SELECT term FROM wanted) GROUP BY term, big_n
+), scored AS (
+  SELECT item_id, doc_id,
+    CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * big_n) // big_l)))) AS BIGINT) AS score
+  FROM wanted JOIN weights USING (term) JOIN counted USING (term) JOIN lengths USING (r), totals
+  GROUP BY item_id, r, doc_id
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank
+  FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50
+"""
+
 
 def queries() -> dict[str, Query]:
     return {
@@ -165,6 +250,8 @@ def queries() -> dict[str, Query]:
         "op8_licenses": licenses,
         "op9_decontamination": decontamination,
         "op10_toxicity": toxic,
+        "op11_resampling": resampling,
+        "op13_ranked_search": search,
     }
 
 
@@ -173,4 +260,6 @@ def oracle_sql() -> dict[str, str]:
         "op1_line_dedup": LINE_DEDUP,
         "op5_topk": TOPK,
         "op6_warc": WARC,
+        "op11_resampling": RESAMPLING,
+        "op13_ranked_search": SEARCH,
     }
