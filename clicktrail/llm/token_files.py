@@ -21,10 +21,8 @@ token, special or not, is that token's id wherever the library finds it in a tex
 
 from __future__ import annotations
 
-import os
 import re
 from collections.abc import Iterator
-from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +30,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from clicktrail.llm.common import Numbering, batch_of, byte_texts, stored, text_slices
+from clicktrail.llm.common import batch_of, byte_texts, stored, text_slices
+from clicktrail.llm.parts import SENTINEL, LibraryEncoder, kept_encoder
 
 MAX_BITS = 18
 BLOCK_TOKENS = 1 << 16  # a block closes with the document that reaches this
@@ -40,20 +39,12 @@ STEP = 1024  # tokens from one checkpoint to the next
 DECODED_BLOCKS = 64  # blocks that are decoded together
 SLICE_ROWS = 4096
 
-# Before a space or line feed that follows a visible character no byte-level
-# pre-token goes on, so texts may be cut there without changing their ids.
-CUT = re.compile("(?<=[!-~À-ɏ])(?=[ \n])")
-
-# Letters that are letters in every version of Unicode, and marks that join no letter behind them.
-SIMPLE = re.compile("( ?[A-Za-zÀ-ÖØ-öø-ſ]+)([!-&(-/:-@\\[-`{-~]*)")
-KNOWN_PARTS = 600_000  # distinct parts that a task keeps the ids of
+KNOWN_PARTS = 1_500_000  # distinct parts that a task keeps the ids of
 
 # A byte-level BPE writes printable bytes as themselves, the others as characters from 256 on.
 PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 BYTE_SYMBOLS = {b: 256 + n for n, b in enumerate(sorted(set(range(256)) - set(PRINTABLE)))}
-SPACE = chr(BYTE_SYMBOLS[32])
-
-FIRST = "\x01"  # marks a part that stands as it is
+SYMBOLS = np.array([BYTE_SYMBOLS.get(b, b) for b in range(256)], "<u4")
 
 BLOCK_SCHEMA = (
     "file int, block int, first long, n_tokens long, doc_ids array<long>, doc_sizes array<long>, "
@@ -71,137 +62,57 @@ def id_type(tokenizer: str, end_id: int = 0) -> str:
     return "<u2" if max(Tokenizer.from_file(tokenizer).get_vocab().values(), default=0) < 1 << 16 > end_id else "<u4"
 
 
-def _odd_spaces(texts: list[bytes]) -> set[int]:
-    """Which texts have a space or line feed that doesn't follow a visible ASCII or Latin character."""
-    data = np.frombuffer(b"\0\0" + b"".join(texts), np.uint8)
-    starts = np.cumsum([0, *map(len, texts[:-1])])
-    at = np.flatnonzero((data == 32) | (data == 10))
-    before, lead = data[at - 1], data[at - 2]
-    # The characters from À to ɏ are two bytes, of which the first is 0xC3 to 0xC9.
-    usual = ((before >= 33) & (before <= 126)) | ((before >= 128) & (lead >= 0xC3) & (lead <= 0xC9))
-    text = np.searchsorted(starts, at - 2, side="right") - 1
-    return set(text[~usual | (at - 2 == starts[text])].tolist())
-
+class PartEncoder(LibraryEncoder):
+    """Ids by a byte-level BPE of the tokenizers library.
 
-def _parts(text: str, odd: bool) -> list[str]:
-    """The parts of a text, cut where `CUT` matches.
-
-    Mostly every space and line feed is such a place. Then the parts come from
-    a split at spaces, and those that begin the text or a line are marked, as
-    the others have lost their space.
+    Before a space or line feed that follows a visible ASCII character or a
+    letter from À to ɏ no byte-level pre-token goes on, so texts may be cut
+    there without changing their ids. Strings of added tokens are cut out first,
+    as the library does it. If added tokens take spaces, stand for whole words
+    only or match normalised text, a text with such a string is one part.
     """
-    if odd or FIRST in text:
-        return [FIRST + part for part in CUT.split(text)]
-    parts = text.replace("\n", f" {FIRST}\n").split(" ")
-    parts[0] = FIRST + parts[0]
-    return parts
-
 
-def _plain(part: str) -> str:
-    return part[1:] if part[:1] == FIRST else f" {part}"
-
-
-class PartEncoder:
-    """Ids of the parts of texts, by the tokenizers library; each distinct part is encoded once.
-
-    A part of plain letters with or without a space before and marks behind is
-    one or two pre-tokens, which go to the library's model at once; any other
-    part goes through the whole library. `units` number what was encoded,
-    `parts` the parts: a part is one unit or two. Texts are cut at added tokens
-    first, as the library does it. If added tokens take spaces, stand for whole
-    words only or match normalised text, a text with such a string is one part.
-    """
+    lead_space = True
 
     def __init__(self, tokenizer: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.library = Tokenizer.from_file(tokenizer)
-        added = list(self.library.get_added_tokens_decoder().values())
-        strings = sorted({token.content for token in added if token.content}, key=len, reverse=True)
-        self.added = re.compile("(" + "|".join(map(re.escape, strings)) + ")") if strings else None
+        super().__init__(tokenizer)
+        tokens = list(self.library.get_added_tokens_decoder().values())
+        strings = sorted(self.added, key=len, reverse=True)
+        self.added_at = re.compile(b"|".join(map(re.escape, strings))) if strings else None
         self.cut_added = not any(
             token.lstrip or token.rstrip or token.single_word or (token.normalized and self.library.normalizer is not None)
-            for token in added
-        ) and len({token.normalized for token in added}) < 2
-        self.forget()
-
-    def forget(self) -> None:
-        self.parts, self.units = Numbering(), Numbering()
-        self.known = 0
-        self.first = self.second = np.zeros(0, np.int64)
-        self.flat, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64)
-
-    def _parts_of(self, text: str, odd: bool) -> list[str]:
-        if self.added is None or not self.added.search(text):
-            return _parts(text, odd)
-        if not self.cut_added:
-            return [FIRST + text]
-        found = []
-        for number, piece in enumerate(self.added.split(text)):
-            if number % 2:
-                found.append(FIRST + piece)
-            elif piece:
-                found.extend(_parts(piece, True))
-        return found
-
-    def _learn(self) -> None:
-        """Encode what `parts` has got since the last call."""
-        new = [_plain(part) for part in islice(self.parts, self.known, None)]
-        self.known = len(self.parts)
-        before = len(self.units)
-        number = self.units.__getitem__
-        first, second, whole = [], [], set()
-        for part, match in zip(new, map(SIMPLE.fullmatch, new), strict=True):
-            if match and not (self.added and self.added.search(part)):
-                word, marks = match.groups()
-                first.append(number(word))
-                second.append(number(marks) if marks else -1)
-            else:
-                first.append(number((part,)))
-                second.append(-1)
-                whole.add(part)
-        rest = list(whole)
-        found = self.library.encode_batch_fast(rest, add_special_tokens=False)
-        others = dict(zip(rest, (made.ids for made in found), strict=True))
-        encoded = [
-            others[unit[0]] if isinstance(unit, tuple) else self._pre_token(unit)
-            for unit in islice(self.units, before, None)
-        ]
-        sizes = np.fromiter(map(len, encoded), np.int64, len(encoded))
-        flat = np.fromiter(chain.from_iterable(encoded), np.uint32, int(sizes.sum()))
-        self.flat, self.sizes = np.concatenate([self.flat, flat]), np.concatenate([self.sizes, sizes])
-        self.first = np.concatenate([self.first, np.array(first, np.int64)])
-        self.second = np.concatenate([self.second, np.array(second, np.int64)])
-
-    def _pre_token(self, unit: str) -> list[int]:
-        plain = unit.isascii()
-        symbols = unit.replace(" ", SPACE) if plain else unit.encode().decode("latin-1").translate(BYTE_SYMBOLS)
-        return [made.id for made in self.library.model.tokenize(symbols)]
+            for token in tokens
+        ) and len({token.normalized for token in tokens}) < 2
+
+    def cut(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.flatnonzero((data == 32) | (data == 10))
+        at = at[at > 0]
+        before, lead = data[at - 1], data[np.maximum(at - 2, 0)]
+        # The characters from À to ɏ are two bytes, of which the first is 0xC3 to 0xC9.
+        usual = ((before >= 33) & (before <= 126)) | ((before >= 128) & (before < 192) & (lead >= 0xC3) & (lead <= 0xC9))
+        cuts = np.sort(np.concatenate([at[usual], starts[ends > starts]]), kind="stable")
+        if self.added_at is not None:
+            spans = np.array([found.span() for found in self.added_at.finditer(data)], np.int64).reshape(-1, 2)
+            if len(spans):
+                if not self.cut_added:
+                    text = np.unique(np.searchsorted(starts, spans[:, 0], side="right") - 1)
+                    spans = np.stack([starts[text], ends[text]], axis=1)
+                # No cuts within the spans, and one at either end, if the text goes on there.
+                span = np.searchsorted(spans[:, 0], cuts, side="right") - 1
+                cuts = np.unique(np.concatenate([cuts[(span < 0) | (cuts >= spans[span, 1])], spans.ravel()]))
+                cuts = cuts[data[cuts] != SENTINEL[0]]
+        text = np.searchsorted(starts, cuts, side="right") - 1
+        return cuts, np.minimum(np.r_[cuts[1:], len(data)], ends[text])
+
+    def whole(self, part: bytes) -> bool:
+        return part in self.added
+
+    def symbols(self, units: bytes) -> str:
+        return SYMBOLS[np.frombuffer(units, np.uint8)].tobytes().decode("utf-32-le")
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, flat, and where each text's end."""
-        if self.known > KNOWN_PARTS:
-            self.forget()
-        order: list[int] = []
-        counts = []
-        odd = _odd_spaces(texts)
-        for number, text in enumerate(texts):
-            parts = self._parts_of(text.decode(), number in odd)
-            order.extend(map(self.parts.__getitem__, parts))
-            counts.append(len(parts))
-        self._learn()
-        pairs = np.array(order, np.int64)
-        pairs = np.stack([self.first[pairs], self.second[pairs]], axis=1)
-        per_text = np.cumsum(counts)
-        units = pairs.ravel()
-        units = units[units >= 0]
-        size = self.sizes[units]
-        stops = np.cumsum(size)
-        starts = (np.cumsum(self.sizes) - self.sizes)[units]
-        at = np.arange(stops[-1]) - np.repeat(stops - size, size) + np.repeat(starts, size)
-        last_unit = np.cumsum((pairs >= 0).sum(axis=1))[per_text - 1]
-        return self.flat[at], stops[last_unit - 1]
+        return self.encoded(texts, KNOWN_PARTS)
 
 
 def encode_ids(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, text_col: str) -> DataFrame:
@@ -213,7 +124,7 @@ def encode_ids(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, text_c
     width = int(kind[-1])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PartEncoder(tokenizer)
+        encoder = kept_encoder(PartEncoder, tokenizer)
         for batch in batches:
             for start, end in text_slices(batch.column(1), SLICE_ROWS):
                 found, ends = encoder.encode(byte_texts(batch.column(1), start, end))
