@@ -12,6 +12,7 @@ from clicktrail.llm.common import shared_path, table
 from clicktrail.llm.decontaminate import contaminated
 from clicktrail.llm.licenses import licence_scan
 from clicktrail.llm.line_dedup import drop_repeated_lines
+from clicktrail.llm.packing import pack_documents
 from clicktrail.llm.pieces import encode_pieces
 from clicktrail.llm.quality import fit_quality, quality_score
 from clicktrail.llm.ranked_search import ranked_search
@@ -108,6 +109,11 @@ def resampling(spark: SparkSession, folder: str) -> DataFrame:
     return importance_ranks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def packing(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = pack_documents(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 def search(spark: SparkSession, folder: str) -> DataFrame:
     return ranked_search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
@@ -251,6 +257,7 @@ def queries() -> dict[str, Query]:
         "op9_decontamination": decontamination,
         "op10_toxicity": toxic,
         "op11_resampling": resampling,
+        "op12_packing": packing,
         "op13_ranked_search": search,
     }
 
