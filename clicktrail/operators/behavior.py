@@ -11,7 +11,7 @@ from clicktrail.functions.events import (
     seconds_between,
     weekday_label,
 )
-from clicktrail.operators.ordered import HOT_ROWS, Next, Ordered, Previous, per_key_order
+from clicktrail.operators.ordered import HOT_ROWS, Next, Ordered, Previous, Skew, per_key_order
 
 TIME_UNITS = {"hour": F.hour, "day_of_week": F.dayofweek, "month": F.month}
 HISTOGRAM_BINS = 50
@@ -64,7 +64,7 @@ def daily_activity(events: DataFrame) -> DataFrame:
 # --- time between a user's consecutive events --------------------------------
 
 
-def user_return_gaps(events: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+def user_return_gaps(events: DataFrame, hot_rows: int | Skew | None = HOT_ROWS) -> DataFrame:
     """All events but each user's first, with prev_ts and gap_hours."""
 
     def build(rows: Ordered) -> DataFrame:
@@ -80,7 +80,7 @@ def user_return_gaps(events: DataFrame, hot_rows: int | None = HOT_ROWS) -> Data
     return per_key_order(timed, "user_id", EVENT_ORDER, build, hot_rows)
 
 
-def _gap_seconds(events: DataFrame, hot_rows: int | None) -> DataFrame:
+def _gap_seconds(events: DataFrame, hot_rows: int | Skew | None) -> DataFrame:
     """The gap before each event but the user's first, as gap_seconds."""
 
     def build(rows: Ordered) -> DataFrame:
@@ -98,13 +98,13 @@ def stored_gap_seconds(gaps: DataFrame) -> DataFrame:
 
 
 def return_histogram(
-    events: DataFrame, bins: int = HISTOGRAM_BINS, hot_rows: int | None = HOT_ROWS
+    events: DataFrame, bins: int = HISTOGRAM_BINS, hot_rows: int | Skew | None = HOT_ROWS
 ) -> DataFrame:
     """`gap_histogram` of the gaps between each user's events."""
     return gap_histogram(_gap_seconds(events, hot_rows), bins)
 
 
-def return_categories(events: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+def return_categories(events: DataFrame, hot_rows: int | Skew | None = HOT_ROWS) -> DataFrame:
     """`gap_categories` of the gaps between each user's events."""
     return gap_categories(_gap_seconds(events, hot_rows))
 
@@ -176,7 +176,7 @@ def product_event_counts(events: DataFrame) -> DataFrame:
     )
 
 
-def product_transitions(events: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+def product_transitions(events: DataFrame, hot_rows: int | Skew | None = HOT_ROWS) -> DataFrame:
     """How often one event type follows another on the same product.
 
     The successor is the product's next event by time, whoever caused it.

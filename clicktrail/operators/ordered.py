@@ -1,4 +1,4 @@
-"""Ordered per-key window functions that survive a key holding a third of all rows.
+"""Ordered per-key window functions that survive keys holding a third of all rows.
 
 A Spark window puts every row of its partition key into one task. That is right
 for almost every user or product, and fatal for a bot, for the NULL user or for
@@ -6,11 +6,18 @@ a default timestamp. So the keys are counted first, which shuffles only one
 partial count per key and input split:
 
 * No key above `hot_rows`: plain windows, one shuffle on the key.
-* Otherwise the rows of the other keys take the plain path, and the rows of the
-  hot keys are cut into consecutive slices by a range partitioning on
-  (key, order). Windows run inside a slice; what a slice needs to know of the
-  slices before or after it (last value, running sum, ...) comes from a table
-  with one row per (key, slice), joined back.
+* Some: the rows of the other keys take the plain path. The rows of the hot keys
+  are cut into consecutive slices by a range partitioning on (key, order).
+* More than `BROADCAST_KEYS`: all rows are sliced so, without a list of the hot
+  keys and without moving any row by its key alone.
+
+Windows run inside a slice. What a slice needs to know of the slices before or
+after it is summed up in one row per (key, slice), and one pass over these rows
+gives each slice what it takes over: of sessions, say, the last instant, the
+number of sessions and of events, and the events since the last start. Summaries
+are associative, so any cut gives the same result. Only the keys that reach into
+a slice from the one before have summaries, at most two a slice; the table of
+what they take over is written once and joined back by broadcast.
 
 Exact copies of a row would all fall into one range, so they are counted before
 the shuffle and numbered apart; the copy number is the last sort key. No row is
@@ -39,14 +46,29 @@ HOT_ROWS = 1_000_000
 # some 20,000 partitions and not with millions.
 SLICE_SHRINK = 16
 SLICE_GROW = 16
-# Largest tables that are broadcast, here a few MB each: the hot keys, which
-# also pass the driver, and one row per (hot key, slice). Larger ones are
-# joined by shuffle.
+# Hot keys up to which their rows are split off: by a list of values in the
+# filter, which reaches the scan, or by a broadcast of a few MB.
+LITERAL_KEYS = 1_000
 BROADCAST_KEYS = 10_000
+# Largest table of what slices take over that is broadcast (a few MB; it has at
+# most two rows a slice). A larger one is joined by shuffle.
 BROADCAST_SLICES = 100_000
 # Copies of one row that a single task writes out.
 COPIES_PER_BLOCK = 100_000
 
+
+@dataclass(frozen=True)
+class Skew:
+    """Limits other than the defaults: rows of a key that fit one task, and hot keys that are listed."""
+
+    rows: int = HOT_ROWS
+    listed: int = BROADCAST_KEYS
+
+
+def rows_limit(hot_rows: int | Skew | None) -> int | None:
+    return hot_rows.rows if isinstance(hot_rows, Skew) else hot_rows
+
+
 COPY = "_copy"
 ROW = "_row"
 SLICE = "_slice"
@@ -86,6 +108,10 @@ def _before(spec: WindowSpec) -> WindowSpec:
     return spec.rowsBetween(Window.unboundedPreceding, -1)
 
 
+def _whole(spec: WindowSpec) -> WindowSpec:
+    return spec.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+
+
 class Previous(Step):
     """The value on the key's row before this one (`lag`)."""
 
@@ -155,33 +181,168 @@ class RunningMax(Step):
         return F.greatest(local, carried)
 
 
+class MaxBefore(RunningMax):
+    """Largest value over the key's rows before this one."""
+
+    def local(self, inside):
+        return F.max(self.value).over(_before(inside))
+
+
 class KeySum(RunningSum):
     """Sum over all rows of the key."""
 
     def local(self, inside):
-        whole = inside.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        return F.sum(self.value).over(whole)
+        return F.sum(self.value).over(_whole(inside))
 
     def carry(self, summary, slices):
-        whole = slices.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        return F.sum(summary).over(whole)
+        return F.sum(summary).over(_whole(slices))
 
     def merge(self, local, carried):
         return F.coalesce(carried, local)
 
 
+class KeyMin(Step):
+    """Smallest value over all rows of the key."""
+
+    def local(self, inside):
+        return F.min(self.value).over(_whole(inside))
+
+    def summary(self, row):
+        return F.min(self.value)
+
+    def carry(self, summary, slices):
+        return F.min(summary).over(_whole(slices))
+
+    def merge(self, local, carried):
+        return F.least(local, carried)
+
+
+@dataclass(frozen=True)
+class Islands:
+    """Consecutive rows of a key put together as numbered islands, such as sessions.
+
+    `step` gives, from the column that holds `value` on the row before (NULL on
+    the key's first row), by how much the island's number grows at a row.
+    Positions count the rows that `counted` counts since the island began; rows
+    for which `keeps` is true begin no new count.
+    """
+
+    value: Column
+    step: Callable[[Column], Column]
+    before: str
+    grows: str
+    number: str
+    counted: Column | None = None
+    rank: str | None = None
+    position: str | None = None
+    keeps: Column | None = None
+
+    def begins(self, grows: Column) -> Column:
+        begun = grows > 0
+        return begun if self.keeps is None else begun & ~self.keeps
+
+    @property
+    def columns(self) -> list[str]:
+        return [self.before, self.grows, self.number, *([self.rank] if self.rank else []), *([self.position] if self.position else [])]
+
+    def plain(self, frame: DataFrame, rows: WindowSpec) -> DataFrame:
+        frame = frame.withColumn(self.before, F.lag(self.value).over(rows))
+        frame = frame.withColumn(self.grows, self.step(F.col(self.before)))
+        added = {self.number: F.sum(self.grows).over(_up_to_here(rows))}
+        if self.counted is None:
+            return frame.withColumns(added)
+        rank = self.rank or "_rank"
+        frame = frame.withColumns({**added, rank: F.sum(self.counted).over(_up_to_here(rows))})
+        if self.position:
+            at = F.max(F.when(self.begins(F.col(self.grows)), F.col(rank) - self.counted)).over(_up_to_here(rows))
+            frame = frame.withColumn(self.position, F.col(rank) - F.coalesce(at, F.lit(0)))
+        return frame if self.rank else frame.drop(rank)
+
+    def local(self, frame: DataFrame, inside: WindowSpec) -> DataFrame:
+        """Columns _l_*: as far as the rows of a slice tell, its first row taken for the key's first."""
+        frame = frame.withColumn("_l_before", F.lag(F.struct(self.value.alias("v"))).over(inside))
+        frame = frame.withColumn("_l_first", F.col("_l_before").isNull())
+        frame = frame.withColumn("_l_before", F.col("_l_before")["v"])
+        frame = frame.withColumn("_l_grows", self.step(F.col("_l_before")))
+        sums = {"_l_number": F.sum("_l_grows").over(_up_to_here(inside))}
+        if self.counted is not None:
+            sums["_l_one"] = self.counted
+            sums["_l_rank"] = F.sum(self.counted).over(_up_to_here(inside))
+        frame = frame.withColumns(sums)
+        if self.position:
+            later = ~F.col("_l_first") & self.begins(F.col("_l_grows"))
+            at = F.max(F.when(later, F.col("_l_rank") - F.col("_l_one"))).over(_up_to_here(inside))
+            frame = frame.withColumn("_l_begun", at)
+        return frame
+
+    def summary(self, columns: list[str]) -> list[Column]:
+        first = F.struct(*[F.col(f"`{c}`") for c in columns], F.col("_l_grows"))
+        found = [
+            F.min_by(first, F.col(ROW)).alias("first"),
+            F.max_by(self.value, F.col(ROW)).alias("last"),
+            F.sum("_l_grows").alias("growth"),
+        ]
+        if self.counted is not None:
+            found.append(F.sum("_l_one").alias("count"))
+        if self.position:
+            found.append(F.max("_l_begun").alias("begun"))
+        return found
+
+    def carry(self, parts: DataFrame, key: str, slices: WindowSpec) -> DataFrame:
+        """(_carry_key, _carry_slice, _c_*): what each slice takes over."""
+        known = parts.withColumn("_c_before", F.lag("last").over(slices))
+        names = [F.col(key).alias("_carry_key"), F.col(SLICE).alias("_carry_slice")]
+        # The first row's columns under their own names, for `step`.
+        own = known.select(*names, *[c for c in known.columns if c not in (key, SLICE, "first")], F.col("first.*"))
+        over = Window.partitionBy("_carry_key").orderBy("_carry_slice")
+        own = own.withColumn("_c_grows", self.step(F.col("_c_before")))
+        shift = F.col("_c_grows") - F.col("_l_grows")
+        before = F.coalesce(F.sum(F.col("growth") + shift).over(_before(over)), F.lit(0))
+        added = {"_c_number": before + shift}
+        if self.counted is not None:
+            added["_c_rank"] = F.coalesce(F.sum("count").over(_before(over)), F.lit(0))
+        if self.position:
+            added["_c_begins"] = self.begins(F.col("_c_grows"))
+        own = own.withColumns(added)
+        kept = ["_c_before", "_c_grows", *added]
+        if self.position:
+            begins = F.when(F.col("_c_begins"), F.col("_c_rank"))
+            own = own.withColumn("_c_latest", F.greatest(F.col("_c_rank") + F.col("begun"), begins))
+            own = own.withColumn("_c_begun", F.greatest(F.max("_c_latest").over(_before(over)), F.when(F.col("_c_begins"), F.col("_c_rank"))))
+            kept.append("_c_begun")
+        return own.select("_carry_key", "_carry_slice", F.lit(True).alias("_c_found"), *kept)
+
+    def merge(self) -> dict[str, Column]:
+        taken = F.col("_l_first") & F.col("_c_found").isNotNull()
+        found = {
+            self.before: F.when(taken, F.col("_c_before")).otherwise(F.col("_l_before")),
+            self.grows: F.when(taken, F.col("_c_grows")).otherwise(F.col("_l_grows")),
+            self.number: F.col("_l_number") + F.coalesce("_c_number", F.lit(0)),
+        }
+        if self.counted is not None:
+            earlier = F.coalesce("_c_rank", F.lit(0))
+            rank = F.col("_l_rank") + earlier
+            if self.rank:
+                found[self.rank] = rank
+            if self.position:
+                begun = F.coalesce(F.greatest(F.col("_c_begun"), F.col("_l_begun") + earlier), F.lit(0))
+                found[self.position] = rank - begun
+        return found
+
+
 @dataclass(frozen=True)
 class Ordered:
     """Rows with a key and an order.
 
-    `slices` bounds the number of (key, slice) pairs; it is 0 where every key
-    fits one task.
+    `slices` bounds the number of slices; it is 0 where every key fits one task.
+    Sliced rows are `settled` once they are in reliable storage.
     """
 
     frame: DataFrame
     key: str
     order: tuple[str, ...]
     slices: int = 0
+    settled: bool = False
 
     @property
     def hot(self) -> bool:
@@ -190,77 +351,100 @@ class Ordered:
     def with_column(self, name: str, value: Column) -> Ordered:
         return replace(self, frame=self.frame.withColumn(name, value))
 
-    def add(self, **steps: Step) -> Ordered:
-        """Add one column per step; all steps share one window sort."""
+    def add(self, islands: Islands | None = None, **steps: Step) -> Ordered:
+        """Add one column per step, and those of `islands`; all share one window sort."""
         partition = [self.key, SLICE] if self.hot else [self.key]
         inside = Window.partitionBy(*partition).orderBy(*self.order)
+        frame = self.frame
         if not self.hot:
-            columns = {n: s.plain(inside) for n, s in steps.items()}
-            return replace(self, frame=self.frame.withColumns(columns))
-
-        # One row per (key, slice), then what each slice inherits.
-        parts = self.frame.groupBy(self.key, SLICE).agg(
-            *[s.summary(F.col(ROW)).alias(n) for n, s in steps.items()]
-        )
-        across = Window.partitionBy(self.key).orderBy(SLICE)
-        carried = parts.select(
-            F.col(self.key).alias("_carry_key"),
-            F.col(SLICE).alias("_carry_slice"),
-            *[s.carry(F.col(n), across).alias(f"_carry_{n}") for n, s in steps.items()],
-        )
-        if self.slices <= BROADCAST_SLICES:
-            carried = F.broadcast(carried)
-        here = self.frame.withColumns({f"_local_{n}": s.local(inside) for n, s in steps.items()})
+            if islands is not None:
+                frame = islands.plain(frame, inside)
+            return replace(self, frame=frame.withColumns({n: s.plain(inside) for n, s in steps.items()}))
+
+        columns = frame.columns
+        here = frame.withColumns({f"_local_{n}": s.local(inside) for n, s in steps.items()})
+        if islands is not None:
+            here = islands.local(here, inside)
+        if not self.settled:
+            # Range bounds come from sampling: a row's place must not change
+            # between the jobs that read it, or when a lost task is run again.
+            ensure_checkpoint_dir(here.sparkSession)
+            here = here.checkpoint()
+
+        carried = self._carried(here, columns, islands, steps)
         joined = here.join(
-            carried,
-            here[self.key].eqNullSafe(carried["_carry_key"])
-            & (here[SLICE] == carried["_carry_slice"]),
+            F.broadcast(carried) if 2 * self.slices <= BROADCAST_SLICES else carried,
+            here[self.key].eqNullSafe(carried["_carry_key"]) & (here[SLICE] == carried["_carry_slice"]),
             "left",
         )
-        return replace(
-            self,
-            frame=joined.select(
-                *self.frame.columns,
-                *[
-                    s.merge(F.col(f"_local_{n}"), F.col(f"_carry_{n}")).alias(n)
-                    for n, s in steps.items()
-                ],
-            ),
-        )
+        merged = {n: s.merge(F.col(f"_local_{n}"), F.col(f"_carry_{n}")) for n, s in steps.items()}
+        if islands is not None:
+            merged.update(islands.merge())
+        added = [value.alias(name) for name, value in merged.items()]
+        return replace(self, frame=joined.select(*columns, *added), settled=True)
+
+    def _carried(self, here: DataFrame, columns: list[str], islands: Islands | None, steps: dict[str, Step]) -> DataFrame:
+        """One row per (key, slice) of the keys that reach over a slice's start: what the slice takes over."""
+        key, row = self.key, F.col(ROW)
+        firsts = here.groupBy(SLICE).agg(F.min_by(F.struct(F.col(key).alias("k")), row).alias("f"))
+        firsts = firsts.select(F.col("f.k").alias("_first_key")).distinct()
+        border = here.join(F.broadcast(firsts), here[key].eqNullSafe(firsts["_first_key"]), "left_semi")
+        summed = [s.summary(row).alias(f"_sum_{n}") for n, s in steps.items()]
+        parts = border.groupBy(key, SLICE).agg(*summed, *(islands.summary(columns) if islands is not None else []))
+        across = Window.partitionBy(key).orderBy(SLICE)
+        values = [s.carry(F.col(f"_sum_{n}"), across).alias(f"_carry_{n}") for n, s in steps.items()]
+        names = [F.col(key).alias("_carry_key"), F.col(SLICE).alias("_carry_slice")]
+        carried = parts.select(*names, *values)
+        if islands is not None:
+            of_islands = islands.carry(parts, key, across)
+            if not steps:
+                carried = of_islands
+            else:
+                both = of_islands.withColumnsRenamed({"_carry_key": "_k", "_carry_slice": "_s"})
+                match = carried["_carry_key"].eqNullSafe(both["_k"]) & (carried["_carry_slice"] == both["_s"])
+                carried = carried.join(both, match).drop("_k", "_s")
+        return carried.checkpoint()
 
 
 @dataclass(frozen=True)
 class HotKeys:
-    """The keys with more rows than allowed, their number and all their rows."""
+    """The keys with more rows than allowed, their number and all their rows.
+
+    `values` has the keys if there are few, `keys` if they may be broadcast.
+    """
 
-    keys: DataFrame
+    keys: DataFrame | None
     count: int
     rows: int
+    values: list | None = None
 
 
-def find_hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> HotKeys | None:
+def find_hot_keys(df: DataFrame, key: str, hot_rows: int | Skew = HOT_ROWS) -> HotKeys | None:
     """Count rows per key and return the hot keys, None if there are none.
 
     The largest BROADCAST_KEYS + 1 keys at most reach the driver; if there are
-    that many, the keys stay a distributed table. (Taking the largest is one
-    job; taking any would try few partitions first, then more, in several.)
+    that many, the hot keys aren't listed. (Taking the largest is one job; taking
+    any would try few partitions first, then more, in several.)
     """
+    most = hot_rows.listed if isinstance(hot_rows, Skew) else BROADCAST_KEYS
     counts = (
         df.groupBy(F.col(key).alias("_hot_key"))
         .agg(F.count("*").alias("_hot_rows"))
-        .filter(F.col("_hot_rows") > hot_rows)
+        .filter(F.col("_hot_rows") > rows_limit(hot_rows))
     )
-    found = counts.orderBy(F.desc("_hot_rows")).limit(BROADCAST_KEYS + 1).collect()
+    found = counts.orderBy(F.desc("_hot_rows")).limit(most + 1).collect()
     if not found:
         return None
-    if len(found) <= BROADCAST_KEYS:
-        keys = df.sparkSession.createDataFrame(found, counts.schema).select("_hot_key")
-        return HotKeys(F.broadcast(keys), len(found), sum(r["_hot_rows"] for r in found))
-    number, total = counts.agg(F.count("*"), F.sum("_hot_rows")).first()
-    return HotKeys(counts.select("_hot_key"), number, total)
+    if len(found) > most:
+        number, total = counts.agg(F.count("*"), F.sum("_hot_rows")).first()
+        return HotKeys(None, number, total)
+    keys = df.sparkSession.createDataFrame(found, counts.schema).select("_hot_key")
+    few = len(found) <= LITERAL_KEYS and isinstance(df.schema[key].dataType, (T.StringType, T.IntegralType))
+    values = [row["_hot_key"] for row in found] if few else None
+    return HotKeys(F.broadcast(keys), len(found), sum(r["_hot_rows"] for r in found), values)
 
 
-def hot_limit(df: DataFrame, key: str, hot_rows: int | None = HOT_ROWS) -> int | None:
+def hot_limit(df: DataFrame, key: str, hot_rows: int | Skew | None = HOT_ROWS) -> int | Skew | None:
     """`hot_rows` if any key exceeds it, else None.
 
     For callers of several operators on the same events: pass the answer as
@@ -327,17 +511,13 @@ def _slice_count(spark: SparkSession, rows: int, hot_rows: int) -> int:
     return max(2, coarse, min(fine, partitions))
 
 
-def _slice(rows: DataFrame, key: str, order: tuple[str, ...], hot: HotKeys, hot_rows: int) -> Ordered:
-    """Cut each key's rows into consecutive slices of about equal size.
+def _slice(rows: DataFrame, key: str, order: tuple[str, ...], sliced_rows: int, hot_rows: int) -> Ordered:
+    """Cut the keys' rows into consecutive slices of about equal size.
 
     A slice is a partition of a global sort by key and order, and `_row` the
-    place in that sort, which from here on replaces the order columns. The
-    checkpoint is reliable storage: range bounds come from sampling, and the
-    place of a row must not change when a lost task is run again.
+    place in that sort, which from here on replaces the order columns.
     """
-    spark = rows.sparkSession
-    ensure_checkpoint_dir(spark)
-    tasks = _slice_count(spark, hot.rows, hot_rows)
+    tasks = _slice_count(rows.sparkSession, sliced_rows, hot_rows)
     # Rows that tie in the order are told apart by their other columns, then
     # by the copy number, so that no range is wider than its share.
     others = [c for c in rows.columns if c != key and c not in order]
@@ -347,11 +527,20 @@ def _slice(rows: DataFrame, key: str, order: tuple[str, ...], hot: HotKeys, hot_
         numbered.repartitionByRange(tasks, *by)
         .sortWithinPartitions(*by)
         .select(*rows.columns, F.monotonically_increasing_id().alias(ROW))
-        .checkpoint()
     )
     # The id's upper bits are the partition number.
     sliced = placed.withColumn(SLICE, F.shiftright(ROW, 33).cast("int"))
-    return Ordered(sliced, key, (ROW,), slices=tasks + hot.count)
+    return Ordered(sliced, key, (ROW,), slices=tasks)
+
+
+def _split(df: DataFrame, key: str, hot: HotKeys) -> tuple[DataFrame, DataFrame]:
+    """The rows of all other keys, and those of the hot keys."""
+    if hot.values is None:
+        match = df[key].eqNullSafe(hot.keys["_hot_key"])
+        return df.join(hot.keys, match, "left_anti"), df.join(hot.keys, match, "left_semi")
+    listed = F.coalesce(F.col(key).isin([value for value in hot.values if value is not None]), F.lit(False))
+    is_hot = listed | F.col(key).isNull() if None in hot.values else listed
+    return df.filter(~is_hot), df.filter(is_hot)
 
 
 def per_key_order(
@@ -359,7 +548,7 @@ def per_key_order(
     key: str,
     order: list[str],
     build: Callable[[Ordered], DataFrame],
-    hot_rows: int | None = HOT_ROWS,
+    hot_rows: int | Skew | None = HOT_ROWS,
 ) -> DataFrame:
     """Apply `build` to the rows of `df`, ordered within each key.
 
@@ -370,8 +559,8 @@ def per_key_order(
     hot = None if hot_rows is None else find_hot_keys(df, key, hot_rows)
     if hot is None:
         return build(Ordered(df, key, order_by))
-    match = df[key].eqNullSafe(hot.keys["_hot_key"])
-    cold_rows = df.join(hot.keys, match, "left_anti")
-    hot_rows_only = df.join(hot.keys, match, "left_semi")
+    if hot.keys is None:
+        return build(_slice(df, key, order_by, df.count(), rows_limit(hot_rows)))
+    cold_rows, hot_rows_only = _split(df, key, hot)
     cold = build(Ordered(cold_rows, key, order_by))
-    return cold.unionByName(build(_slice(hot_rows_only, key, order_by, hot, hot_rows)))
+    return cold.unionByName(build(_slice(hot_rows_only, key, order_by, hot.rows, rows_limit(hot_rows))))

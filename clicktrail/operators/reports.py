@@ -15,7 +15,7 @@ from clicktrail.functions.events import (
     bucket_order,
     duration_bucket,
 )
-from clicktrail.operators.ordered import HOT_ROWS
+from clicktrail.operators.ordered import HOT_ROWS, Skew
 from clicktrail.operators.sessions import event_positions, session_sequence_labels
 
 TOP_SEQUENCES = 10
@@ -142,7 +142,7 @@ def event_position_counts(
     events: DataFrame,
     gap_minutes: int = DEFAULT_GAP_MINUTES,
     null_ts: str = "drop",
-    hot_rows: int | None = HOT_ROWS,
+    hot_rows: int | Skew | None = HOT_ROWS,
     limit: int | None = None,
 ) -> DataFrame:
     """How often each event type stands at each position of a session."""
@@ -161,7 +161,7 @@ def sequence_counts(
     events: DataFrame,
     gap_minutes: int = DEFAULT_GAP_MINUTES,
     null_ts: str = "drop",
-    hot_rows: int | None = HOT_ROWS,
+    hot_rows: int | Skew | None = HOT_ROWS,
 ) -> DataFrame:
     """How many sessions have each event sequence of more than one event.
 

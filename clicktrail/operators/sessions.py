@@ -46,13 +46,12 @@ from clicktrail.functions.events import (
 )
 from clicktrail.operators.ordered import (
     HOT_ROWS,
+    Islands,
     KeySum,
     Ordered,
-    Previous,
-    RunningMax,
-    RunningSum,
-    Step,
+    Skew,
     per_key_order,
+    rows_limit,
 )
 
 NULL_TS_POLICIES = ("drop", "keep_rows", "keep_range")
@@ -95,34 +94,37 @@ def _label(
     far; with `positions`, also event_position, the same within the session:
     the rank less the user's rank just before the session.
 
-    All windows share one sort by user and time, and the columns come in two
-    steps, because slices exchange what they know once per step.
+    All windows share one sort by user and time, and slices exchange what they
+    know in one pass.
     """
     check_gap(gap_minutes)
-    one = F.lit(1) if counted is None else F.when(counted, 1).otherwise(0)
-    first: dict[str, Step] = {"prev_ts": Previous(F.col("ts"))}
-    if counted is not None or positions:
-        first["_rank"] = RunningSum(one)
-    rows = rows.add(**first)
-    gap = seconds_between(F.col("prev_ts"), F.col("ts")) / F.lit(60.0)
-    starts = F.col("prev_ts").isNull() | (F.col("gap_minutes") > gap_minutes)
-    rows = rows.with_column("gap_minutes", gap)
-    rows = rows.with_column("new_session", F.when(starts, 1).otherwise(0))
-
-    untimed = F.col("ts").isNull() if null_ts == "keep_range" else F.lit(False)
-    second: dict[str, Step] = {"session_seq": RunningSum(F.col("new_session"))}
-    if null_ts == "keep_range":
-        second["_untimed"] = KeySum(F.when(untimed, 1).otherwise(0))
-    if positions:
-        before = F.when(untimed, F.lit(0)).when(F.col("new_session") == 1, F.col("_rank") - one)
-        second["_before"] = RunningMax(before)
-    rows = rows.add(**second)
+    untimed = F.col("ts").isNull()
+
+    def gap(before: Column) -> Column:
+        return seconds_between(before, F.col("ts")) / F.lit(60.0)
+
+    def step(before: Column) -> Column:
+        return F.when(before.isNull() | (gap(before) > gap_minutes), 1).otherwise(0)
+
+    ranked = counted is not None
+    if positions and not ranked:
+        counted = F.lit(True)
+    rows = rows.add(
+        Islands(
+            value=F.col("ts"), step=step, before="prev_ts", grows="new_session", number="session_seq",
+            counted=None if counted is None else F.when(counted, 1).otherwise(0),
+            rank="_rank" if ranked else None,
+            position="event_position" if positions else None,
+            # All of a user's untimed events are one session, counted from its first one.
+            keeps=untimed if null_ts == "keep_range" else None,
+        ),
+        **({"_untimed": KeySum(F.when(untimed, 1).otherwise(0))} if null_ts == "keep_range" else {}),
+    )
+    rows = rows.with_column("gap_minutes", gap(F.col("prev_ts")))
     if null_ts == "keep_range":
-        # All of the user's untimed events share the last of their ordinals.
+        # They share the last of their ordinals.
         shared = F.when(untimed, F.col("_untimed")).otherwise(F.col("session_seq"))
         rows = rows.with_column("session_seq", shared)
-    if positions:
-        rows = rows.with_column("event_position", F.col("_rank") - F.col("_before"))
     return rows.with_column("session_id", session_id())
 
 
@@ -130,7 +132,7 @@ def sessionize(
     events: DataFrame,
     gap_minutes: int = DEFAULT_GAP_MINUTES,
     null_ts: str = "drop",
-    hot_rows: int | None = HOT_ROWS,
+    hot_rows: int | Skew | None = HOT_ROWS,
 ) -> DataFrame:
     """The events with prev_ts, gap_minutes, new_session, session_seq, session_id."""
     added = ["prev_ts", "gap_minutes", "new_session", "session_seq", "session_id"]
@@ -146,7 +148,7 @@ def event_positions(
     events: DataFrame,
     gap_minutes: int = DEFAULT_GAP_MINUTES,
     null_ts: str = "drop",
-    hot_rows: int | None = HOT_ROWS,
+    hot_rows: int | Skew | None = HOT_ROWS,
 ) -> DataFrame:
     """The events with session_id and their position in the session."""
 
@@ -161,7 +163,7 @@ def event_positions(
 # --- one row per session, totals only ----------------------------------------
 
 
-def _session_totals() -> list[Column]:
+def session_totals() -> list[Column]:
     return [
         F.count("*").alias("event_count"),
         count_events(PRODUCT_VIEW).alias("product_views"),
@@ -170,14 +172,14 @@ def _session_totals() -> list[Column]:
     ]
 
 
-_TOTALS = ["event_count", "product_views", "cart_adds", "purchases"]
+TOTALS = ["event_count", "product_views", "cart_adds", "purchases"]
 
 
 def session_table(
     events: DataFrame,
     gap_minutes: int = DEFAULT_GAP_MINUTES,
     null_ts: str = "drop",
-    hot_rows: int | None = HOT_ROWS,
+    hot_rows: int | Skew | None = HOT_ROWS,
 ) -> DataFrame:
     """One row per session.
 
@@ -191,34 +193,37 @@ def session_table(
         # Untimed events become one session each, so they need numbers.
         labelled = sessionize(events, gap_minutes, null_ts, hot_rows)
         sessions = labelled.groupBy("user_id", "session_seq").agg(
-            F.min("ts").alias("start_ts"), F.max("ts").alias("end_ts"), *_session_totals()
+            F.min("ts").alias("start_ts"), F.max("ts").alias("end_ts"), *session_totals()
         )
-        return _finish(sessions)
+        return finish_sessions(sessions)
 
     width = max(gap_seconds, 1)
     second = F.unix_timestamp("ts")
     chunks = (
         kept.withColumn("chunk", second - F.pmod(second, F.lit(width)))
         .groupBy("user_id", "chunk")
-        .agg(F.min("ts").alias("start_ts"), F.max("ts").alias("end_ts"), *_session_totals())
+        .agg(F.min("ts").alias("start_ts"), F.max("ts").alias("end_ts"), *session_totals())
     )
 
     def build(rows: Ordered) -> DataFrame:
-        rows = rows.add(prev_end=Previous(F.col("end_ts")))
-        idle = seconds_between(F.col("prev_end"), F.col("start_ts"))
-        begins = F.when(idle <= gap_seconds, 0).otherwise(1)
-        if null_ts == "keep_range":
-            # The untimed events are the user's chunk NULL, sorted first.
-            begins = F.when(F.col("chunk").isNull(), F.col("event_count")).otherwise(begins)
-        numbered = rows.add(session_seq=RunningSum(begins)).frame
+        def step(prev_end: Column) -> Column:
+            idle = seconds_between(prev_end, F.col("start_ts"))
+            begins = F.when(idle <= gap_seconds, F.lit(0).cast("long")).otherwise(1)
+            if null_ts == "keep_range":
+                # The untimed events are the user's chunk NULL, sorted first.
+                begins = F.when(F.col("chunk").isNull(), F.col("event_count")).otherwise(begins)
+            return begins
+
+        islands = Islands(F.col("end_ts"), step, before="prev_end", grows="begins", number="session_seq")
+        numbered = rows.add(islands).frame
         return numbered.groupBy("user_id", "session_seq").agg(
             F.min("start_ts").alias("start_ts"),
             F.max("end_ts").alias("end_ts"),
-            *[F.sum(name).alias(name) for name in _TOTALS],
+            *[F.sum(name).alias(name) for name in TOTALS],
         )
 
-    limit = None if hot_rows is None or _most_chunks(kept, width) <= hot_rows else hot_rows
-    return _finish(per_key_order(chunks, "user_id", ["chunk"], build, limit))
+    limit = None if hot_rows is None or _most_chunks(kept, width) <= rows_limit(hot_rows) else hot_rows
+    return finish_sessions(per_key_order(chunks, "user_id", ["chunk"], build, limit))
 
 
 def _most_chunks(events: DataFrame, width: int) -> int:
@@ -232,7 +237,7 @@ def _duration_seconds() -> Column:
     return seconds_between(F.col("start_ts"), F.col("end_ts"))
 
 
-def _finish(sessions: DataFrame) -> DataFrame:
+def finish_sessions(sessions: DataFrame) -> DataFrame:
     return sessions.select(
         "user_id",
         "session_seq",
@@ -241,7 +246,7 @@ def _finish(sessions: DataFrame) -> DataFrame:
         "end_ts",
         _duration_seconds().alias("duration_seconds"),
         minutes_2dp(_duration_seconds()).alias("duration_minutes"),
-        *_TOTALS,
+        *TOTALS,
     )
 
 
@@ -267,7 +272,7 @@ def _sessions_with_list(
     events: DataFrame,
     gap_minutes: int,
     null_ts: str,
-    hot_rows: int | None,
+    hot_rows: int | Skew | None,
     counts: dict[str, Column],
     list_name: str,
     list_of: str,
@@ -295,7 +300,7 @@ def _sessions_with_list(
 
     def sliced(rows: Ordered) -> DataFrame:
         labelled = _label(rows, gap_minutes, null_ts, positions=True).frame
-        parts = labelled.groupBy(*keys, _part(hot_rows)).agg(
+        parts = labelled.groupBy(*keys, _part(rows_limit(hot_rows))).agg(
             *spans,
             *counted,
             *[F.collect_set(c).alias(n) for n, c in distinct.items()],
@@ -325,7 +330,7 @@ def session_pages(
     events: DataFrame,
     gap_minutes: int = DEFAULT_GAP_MINUTES,
     null_ts: str = "drop",
-    hot_rows: int | None = HOT_ROWS,
+    hot_rows: int | Skew | None = HOT_ROWS,
 ) -> DataFrame:
     """Session metrics with the ordered pages.
 
@@ -351,7 +356,7 @@ def session_products(
     events: DataFrame,
     gap_minutes: int = DEFAULT_GAP_MINUTES,
     null_ts: str = "drop",
-    hot_rows: int | None = HOT_ROWS,
+    hot_rows: int | Skew | None = HOT_ROWS,
 ) -> DataFrame:
     """Session metrics with the products.
 
@@ -387,7 +392,7 @@ def session_sequences(
     events: DataFrame,
     gap_minutes: int = DEFAULT_GAP_MINUTES,
     null_ts: str = "drop",
-    hot_rows: int | None = HOT_ROWS,
+    hot_rows: int | Skew | None = HOT_ROWS,
 ) -> DataFrame:
     """Sessions with the list of their event types, in order, without NULLs."""
     sessions = _sessions_with_list(
@@ -418,7 +423,7 @@ def session_item_parts(
     null_ts: str = "drop",
     value: str = "item_id",
     part_size: int = PART_SIZE,
-    hot_rows: int | None = HOT_ROWS,
+    hot_rows: int | Skew | None = HOT_ROWS,
     keep: Column | None = None,
 ) -> DataFrame:
     """Every session's ordered values in parts of `part_size` events.
@@ -449,7 +454,7 @@ def session_sequence_labels(
     events: DataFrame,
     gap_minutes: int = DEFAULT_GAP_MINUTES,
     null_ts: str = "drop",
-    hot_rows: int | None = HOT_ROWS,
+    hot_rows: int | Skew | None = HOT_ROWS,
 ) -> DataFrame:
     """Per session its event sequence as text, and its number of steps.
 
@@ -469,7 +474,7 @@ def session_sequence_labels(
     def sliced(rows: Ordered) -> DataFrame:
         labelled = _label(rows, gap_minutes, null_ts, counted=typed, positions=True).frame
         # A part without steps adds no text: NULL, which the list leaves out.
-        parts = labelled.groupBy("user_id", "session_seq", _part(hot_rows)).agg(
+        parts = labelled.groupBy("user_id", "session_seq", _part(rows_limit(hot_rows))).agg(
             F.when(steps > 0, text("event_position")).alias("text"), steps
         )
         whole = _in_order("text", F.col("text").isNotNull(), "part")

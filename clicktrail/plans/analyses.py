@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from clicktrail.functions.events import DEFAULT_GAP_MINUTES
 from clicktrail.operators import behavior, rankings, reports, sessions
-from clicktrail.operators.ordered import HOT_ROWS, hot_limit
+from clicktrail.operators.ordered import HOT_ROWS, Skew, hot_limit
 from clicktrail.sources.readers import event_profile, read_csv_events, read_json_events, sample_rows
 
 # What the CSV log calls the canonical columns.
@@ -27,7 +27,7 @@ def page_analysis(
     events: DataFrame,
     gap_minutes: int = DEFAULT_GAP_MINUTES,
     null_ts: str = "drop",
-    hot_rows: int | None = HOT_ROWS,
+    hot_rows: int | Skew | None = HOT_ROWS,
 ) -> tuple[DataFrame, DataFrame]:
     """Sessions with their pages, top pages."""
     pages = sessions.session_pages(events, gap_minutes, null_ts, hot_rows)
@@ -39,7 +39,7 @@ def product_analysis(
     gap_minutes: int = DEFAULT_GAP_MINUTES,
     null_ts: str = "drop",
     cart_scope: str = "viewed_rows",
-    hot_rows: int | None = HOT_ROWS,
+    hot_rows: int | Skew | None = HOT_ROWS,
 ) -> tuple[DataFrame, DataFrame]:
     """Sessions with their products, product view statistics."""
     products = sessions.session_products(events, gap_minutes, null_ts, hot_rows)
@@ -51,7 +51,7 @@ def sessionize_logs(
     input_path: str,
     session_gap_minutes: int = DEFAULT_GAP_MINUTES,
     null_ts: str = "drop",
-    hot_rows: int | None = HOT_ROWS,
+    hot_rows: int | Skew | None = HOT_ROWS,
 ) -> tuple[DataFrame, DataFrame]:
     """`page_analysis` of a JSON log."""
     events = read_json_events(spark, input_path)
@@ -64,7 +64,7 @@ def process_clickstream(
     session_gap_minutes: int = DEFAULT_GAP_MINUTES,
     null_ts: str = "drop",
     cart_scope: str = "viewed_rows",
-    hot_rows: int | None = HOT_ROWS,
+    hot_rows: int | Skew | None = HOT_ROWS,
 ) -> tuple[DataFrame, DataFrame]:
     """`product_analysis` of a CSV log."""
     events = read_csv_events(spark, input_path)
@@ -106,7 +106,7 @@ def engagement_report(
     gap_minutes: int = DEFAULT_GAP_MINUTES,
     null_ts: str = "drop",
     table: DataFrame | None = None,
-    hot_rows: int | None = HOT_ROWS,
+    hot_rows: int | Skew | None = HOT_ROWS,
 ) -> dict[str, DataFrame]:
     """Dropped events, engagement, event positions, durations, funnel, top 10 sequences."""
     if table is None:
@@ -146,7 +146,7 @@ def timing_patterns(events: DataFrame, time_unit: str = "hour") -> dict[str, Dat
     return found
 
 
-def return_gaps(events: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+def return_gaps(events: DataFrame, hot_rows: int | Skew | None = HOT_ROWS) -> DataFrame:
     """Gaps between a user's events."""
     return csv_names(behavior.user_return_gaps(events, hot_rows))
 
@@ -158,7 +158,7 @@ def user_returns(gaps: DataFrame) -> dict[str, DataFrame]:
 
 
 def product_behavior(
-    events: DataFrame, hot_rows: int | None = HOT_ROWS
+    events: DataFrame, hot_rows: int | Skew | None = HOT_ROWS
 ) -> dict[str, DataFrame]:
     """Events per product and type, and event transitions on a product."""
     return {

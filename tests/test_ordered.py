@@ -109,6 +109,64 @@ def test_too_many_keys_to_broadcast(rows, monkeypatch, limits):
     assert as_counts(o.per_key_order(rows, "k", ["t", "n", "v"], build, 10)) == expected
 
 
+@pytest.mark.parametrize("listed", [0, 1, 2])
+def test_all_rows_sliced_without_a_list_of_keys(rows, listed):
+    order = ["t", "n", "v"]
+    expected = as_counts(o.per_key_order(rows, "k", order, build, None))
+    assert as_counts(o.per_key_order(rows, "k", order, build, o.Skew(10, listed=listed))) == expected
+
+
+def islands(ordered):
+    """Islands that begin where t jumps by more than 2, counted in steps of n."""
+    own = o.Islands(
+        F.col("t"), lambda before: F.when(before.isNull() | (F.col("t") - before > 2), 1 + F.col("n") % 2).otherwise(0),
+        before="b", grows="g", number="i", counted=F.when(F.col("n") < 3, 1).otherwise(0), rank="r", position="p",
+        keeps=F.col("n") == 2,
+    )
+    found = ordered.add(own, total=o.KeySum(F.col("n")), reach=o.MaxBefore(F.col("v")), low=o.KeyMin(F.col("v")))
+    return found.frame.select("k", "t", "v", "n", *own.columns, "total", "reach", "low")
+
+
+@pytest.mark.parametrize("limit", [10, 100, 900, 10_000, o.Skew(10, 0), o.Skew(100, 1)])
+def test_islands_over_any_cut(rows, limit):
+    order = ["t", "n", "v"]
+    by_key = {}
+    for row in rows.collect():
+        by_key.setdefault(row["k"], []).append(row)
+    expected = []
+    for key, own in by_key.items():
+        own.sort(key=lambda x: (x["t"], x["n"], x["v"] is not None, x["v"] or 0))
+        before = number = rank = start = 0
+        reach = low = None
+        known = [x["v"] for x in own if x["v"] is not None]
+        low = min(known) if known else None
+        for place, x in enumerate(own):
+            jump = place == 0 or x["t"] - before > 2
+            grows = 1 + x["n"] % 2 if jump else 0
+            one = int(x["n"] < 3)
+            if grows and x["n"] != 2:
+                start = rank
+            number, rank = number + grows, rank + one
+            expected.append((
+                key, x["t"], x["v"], x["n"], None if place == 0 else before, grows, number, rank, rank - start,
+                sum(y["n"] for y in own), reach, low,
+            ))
+            before = x["t"]
+            if x["v"] is not None:
+                reach = x["v"] if reach is None else max(reach, x["v"])
+    assert as_counts(o.per_key_order(rows, "k", order, islands, limit)) == sorted(map(str, expected))
+
+
+def test_few_hot_keys_are_listed_by_value(rows, monkeypatch):
+    hot = o.find_hot_keys(rows, "k", 900)
+    assert sorted(hot.values, key=str) == [0, None]
+    monkeypatch.setattr(o, "LITERAL_KEYS", 1)
+    assert o.find_hot_keys(rows, "k", 900).values is None
+    order = ["t", "n", "v"]
+    expected = as_counts(o.per_key_order(rows, "k", order, build, None))
+    assert as_counts(o.per_key_order(rows, "k", order, build, 900)) == expected
+
+
 def test_hot_keys(rows):
     hot = o.find_hot_keys(rows, "k", 900)
     assert sorted((r[0] is None, r[0]) for r in hot.keys.collect()) == [(False, 0), (True, None)]

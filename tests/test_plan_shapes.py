@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from clicktrail.operators import behavior, rankings, reports, sessions
+from clicktrail.operators import behavior, ordered as o, rankings, reports, sessions
 from clicktrail.sources.event_table import read_table_events
 
 TESTDATA = "/root/testdata/sf0.01"
@@ -87,3 +87,77 @@ def test_no_slow_operators(events, name):
         behavior.user_return_gaps(events, 60),
     ):
         assert name not in plan(df)
+
+
+def moved(df):
+    """Exchanges and scans of a plan."""
+    return [line for line in plan(df).splitlines() if re.search("Exchange|Scan", line)]
+
+
+def test_sliced_lists_take_few_nodes(events):
+    assert len(moved(sessions.session_pages(events, 720, hot_rows=60))) <= 7
+    assert len(moved(sessions.session_products(events, 720, hot_rows=60))) <= 7
+    assert len(moved(sessions.sessionize(events, 720, hot_rows=60))) <= 5
+    assert len(moved(behavior.product_transitions(events, 60))) <= 8
+
+
+def test_few_hot_keys_are_filtered_at_the_scan(events):
+    found = plan(sessions.sessionize(events, 720, hot_rows=67))
+    scan = next(x for x in found.splitlines() if "FileScan" in x)
+    assert "left_anti" not in found.lower().replace(" ", "") and "user_id" in scan.split("DataFilters")[1]
+
+
+@pytest.fixture
+def checkpointed(monkeypatch):
+    """Plans of the frames that are checkpointed while a result is built, with their columns."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    seen, real = [], DataFrame.checkpoint
+
+    def checkpoint(self, *args, **kwargs):
+        seen.append((self.columns, plan(self)))
+        return real(self, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrame, "checkpoint", checkpoint)
+    return seen
+
+
+def exchanged_on(text):
+    """The columns of each hash exchange of a plan."""
+    return [
+        re.findall(r"(\w+)#\d+", columns) for columns in re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", text)
+    ]
+
+
+@pytest.mark.parametrize("name", ["product_transitions", "event_positions", "user_return_gaps", "sessionize"])
+def test_rows_of_many_hot_keys_never_move_by_key(events, checkpointed, name):
+    """At least 50 hot keys of which 3 may be listed."""
+    limit = o.Skew(50, listed=3)
+    key = "item_id" if name == "product_transitions" else "user_id"
+    hot = o.find_hot_keys(events.where(f"{key} IS NOT NULL"), key, limit)
+    assert hot.count >= 50 and hot.keys is None
+    build = getattr(behavior, name, None) or getattr(sessions, name)
+    result = build(events, hot_rows=limit)
+    rows, summaries = [], []
+    for columns, text in [*checkpointed, (result.columns, plan(result))]:
+        (summaries if "_carry_key" in columns else rows).append(text)
+    assert len(rows) == 2 and len(summaries) == 1
+    for text in rows:
+        assert [key] not in exchanged_on(text)
+    assert "rangepartitioning" in rows[0] and [key, "_slice"] in exchanged_on(rows[0])
+    # What moves by key is one row per slice and key that reaches over a slice's start.
+    assert "LeftSemi" in summaries[0]
+
+
+def test_summaries_are_of_keys_that_reach_over_a_slices_start(spark, events, monkeypatch):
+    seen = []
+    real = o.Ordered._carried
+
+    def carried(self, *args):
+        seen.append((self.slices, real(self, *args)))
+        return seen[-1][1]
+
+    monkeypatch.setattr(o.Ordered, "_carried", carried)
+    sessions.sessionize(events, 720, hot_rows=o.Skew(20, listed=3))
+    (slices, found), = seen
+    assert 0 < found.count() <= 2 * slices < events.select("user_id").distinct().count()
