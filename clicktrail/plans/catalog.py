@@ -18,6 +18,8 @@ from clicktrail.operators import behavior as b
 from clicktrail.operators import rankings as r
 from clicktrail.operators import reports as p
 from clicktrail.operators import sessions as s
+from clicktrail.operators.ordered import Skew
+from clicktrail.operators.session_store import SessionStore, stored_pages, stored_products
 from clicktrail.plans import analyses
 from clicktrail.session import ensure_checkpoint_dir
 from clicktrail.sources import readers, writers
@@ -31,6 +33,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 SPLIT_ROWS = 60
 # Below the longest session, so that lists and sequences are put together from parts.
 PART_ROWS = 5
+# More hot keys than may be listed, so that all rows are sliced without a list of keys.
+MANY_HOT = Skew(SPLIT_ROWS, listed=3)
 
 
 def comparable(df: DataFrame) -> DataFrame:
@@ -57,7 +61,7 @@ def _sessions(build: Callable[[DataFrame], DataFrame], gap: int) -> Query:
     return _events(lambda events: build(s.session_table(events, gap)))
 
 
-def _page_metrics(gap: int, hot_rows: int | None = s.HOT_ROWS) -> Query:
+def _page_metrics(gap: int, hot_rows: int | Skew | None = s.HOT_ROWS) -> Query:
     return _events(lambda e: s.session_pages(e, gap, hot_rows=hot_rows), "page")
 
 
@@ -149,6 +153,38 @@ def _stored_events(kind: str) -> Query:
     return query
 
 
+def _in_batches(events: DataFrame, late: bool) -> list[DataFrame]:
+    """The events in two batches by time; with `late`, one event in 13 comes in a third, whatever its time."""
+    span = events.agg(F.struct(F.min("ts").alias("low"), F.max("ts").alias("high"))).scalar()
+    middle = F.timestamp_seconds((F.unix_timestamp(span["low"]) + F.unix_timestamp(span["high"])) / 2)
+    early = F.coalesce(F.col("ts") < middle, F.lit(True))
+    delayed = F.col("event_id") % 13 == 0 if late else F.lit(False)
+    batches = [events.where(early & ~delayed), events.where(~early & ~delayed)]
+    return [*batches, events.where(delayed)] if late else batches
+
+
+def _stored_sessions(
+    result: Callable[[SessionStore], DataFrame], gap: int, late: bool, lists: bool = False, flavour: str = "product"
+) -> Query:
+    """A result of sessions that were stored batch by batch."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        path = f"{ensure_checkpoint_dir(spark)}/sessions-{uuid.uuid4().hex}"
+        store = SessionStore(spark, path, gap, lists)
+        for number, batch in enumerate(_in_batches(read_table_events(spark, folder, flavour), late)):
+            store.add(batch, f"batch {number}")
+        return comparable(result(store))
+
+    return query
+
+
+def _totals_of(store: SessionStore) -> DataFrame:
+    return store.sessions().select(
+        "user_id", "session_id", "start_ts", "end_ts", F.col("duration_seconds").alias("session_duration_seconds"),
+        F.col("event_count").alias("page_count"),
+    )
+
+
 def _nulled(column: str, every: int, build: Callable[[DataFrame], DataFrame]) -> Query:
     """`build` on events of which every so many have no value in `column`."""
 
@@ -211,6 +247,26 @@ def queries() -> dict[str, Query]:
                 F.col("event_count").alias("page_count"),
             )
         ),
+        # hot keys too many to list
+        "sessionized_events_g720_many_hot": _events(lambda e: s.sessionize(e, 720, hot_rows=MANY_HOT)),
+        "session_pages_g720_many_hot": _page_metrics(720, MANY_HOT),
+        "session_metrics_g30_many_hot": _events(
+            lambda e: s.session_table(e, 30, hot_rows=Skew(PART_ROWS, listed=3)).select(
+                "user_id", "session_id", "start_ts", "end_ts",
+                F.col("duration_seconds").alias("session_duration_seconds"),
+                F.col("event_count").alias("page_count"),
+            )
+        ),
+        "event_position_g720_many_hot": _events(lambda e: p.event_position_counts(e, 720, hot_rows=MANY_HOT)),
+        "user_return_gaps_many_hot": _events(lambda e: b.user_return_gaps(e, MANY_HOT)),
+        "product_transitions_many_hot": _events(lambda e: b.product_transitions(e, MANY_HOT)),
+        # sessions of a growing log, stored batch by batch
+        "stored_sessions_g720": _stored_sessions(_totals_of, 720, late=False),
+        "stored_sessions_late_g30": _stored_sessions(_totals_of, 30, late=True),
+        "stored_sessions_late_g720": _stored_sessions(_totals_of, 720, late=True),
+        "stored_session_stats_g720": _stored_sessions(lambda t: p.session_stats(t.sessions()), 720, late=False),
+        "stored_pages_late_g720": _stored_sessions(stored_pages, 720, late=True, lists=True, flavour="page"),
+        "stored_products_late_g720": _stored_sessions(stored_products, 720, late=True, lists=True),
         # events without time, user or item
         "untimed_rows_frame_g30": _nulled("ts", 10, lambda e: s.sessionize(e, 30, "keep_rows")),
         "untimed_range_frame_g30": _nulled("ts", 10, lambda e: s.sessionize(e, 30, "keep_range")),

@@ -245,6 +245,20 @@ SELECT session_id, start_ts, end_ts, minutes AS duration_minutes, n AS events,
 SELECT item_id, count(*) AS views, count(DISTINCT user_id) AS unique_viewers
 FROM e WHERE event_type = 'product_view' GROUP BY item_id""",
         "product_views_null_user": _products(_CARTS_VIEWED, events=_nulled("user_id", 7)),
+        "sessionized_events_g720_many_hot": _sessionized(720),
+        "session_pages_g720_many_hot": _page_metrics(720),
+        "session_metrics_g30_many_hot": _scalar_metrics(30),
+        "event_position_g720_many_hot": _positions(720),
+        "user_return_gaps_many_hot": _RETURN_GAPS,
+        "product_transitions_many_hot": transitions,
+        "stored_sessions_g720": _scalar_metrics(720),
+        "stored_sessions_late_g30": _scalar_metrics(30),
+        "stored_sessions_late_g720": _scalar_metrics(720),
+        "stored_session_stats_g720": f"""{_sessions(720)}
+SELECT session_id, start_ts, end_ts, minutes AS duration_minutes, n AS events,
+       carts AS cart_adds FROM t""",
+        "stored_pages_late_g720": _page_metrics(720),
+        "stored_products_late_g720": _product_metrics(720),
         "session_pages_g720_parts": _page_metrics(720),
         "session_product_metrics_g720_parts": _product_metrics(720),
         "event_sequences_g720_parts": event_sequences,

@@ -1,0 +1,155 @@
+"""Sessions stored batch by batch against one run over all events."""
+
+import datetime
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from clicktrail.operators import session_store as st
+from clicktrail.operators import sessions as s
+from clicktrail.operators.ordered import Skew
+from tests.brute import event, make_events, session_id, sessions
+from tests.test_sessions import ROWS
+
+
+def batches_of(rows, cuts, seed):
+    """The rows split by time at `cuts`, a tenth of them in any later batch."""
+    rng = random.Random(seed)
+    found = [[] for _ in range(len(cuts) + 1)]
+    for row in rows:
+        at = 0 if row[1] is None else sum(row[1].timestamp() >= cut for cut in cuts)
+        found[rng.randint(at, len(cuts)) if rng.random() < 0.1 else at].append(row)
+    return found
+
+
+def time_cuts(rows, number):
+    times = sorted(row[1].timestamp() for row in rows if row[1] is not None)
+    return [times[len(times) * n // (number + 1)] for n in range(1, number + 1)]
+
+
+def expected(rows, gap):
+    return {
+        session_id(user, seq): (len(own), sum(r[2] == "purchase" for r in own), own[0][1], own[-1][1], [r[3] for r in own])
+        for (user, seq), own in sessions(rows, gap).items()
+    }
+
+
+def found(store, lists=True):
+    rows = store.stored().withColumn("session_id", s.session_id()).collect()
+    assert len({row["session_id"] for row in rows}) == len(rows)
+    return {
+        r.session_id: (r.event_count, r.purchases, utc(r.start_ts), utc(r.end_ts), [x.item_id for x in r.steps] if lists else None)
+        for r in rows
+    }
+
+
+def utc(ts):
+    return ts.astimezone(datetime.timezone.utc)
+
+
+@pytest.mark.parametrize(("gap", "hot_rows", "number"), [(12, 1000, 4), (0, 20, 2), (720, Skew(20, 1), 3)])
+def test_batches_equal_one_run(spark, tmp_path, gap, hot_rows, number):
+    store = st.SessionStore(spark, str(tmp_path / "s"), gap, lists=True, hot_rows=hot_rows)
+    seen = []
+    for n, rows in enumerate(batches_of(ROWS, time_cuts(ROWS, number), gap + number)):
+        assert store.add(make_events(spark, rows), f"b{n}")
+        seen += rows
+        if n in (1, number):
+            assert found(store) == expected(seen, gap)
+    store.compact()
+    assert found(store) == expected(ROWS, gap)
+    late = [event("bot", 20_000.5, "purchase", "z", 1), event("new", 5, "purchase", "z", 1), event(None, None)]
+    assert store.add(make_events(spark, late), "late")
+    assert found(store) == expected(ROWS + late, gap)
+    assert store.batches() == [*(f"b{n}" for n in range(number + 1)), "late"]
+    assert len(store.unread_folders()) == 2 * (number + 1)
+
+
+def test_late_events_extend_join_and_renumber(spark, tmp_path):
+    store = st.SessionStore(spark, str(tmp_path / "s"), 30)
+    rows = []
+
+    def add(name, *new):
+        rows.extend(new)
+        assert store.add(make_events(spark, list(new)), name)
+        table = {r.session_id: r.event_count for r in store.sessions().collect()}
+        assert table == {session_id(*key): len(own) for key, own in sessions(rows, 30).items()}
+        return table
+
+    minute = 60
+    assert add("1", event("u", 0), event("u", 100 * minute), event("u", 200 * minute), event("v", 0)) == {
+        "u_1": 1, "u_2": 1, "u_3": 1, "v_1": 1,
+    }
+    assert add("before all", event("u", -300 * minute))["u_4"] == 1
+    assert add("extends a closed one", event("u", 120 * minute))["u_3"] == 2
+    assert add("between", event("u", 50 * minute))["u_5"] == 1
+    assert add("joins three", event("u", 25 * minute), event("u", 75 * minute)) == {"u_1": 1, "u_2": 6, "u_3": 1, "v_1": 1}
+    assert add("in the open one", event("v", 0), event("v", 10 * minute))["v_1"] == 3
+    assert add("within a closed one", event("u", 60 * minute))["u_2"] == 7
+    assert {r.session_id for r in store.open_sessions().collect()} == {"u_3", "v_1"}
+
+
+def test_only_touched_sessions_are_read_and_written(spark, tmp_path, monkeypatch):
+    store = st.SessionStore(spark, str(tmp_path / "s"), 30)
+    day = 86_400
+    first = [event(f"u{n}", k * 7200) for n in range(20) for k in range(5)]
+    store.add(make_events(spark, first), "day 1")
+    monkeypatch.setattr(store, "_closed", lambda *args: pytest.fail("read closed sessions"))
+    store.add(make_events(spark, [event("u3", day), event("u4", 4 * 7200 + 60), event("w", day)]), "day 2")
+    monkeypatch.undo()
+    last = store._live()[-1:]
+    written = sorted((r.user_id, r.session_seq, r.is_open) for r in store._read("sessions", store._schema(), last).collect())
+    # u3's open session closes and a new one opens, u4's is extended, w is new.
+    assert written == [("u3", 5, False), ("u3", 6, True), ("u4", 5, True), ("w", 1, True)]
+    assert store._read("voided", st.VOIDED, last).count() == 0
+
+    store.add(make_events(spark, [event("u7", 2 * 7200 + 60)]), "late")
+    last = store._live()[-1:]
+    written = sorted((r.user_id, r.session_seq) for r in store._read("sessions", store._schema(), last).collect())
+    assert written == [("u7", 3), ("u7", 4), ("u7", 5)]
+    assert [tuple(r) for r in store._read("voided", st.VOIDED, last).select("user_id", "from_seq").collect()] == [("u7", 3)]
+    assert store.stored().agg(F.sum("event_count")).first()[0] == len(first) + 4
+
+
+def test_days_before_a_late_event_are_not_opened(spark, tmp_path):
+    store = st.SessionStore(spark, str(tmp_path / "s"), 30)
+    day = 86_400
+    store.add(make_events(spark, [event("u", k * day) for k in range(20)]), "all")
+    plan = store._closed(store._live(), F.lit("2024-03-15").cast("date"))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "end_day" in plan.split("PartitionFilters")[1].split("PushedFilters")[0]
+    files = {row[0] for row in store._closed(store._live(), F.lit("2024-03-15").cast("date")).select("end_ts").collect()}
+    assert len(files) == 5
+
+
+def test_a_batch_counts_once_and_only_when_committed(spark, tmp_path, monkeypatch):
+    store = st.SessionStore(spark, str(tmp_path / "s"), 30, lists=True)
+    events = make_events(spark, [event("u", 0, item="a"), event("u", 60, item="b")])
+
+    def lost(*args):
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(store, "_commit", lost)
+    with pytest.raises(RuntimeError, match="lost"):
+        store.add(events, "b")
+    monkeypatch.undo()
+    assert store.stored().collect() == [] and store.batches() == []
+    assert store.add(events, "b") and not store.add(events, "b")
+    again = st.SessionStore(spark, str(tmp_path / "s"), 30, lists=True)
+    assert [r.pages_visited for r in st.stored_pages(again).collect()] == [["a", "b"]]
+    with pytest.raises(ValueError, match="gap_minutes=30"):
+        st.SessionStore(spark, str(tmp_path / "s"), 31, lists=True)
+    again._commit(1, "other", "1-x", False)
+    with pytest.raises(RuntimeError, match="two jobs"):
+        again.batches()
+
+
+def test_empty_batches(spark, tmp_path):
+    store = st.SessionStore(spark, str(tmp_path / "s"), 30)
+    assert store.sessions().collect() == [] and store.open_sessions().collect() == []
+    assert store.add(make_events(spark, []), "none") and store.add(make_events(spark, [event("u", None)]), "untimed")
+    assert store.sessions().collect() == []
+    assert store.add(make_events(spark, [event(None, 1)]), "one")
+    assert [(r.user_id, r.session_id) for r in store.sessions().collect()] == [(None, "1")]
+    store.compact()
+    assert store.sessions().count() == 1
