@@ -1,6 +1,7 @@
 """Command line of the batch jobs.
 
-    convert        raw log -> canonical events as Parquet
+    convert        raw log -> canonical events as Parquet, or as a table bucketed by user
+    store-sessions any log -> its sessions added to those stored before
     json-sessions  JSON log -> sessions with pages, top pages
     csv-sessions   CSV log -> sessions with products, product statistics
     basic, engagement, products, timing, returns, behavior, overview
@@ -23,15 +24,27 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from clicktrail.functions.events import DEFAULT_GAP_MINUTES
+from clicktrail.operators.session_store import SessionStore
 from clicktrail.operators.sessions import NULL_TS_POLICIES, dropped_events, session_table
 from clicktrail.plans import analyses
 from clicktrail.session import build_spark
-from clicktrail.sources.readers import READERS, event_format, read_events
-from clicktrail.sources.writers import write_csv, write_parquet
+from clicktrail.sources.readers import LOG_READERS, READERS, event_format, read_events
+from clicktrail.sources.writers import write_csv, write_event_table, write_parquet
+
+
+def _read(spark: SparkSession, args: argparse.Namespace, fmt: str | None, keep: Sequence[str] = ()) -> DataFrame:
+    """The input's events; with --rejects, lines that are none are written and counted."""
+    chosen = event_format(args.input, fmt)
+    if not args.rejects or chosen not in LOG_READERS:
+        return read_events(spark, args.input, fmt, keep)
+    log = LOG_READERS[chosen](spark, args.input, keep)
+    write_parquet(log.rejects, args.rejects)
+    spark.read.parquet(args.rejects).groupBy("file", "reason").count().show(truncate=False)
+    return log.events
 
 
 def _events(spark: SparkSession, args: argparse.Namespace, fmt: str | None) -> DataFrame:
-    events = read_events(spark, args.input, fmt)
+    events = _read(spark, args, fmt)
     if args.no_staging or (event_format(args.input, fmt) == "parquet" and not args.staging):
         return events
     staging = args.staging or f"{getattr(args, 'out', None) or args.out_sessions}_events"
@@ -40,7 +53,21 @@ def _events(spark: SparkSession, args: argparse.Namespace, fmt: str | None) -> D
 
 
 def _convert(spark: SparkSession, args: argparse.Namespace) -> None:
-    write_parquet(read_events(spark, args.input, args.format, args.keep), args.out)
+    events = _read(spark, args, args.format, args.keep)
+    if args.buckets:
+        write_event_table(events, args.table, args.out, args.buckets)
+    else:
+        write_parquet(events, args.out)
+
+
+def _store_sessions(spark: SparkSession, args: argparse.Namespace) -> None:
+    store = SessionStore(spark, args.store, args.gap_minutes, args.lists)
+    added = store.add(_read(spark, args, args.format), args.batch)
+    print(f"batch {args.batch!r} {'added' if added else 'was there already'}")
+    if args.compact:
+        store.compact()
+    if args.out:
+        write_parquet(store.sessions(), args.out)
 
 
 def _dropped(events: DataFrame, args: argparse.Namespace) -> None:
@@ -121,7 +148,8 @@ def _parser() -> argparse.ArgumentParser:
         job = jobs.add_parser(name)
         job.set_defaults(run=run)
         job.add_argument("--input", required=True, help="file or folder")
-        if name != "convert":
+        job.add_argument("--rejects", help="write lines that are no events here; they are no events then")
+        if name not in ("convert", "store-sessions"):
             job.add_argument("--staging", help="store the canonical events here and read them back")
             job.add_argument("--no-staging", action="store_true", help="parse a text log for every result")
         if sessions:
@@ -133,6 +161,17 @@ def _parser() -> argparse.ArgumentParser:
     convert.add_argument("--format", choices=list(READERS))
     convert.add_argument("--keep", nargs="*", default=[], help="further source columns")
     convert.add_argument("--out", required=True)
+    convert.add_argument("--buckets", type=int, help="a table laid out by user in so many buckets, for many jobs")
+    convert.add_argument("--table", default="events", help="the bucketed table's name")
+
+    store = add("store-sessions", _store_sessions, False)
+    store.add_argument("--format", choices=list(READERS))
+    store.add_argument("--store", required=True, help="folder of the stored sessions")
+    store.add_argument("--batch", required=True, help="name of this batch; a batch is added once")
+    store.add_argument("--gap-minutes", type=int, default=DEFAULT_GAP_MINUTES)
+    store.add_argument("--lists", action="store_true", help="keep the sessions' events too")
+    store.add_argument("--compact", action="store_true", help="write all sessions anew afterwards")
+    store.add_argument("--out", help="write the session table here")
 
     json_sessions = add("json-sessions", _json_sessions, True)
     json_sessions.add_argument("--out-sessions", required=True)
@@ -154,9 +193,10 @@ def _parser() -> argparse.ArgumentParser:
     return parser
 
 
-def main(argv: Sequence[str] | None = None) -> None:
+def main(argv: Sequence[str] | None = None, session: SparkSession | None = None) -> None:
+    """Run a job, in `session` or the running session if there is one."""
     args = _parser().parse_args(argv)
-    running = SparkSession.getActiveSession()
+    running = session or SparkSession.getActiveSession()
     spark = running or build_spark(f"clicktrail-{args.job}")
     try:
         args.run(spark, args)

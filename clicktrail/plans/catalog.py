@@ -14,12 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clicktrail.jobs.cli import main
 from clicktrail.operators import behavior as b
 from clicktrail.operators import rankings as r
 from clicktrail.operators import reports as p
 from clicktrail.operators import sessions as s
 from clicktrail.operators.ordered import Skew
 from clicktrail.operators.session_store import SessionStore, stored_pages, stored_products
+from clicktrail.operators.sketches import daily_user_sketches, unite_days
 from clicktrail.plans import analyses
 from clicktrail.session import ensure_checkpoint_dir
 from clicktrail.sources import readers, writers
@@ -33,6 +35,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 SPLIT_ROWS = 60
 # Below the longest session, so that lists and sequences are put together from parts.
 PART_ROWS = 5
+# Buckets of the table that is laid out by user.
+BUCKETS = 16
 # More hot keys than may be listed, so that all rows are sliced without a list of keys.
 MANY_HOT = Skew(SPLIT_ROWS, listed=3)
 
@@ -118,7 +122,7 @@ def _csv_log(table: int) -> Query:
 
 
 def _mixed_json_log(spark: SparkSession, folder: str) -> DataFrame:
-    """Events of a log whose times are epoch numbers in one file, text, missing or no time in another."""
+    """Events of a log whose times are epoch numbers in some files, text, missing or no time in others."""
     path = f"{ensure_checkpoint_dir(spark)}/log-{uuid.uuid4().hex}"
     events = read_table_events(spark, folder, "page")
     early = F.col("event_id") < 2000
@@ -127,12 +131,119 @@ def _mixed_json_log(spark: SparkSession, folder: str) -> DataFrame:
     text = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
     bad = F.when(F.col("event_id") % 11 == 0, "no time").when(F.col("event_id") % 13 != 0, text)
     writer = {"ignoreNullFields": False}
-    events.where(early).select(seconds.alias("timestamp"), *named).coalesce(1).write.json(f"{path}/a", **writer)
+    events.where(early).select(seconds.alias("timestamp"), *named).write.json(f"{path}/a", **writer)
     events.where(~early).select(bad.alias("timestamp"), *named).write.json(f"{path}/b", **writer)
     found = readers.read_json_events(spark, f"{path}/*")
     return comparable(found.select("user_id", "event_type", "item_id", F.date_trunc("second", "ts").alias("ts")))
 
 
+def _faulty_log(spark: SparkSession, folder: str, kind: str) -> str:
+    """The events as a raw log in which some lines are cut off, too long or without a readable time."""
+    path = f"{ensure_checkpoint_dir(spark)}/log-{uuid.uuid4().hex}"
+    events = read_table_events(spark, folder, "page" if kind == "json" else "product")
+    text = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    instant = F.when(F.col("event_id") % 17 == 0, "no time").when(F.col("event_id") % 19 != 0, text)
+    if kind == "json":
+        line = F.to_json(F.struct(
+            instant.alias("timestamp"), "user_id", F.col("event_type").alias("action"), F.col("item_id").alias("page_id")
+        ), {"ignoreNullFields": "false"})
+        bad = F.expr("substring(line, 1, length(line) - 5)")
+    else:
+        fields = [F.col("user_id"), instant, F.col("event_type"), F.col("item_id")]
+        line = F.concat_ws(",", *[F.coalesce(field, F.lit("")) for field in fields])
+        bad = F.concat(F.col("line"), F.lit(",one,more"))
+    lines = events.select("event_id", line.alias("line"))
+    lines = lines.select(F.when(F.col("event_id") % 23 == 0, bad).otherwise(F.col("line")).alias("line"))
+    if kind == "json":
+        lines.write.text(path)
+        return path
+    # One column that holds the whole line and is named as the header, so that every file begins with that.
+    lines.toDF("UserID,Timestamp,EventType,ProductID").write.option("header", True).option("sep", "\t").csv(path)
+    return path
+
+
+def _rejects(kind: str) -> Query:
+    """How many lines of a faulty log are events and how many are rejected, by reason."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        log = readers.LOG_READERS[kind](spark, _faulty_log(spark, folder, kind))
+        accepted = log.events.agg(F.lit("event").alias("kind"), F.count("*").alias("lines"), F.count("ts").alias("timed"))
+        rejected = log.rejects.groupBy(F.col("reason").alias("kind")).agg(
+            F.count("*").alias("lines"), F.lit(0).cast("long").alias("timed")
+        )
+        return accepted.unionByName(rejected)
+
+    return query
+
+
+def _accepted(kind: str) -> Query:
+    """Sessions of the events of a faulty log."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        log = readers.LOG_READERS[kind](spark, _faulty_log(spark, folder, kind))
+        return comparable(s.session_table(log.events, 720).select("user_id", "session_id", "start_ts", "end_ts", "event_count"))
+
+    return query
+
+
+def _job(kind: str, result: str) -> Query:
+    """A result that a job of the command line writes, run on a raw log."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        out = f"{ensure_checkpoint_dir(spark)}/job-{uuid.uuid4().hex}"
+        second = "--out-top" if kind == "json" else "--out-products"
+        arguments = [f"{kind}-sessions", "--input", _stored_log(spark, folder, kind), "--out-sessions", f"{out}/sessions"]
+        main([*arguments, second, f"{out}/ranking", "--gap-minutes", "720"], spark)
+        return comparable(spark.read.parquet(f"{out}/{result}"))
+
+    return query
+
+
+def _missing_columns(spark: SparkSession, folder: str) -> DataFrame:
+    """What the readers and the table check raise for logs of the events that lack columns, and the logs' lines."""
+    base = f"{ensure_checkpoint_dir(spark)}/log-{uuid.uuid4().hex}"
+    events = read_table_events(spark, folder).select(F.col("user_id").alias("UserID"), F.col("event_type").alias("EventType"))
+    events.write.option("header", True).csv(f"{base}/csv")
+    events.select(F.col("UserID").alias("user_id")).write.json(f"{base}/json")
+    events.write.parquet(f"{base}/parquet")
+    found = []
+    for kind in ("csv", "json", "parquet"):
+        try:
+            readers.read_events(spark, f"{base}/{kind}", kind)
+        except ValueError as error:
+            found.append((kind, str(error)))
+    lines = spark.read.parquet(f"{base}/parquet").agg(F.count("*").alias("lines"))
+    return spark.createDataFrame(found, "format string, error string").crossJoin(F.broadcast(lines))
+
+
+def _bucketed(spark: SparkSession, folder: str) -> DataFrame:
+    """Sessions of the events in a table laid out by user."""
+    name = f"events_{uuid.uuid4().hex}"
+    path = f"{ensure_checkpoint_dir(spark)}/{name}"
+    table = writers.write_event_table(read_table_events(spark, folder), name, path, BUCKETS)
+    return comparable(s.sessionize(table, 720))
+
+
+def _weekly_users(spark: SparkSession, folder: str) -> DataFrame:
+    """Per week and for the whole time: events, and whether the users that daily sketches give are near the exact ones."""
+    path = f"{ensure_checkpoint_dir(spark)}/sketches-{uuid.uuid4().hex}"
+    events = read_table_events(spark, folder)
+    daily_user_sketches(events).write.parquet(path)
+    stored = spark.read.parquet(path)
+
+    def week(day: str):
+        return F.date_format(F.date_trunc("week", F.col(day)), "yyyy-MM-dd")
+
+    weeks = unite_days(stored, week("day").alias("week")).unionByName(
+        unite_days(stored).select(F.lit("all").alias("week"), "events", "users")
+    )
+    exact = events.groupBy(week("ts").alias("week")).agg(F.count_distinct("user_id").alias("exact")).unionByName(
+        events.agg(F.lit("all").alias("week"), F.count_distinct("user_id").alias("exact"))
+    )
+    near = F.abs(F.hll_sketch_estimate("users") - F.col("exact")) <= 0.05 * F.col("exact")
+    return weeks.join(exact, "week").select("week", "events", near.alias("users_within_5_percent"))
+
+
 def _stored_events(kind: str) -> Query:
     """Events written by a sink of the library and read back by suffix."""
 
@@ -284,6 +395,20 @@ def queries() -> dict[str, Query]:
         "csv_log_sessions_g720": _csv_log(0),
         "csv_log_products": _csv_log(1),
         "json_log_mixed_timestamps": _mixed_json_log,
+        # faulty logs, jobs of the command line, missing columns
+        "json_log_rejects": _rejects("json"),
+        "csv_log_rejects": _rejects("csv"),
+        "json_log_accepted_sessions_g720": _accepted("json"),
+        "csv_log_accepted_sessions_g720": _accepted("csv"),
+        "job_json_sessions_g720": _job("json", "sessions"),
+        "job_json_top_pages": _job("json", "ranking"),
+        "job_json_dropped_events": _job("json", "sessions_dropped_events"),
+        "job_csv_sessions_g720": _job("csv", "sessions"),
+        "job_csv_products": _job("csv", "ranking"),
+        "missing_columns": _missing_columns,
+        # laid out by user; stored sketches of users
+        "sessionized_events_bucketed_g720": _bucketed,
+        "weekly_users_from_sketches": _weekly_users,
         # written by the sinks and read back
         "events_parquet_round_trip": _stored_events("parquet"),
         "events_csv_round_trip": _stored_events("csv"),

@@ -216,6 +216,19 @@ _CARTS_ALL = "count(*) FILTER (event_type = 'add_to_cart')"
 _CARTS_VIEWED = "count(*) FILTER (event_type = 'add_to_cart' AND event_type = 'product_view')"
 
 
+# Lines of a faulty log: one in 23 isn't a record, one in 17 has no readable time, one in 19 has none.
+_REJECTS = """SELECT CASE WHEN event_id % 23 = 0 THEN 'malformed' WHEN event_id % 17 = 0 THEN 'timestamp' ELSE 'event' END AS kind,
+       count(*) AS lines, count(*) FILTER (event_id % 23 <> 0 AND event_id % 17 <> 0 AND event_id % 19 <> 0) AS timed
+FROM events GROUP BY 1"""
+
+
+def _readable(events: str) -> str:
+    """The events of a faulty log that have a time."""
+    renamed = events.replace("e AS (", "e0 AS (", 1)
+    return f"""{renamed},
+e AS (SELECT * FROM e0 WHERE event_id % 23 <> 0 AND event_id % 17 <> 0 AND event_id % 19 <> 0)"""
+
+
 def oracle_sql() -> dict[str, str]:
     user_activity = f"{_users(720)} SELECT * FROM a"
     transitions = _TRANSITIONS
@@ -245,6 +258,27 @@ SELECT session_id, start_ts, end_ts, minutes AS duration_minutes, n AS events,
 SELECT item_id, count(*) AS views, count(DISTINCT user_id) AS unique_viewers
 FROM e WHERE event_type = 'product_view' GROUP BY item_id""",
         "product_views_null_user": _products(_CARTS_VIEWED, events=_nulled("user_id", 7)),
+        "json_log_rejects": _REJECTS,
+        "csv_log_rejects": _REJECTS,
+        "json_log_accepted_sessions_g720": f"""{_sessions(720, _readable(PAGES))}
+SELECT user_id, session_id, start_ts, end_ts, n AS event_count FROM t""",
+        "csv_log_accepted_sessions_g720": f"""{_sessions(720, _readable(PRODUCTS))}
+SELECT user_id, session_id, start_ts, end_ts, n AS event_count FROM t""",
+        "job_json_sessions_g720": _page_metrics(720),
+        "job_json_top_pages": top_pages,
+        "job_json_dropped_events": "SELECT count(*) AS dropped_events FROM events WHERE ts IS NULL",
+        "job_csv_sessions_g720": _product_metrics(720),
+        "job_csv_products": f"""SELECT item_id AS "ProductID", view_count, unique_viewers, cart_adds
+FROM ({_products(_CARTS_VIEWED)})""",
+        "missing_columns": """SELECT format, error, (SELECT count(*) FROM events) AS lines FROM (VALUES
+  ('csv', 'CSV input lacks the columns [''Timestamp'', ''ProductID'']'),
+  ('json', 'JSON input lacks the columns [''timestamp'', ''action'', ''page_id'']'),
+  ('parquet', 'event table lacks the columns [''user_id'', ''ts'', ''event_type'', ''item_id'', ''event_id'']')
+) AS v(format, error)""",
+        "sessionized_events_bucketed_g720": _sessionized(720),
+        "weekly_users_from_sketches": """SELECT strftime(date_trunc('week', ts), '%Y-%m-%d') AS week, count(*) AS events,
+       true AS users_within_5_percent FROM events GROUP BY 1
+UNION ALL SELECT 'all', count(*), true FROM events""",
         "sessionized_events_g720_many_hot": _sessionized(720),
         "session_pages_g720_many_hot": _page_metrics(720),
         "session_metrics_g30_many_hot": _scalar_metrics(30),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,9 +18,9 @@ CSV_COLUMNS = ["UserID", "Timestamp", "EventType", "ProductID"]
 CORRUPT = "_corrupt_record"
 # JSON lines looked at before all are searched for a column's name.
 SAMPLE_LINES = 1000
-# A number, which as a timestamp means epoch seconds, and the largest that has an instant.
+# A number, which as a timestamp means epoch seconds, and the largest that the timestamp type holds.
 NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
-LAST_SECOND = 253_402_300_799.0
+LAST_SECOND = (2**63 - 1) // 1_000_000 - 1
 
 
 def parse_timestamp(text: Column) -> Column:
@@ -28,10 +29,13 @@ def parse_timestamp(text: Column) -> Column:
 
 
 def parse_epoch_or_timestamp(text: Column) -> Column:
-    """As `parse_timestamp`, but a number is seconds since 1970 (up to the year 9999)."""
-    seconds = F.when(text.rlike(NUMBER), text.try_cast("double"))
+    """As `parse_timestamp`, but a number is seconds since 1970, as far as the type reaches.
+
+    That is to the year 294,246; epoch milliseconds are instants far in the future.
+    """
+    seconds = F.when(text.rlike(NUMBER), text.try_cast("decimal(20,6)"))
     instant = F.timestamp_seconds(F.when(F.abs(seconds) <= LAST_SECOND, seconds))
-    return F.when(seconds.isNull(), parse_timestamp(text)).otherwise(instant)
+    return F.when(seconds.isNull(), F.when(~text.rlike(NUMBER), parse_timestamp(text))).otherwise(instant)
 
 
 def _names(lines: DataFrame) -> set[str]:
@@ -96,6 +100,83 @@ def read_json_events(spark: SparkSession, path: str, keep: Sequence[str] = ()) -
     return json_events(read_json_table(spark, path, keep), keep)
 
 
+# --- what a log has that is no event ------------------------------------------
+
+# Why a line of a log is rejected.
+MALFORMED, NO_INSTANT = "malformed", "timestamp"
+
+
+@dataclass(frozen=True)
+class Log:
+    """The events of a log and the lines that are none.
+
+    `rejects` has file, line (its text) and reason: `malformed`, or `timestamp`
+    where one is given that stands for no instant. Each line that isn't blank is
+    in one of the two.
+    """
+
+    events: DataFrame
+    rejects: DataFrame
+
+    def reject_counts(self) -> DataFrame:
+        """Rejected lines per file and reason."""
+        return self.rejects.groupBy("file", "reason").agg(F.count("*").alias("lines"))
+
+
+def _text_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, line) of all lines that aren't blank."""
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("line"))
+    return lines.where(F.trim(F.regexp_replace("line", r"[\s\x00]", "")) != "")
+
+
+def _unreadable(text: Column, instant: Column) -> Column:
+    return text.isNotNull() & (F.trim(text) != "") & instant.isNull()
+
+
+def read_json_log(spark: SparkSession, path: str, keep: Sequence[str] = ()) -> Log:
+    """The events of JSON lines, and the lines that are no JSON object or have no readable timestamp.
+
+    Unlike `read_json_events`, which keeps a bad line as an event without values.
+    A line without a timestamp is an event without one.
+    """
+    fields = [T.StructField(name, T.StringType()) for name in [*JSON_COLUMNS, *keep, CORRUPT]]
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    parsed = F.from_json("line", T.StructType(fields), options)
+    lines = _text_lines(spark, path).withColumn("parsed", parsed)
+    instant = parse_epoch_or_timestamp(F.col("parsed.timestamp"))
+    # A line that is no object at all, such as a number or a list, isn't parsed.
+    is_object = F.substring(F.ltrim("line"), 1, 1) == "{"
+    reason = F.when(~is_object | F.col("parsed").isNull() | F.col(f"parsed.{CORRUPT}").isNotNull(), MALFORMED)
+    reason = reason.when(_unreadable(F.col("parsed.timestamp"), instant), NO_INSTANT)
+    judged = lines.withColumn("reason", reason)
+    good = judged.where("reason IS NULL").select("parsed.*").drop(CORRUPT)
+    return Log(json_events(good, keep), judged.where("reason IS NOT NULL").select("file", "line", "reason"))
+
+
+def read_csv_log(spark: SparkSession, path: str, keep: Sequence[str] = ()) -> Log:
+    """The events of CSV files, and the records with too many fields or no readable timestamp.
+
+    A record with fewer fields than the header is an event: the others are NULL.
+    """
+    header = require_columns(spark.read.option("header", True).csv(path), CSV_COLUMNS, "CSV input")
+    schema = T.StructType([*header.schema.fields, T.StructField(CORRUPT, T.StringType())])
+    # Whether a record has too many fields shows only where all columns are parsed.
+    options = {"header": True, "enforceSchema": False, "columnNameOfCorruptRecord": CORRUPT, "columnPruning": False}
+    table = spark.read.schema(schema).options(**options).csv(path)
+    table = table.withColumn("_file", F.col("_metadata.file_path"))
+    instant = parse_timestamp(F.col("Timestamp"))
+    names = header.columns
+    # Records with too few fields are marked too; quoted commas part no fields.
+    fields = F.size(F.split(F.regexp_replace(CORRUPT, '"[^"]*"', ""), ","))
+    reason = F.when(F.col(CORRUPT).isNotNull() & (fields > len(names)), MALFORMED)
+    reason = reason.when(_unreadable(F.col("Timestamp"), instant), NO_INSTANT)
+    judged = table.withColumn("reason", reason)
+    good = judged.where("reason IS NULL").drop(CORRUPT, "reason", "_file")
+    line = F.coalesce(F.col(CORRUPT), F.to_csv(F.struct(*[F.col(f"`{name}`") for name in names])))
+    rejects = judged.where("reason IS NOT NULL").select(F.col("_file").alias("file"), line.alias("line"), "reason")
+    return Log(csv_events(good, keep), rejects)
+
+
 def read_csv_events(spark: SparkSession, path: str, keep: Sequence[str] = ()) -> DataFrame:
     return csv_events(read_csv_table(spark, path), keep)
 
@@ -106,6 +187,7 @@ def read_parquet_events(spark: SparkSession, path: str, keep: Sequence[str] = ()
     return table.select(*EVENT_COLUMNS, *keep)
 
 
+LOG_READERS = {"csv": read_csv_log, "json": read_json_log}
 READERS = {"csv": read_csv_events, "json": read_json_events, "parquet": read_parquet_events}
 
 
