@@ -17,8 +17,12 @@ from clicktrail.functions.events import (
 )
 from clicktrail.operators.ordered import HOT_ROWS, Skew
 from clicktrail.operators.sessions import event_positions, session_sequence_labels
+from clicktrail.session import ensure_checkpoint_dir
 
 TOP_SEQUENCES = 10
+# Characters of a sequence that travel with its digest, and digests that are broadcast.
+PREFIX = 64
+MOST_CANDIDATES = 10_000
 
 
 def session_stats(sessions: DataFrame) -> DataFrame:
@@ -178,3 +182,42 @@ def sequence_counts(
 def top_sequences(counts: DataFrame, limit: int = TOP_SEQUENCES) -> DataFrame:
     """The most frequent sequences; equal counts in the order of their text."""
     return counts.orderBy(F.desc("count"), "sequence").limit(limit)
+
+
+def top_sequences_by_digest(
+    events: DataFrame,
+    gap_minutes: int = DEFAULT_GAP_MINUTES,
+    limit: int = TOP_SEQUENCES,
+    null_ts: str = "drop",
+    hot_rows: int | Skew | None = HOT_ROWS,
+) -> DataFrame:
+    """`top_sequences` of `sequence_counts` for long sequences: their texts aren't shuffled.
+
+    A first pass counts 128-bit digests with the first `PREFIX` characters, which
+    settles the order of equal counts up to sequences that share them. A second
+    pass fetches the texts of those that can be among the first, by broadcast.
+    If more than `MOST_CANDIDATES` tie there, longer prefixes tell them apart.
+    The events are sessionized twice, which pays where texts are long beside the
+    events, as those of bots, or lie in a table bucketed by user.
+    """
+    labels = session_sequence_labels(events, gap_minutes, null_ts, hot_rows).filter(F.col("steps") > 1)
+    labels = labels.select("sequence", F.unhex(F.md5(F.col("sequence").cast("binary"))).alias("digest"))
+    length = PREFIX
+    while True:
+        first = F.substring("sequence", 1, length).alias("prefix")
+        counts = labels.select("digest", first).groupBy("digest", "prefix").agg(F.count("*").alias("count"))
+        ensure_checkpoint_dir(events.sparkSession)
+        counts = counts.checkpoint()
+        best = counts.orderBy(F.desc("count"), "prefix").limit(limit).collect()
+        if len(best) < limit:
+            candidates = counts
+            break
+        last = best[-1]
+        tied = (F.col("count") == last["count"]) & (F.col("prefix") <= last["prefix"])
+        candidates = counts.where((F.col("count") > last["count"]) | tied)
+        if len(last["prefix"]) < length or candidates.count() <= MOST_CANDIDATES:
+            break
+        length *= 8
+    wanted = F.broadcast(candidates.select(F.col("digest").alias("_digest"), "count"))
+    texts = labels.join(wanted, labels["digest"] == wanted["_digest"]).groupBy("digest", "count")
+    return top_sequences(texts.agg(F.any_value("sequence").alias("sequence")).select("sequence", "count"), limit)

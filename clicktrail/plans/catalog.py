@@ -440,6 +440,7 @@ def queries() -> dict[str, Query]:
             lambda e: p.sequence_counts(e, 720, hot_rows=SPLIT_ROWS)
         ),
         "top_sequences_10_g720": _events(lambda e: p.top_sequences(p.sequence_counts(e, 720))),
+        "top_sequences_10_by_digest_g720": _events(lambda e: p.top_sequences_by_digest(e, 720)),
         # time, returns, products
         **_time_queries(),
         "event_types_hourly": _events(b.event_types_by_hour),

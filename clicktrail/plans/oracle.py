@@ -367,6 +367,7 @@ SELECT product_views / nullif(total_sessions, 0) * 100 AS product_view_rate,
         "sequence_counts_g720": _sequence_counts(720),
         "sequence_counts_g720_split": _sequence_counts(720),
         "top_sequences_10_g720": f"{_sequence_counts(720)} ORDER BY count DESC, sequence LIMIT 10",
+        "top_sequences_10_by_digest_g720": f"{_sequence_counts(720)} ORDER BY count DESC, sequence LIMIT 10",
         "events_by_hour": _by_time("hour(ts)", _NUMBER_LABEL, False),
         "events_by_hour_by_type": _by_time("hour(ts)", _NUMBER_LABEL, True),
         "events_by_dow": _by_time("dayofweek(ts) + 1", _WEEKDAY_LABEL, False),

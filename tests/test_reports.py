@@ -9,6 +9,7 @@ from clicktrail.operators import rankings as r
 from clicktrail.operators import reports as p
 from clicktrail.operators import sessions as s
 from clicktrail.plans import analyses
+from clicktrail.sources.event_table import read_table_events
 from tests.brute import event, make_events
 from tests.test_sessions import ROWS, sessions
 
@@ -217,3 +218,30 @@ def test_reports_of_analyses(skewed):
     assert "EventType" in engagement["event_positions"].columns
     total = engagement["duration_distribution"].agg(F.sum("count")).first()[0]
     assert total == basic["basic_totals"].first()["total_sessions"] == len(sessions(ROWS, 12))
+
+
+@pytest.mark.parametrize(("prefix", "most", "limit"), [(64, 10_000, 10), (3, 10_000, 10), (1, 2, 25), (64, 10_000, 100_000)])
+def test_top_sequences_by_digest(spark, monkeypatch, prefix, most, limit):
+    """The same as by text, also where many sequences tie and share their beginning."""
+    monkeypatch.setattr(p, "PREFIX", prefix)
+    monkeypatch.setattr(p, "MOST_CANDIDATES", most)
+    events = read_table_events(spark, "/root/testdata/sf0.01")
+    expected = p.top_sequences(p.sequence_counts(events, 720), limit)
+    found = p.top_sequences_by_digest(events, 720, limit)
+    assert [tuple(r) for r in found.collect()] == [tuple(r) for r in expected.collect()]
+
+
+def test_texts_of_sequences_are_not_shuffled(spark, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    plans, real = [], DataFrame.checkpoint
+    monkeypatch.setattr(DataFrame, "checkpoint", lambda self: plans.append(self) or real(self))
+    events = read_table_events(spark, "/root/testdata/sf0.01")
+    found = p.top_sequences_by_digest(events, 720)
+    (counted,) = plans
+    plan = counted._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    moved = [line for line in plan.splitlines() if "Exchange" in line]
+    assert len(moved) == 2 and not any("sequence" in line for line in moved)
+    # The last pass joins by broadcast; behind it only the candidates' texts move.
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
