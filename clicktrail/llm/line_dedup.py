@@ -233,7 +233,11 @@ def drop_repeated_lines(
         F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), others(docs, id_col, text_col)
     )
     rest_type = rows.schema["rest"].dataType.simpleString()
-    joined = rows.join(lost, rows["doc_id"] == lost["lost_id"], "left").select("doc_id", "text", "lost", "rest")
+    # Rows without id lose nothing and stay where they are.
+    named = rows.where(F.col("doc_id").isNotNull())
+    joined = named.join(lost, named["doc_id"] == lost["lost_id"], "left").select("doc_id", "text", "lost", "rest")
+    nameless = rows.where(F.col("doc_id").isNull()).withColumn("lost", F.lit(None).cast(lost.schema["lost"].dataType))
+    joined = joined.unionByName(nameless)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

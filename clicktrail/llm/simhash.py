@@ -31,7 +31,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clicktrail.llm.common import batch_of, byte_texts, stored, text_slices
@@ -218,8 +218,7 @@ def one_of_each_group(
     found = simhash_components(docs, width, id_col, text_col)
     kept = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("kept_id")).distinct()
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.struct("*").alias("row"))
-    joined = rows.join(kept, rows["id"] == kept["kept_id"], "left")
-    joined = joined.where(F.col("id").isNull() | F.col("kept_id").isNotNull())
-    first = F.row_number().over(Window.partitionBy("id").orderBy("text"))
-    ranked = joined.withColumn("nth", F.when(F.col("id").isNotNull(), first).otherwise(1))
-    return ranked.where(F.col("nth") == 1).select("row.*")
+    # Rows of one id become one before they move; rows without id don't move at all.
+    first = rows.where(F.col("id").isNotNull()).groupBy("id").agg(F.min_by("row", F.struct("text")).alias("row"))
+    one = first.join(kept, first["id"] == kept["kept_id"], "left_semi").select("row.*")
+    return one.unionByName(rows.where(F.col("id").isNull()).select("row.*"))

@@ -124,3 +124,18 @@ def test_one_row_of_each_group_stays(spark):
 
 def test_empty_table(spark, tmp_path):
     assert catalog.simhash(spark, tables(spark, tmp_path / "t")).collect() == []
+
+
+def test_rows_of_one_id_become_one_before_they_move(spark):
+    """A hot repeated id is reduced in its own tasks, and rows without id aren't moved."""
+    rows = [(1, "b text of the id one here"), (1, None), (2, "c")] * 500 + [(None, f"row {n} without an id") for n in range(700)]
+    frame = documents(spark, rows, clashing=True).repartition(6)
+    found = simhash.one_of_each_group(frame)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
+    assert re.search(r"SortAggregate\(key=\[id#\d+L\], functions=\[partial_min_by", plan)
+    kept = found.collect()
+    assert sorted((r["doc_id"] is None, r["doc_id"], r["text"]) for r in kept if r["doc_id"] is not None) == [
+        (False, 1, None), (False, 2, "c")
+    ]
+    assert sum(r["doc_id"] is None for r in kept) == 700
