@@ -22,7 +22,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clicktrail.llm.samples import fold, labelled_sample, logistic
+from clicktrail.llm.samples import class_odds, fold, labelled_sample, logistic, with_odds
 
 DICTIONARY_BYTES = 112_640
 PART = 2000  # bytes of a sample that the dictionary builder takes at a time
@@ -44,13 +44,14 @@ class QualityModel:
     bad: bytes
     calibration: tuple | None  # centre, scale, weights
     constant: float = 0.5
+    odds: float = 1.0
 
     def scores(self, texts: list[bytes]) -> np.ndarray:
         if self.calibration is None:
             return np.full(len(texts), self.constant)
         centre, scale, weights = self.calibration
         x = (features(self.good, self.bad, texts) - centre) / scale
-        return 1 / (1 + np.exp(-np.clip(weights[0] + x @ weights[1:], -30, 30)))
+        return with_odds(1 / (1 + np.exp(-np.clip(weights[0] + x @ weights[1:], -30, 30))), self.odds)
 
 
 def dictionary(texts: list[bytes]) -> bytes:
@@ -96,8 +97,9 @@ def fit(good: list[str], bad: list[str]) -> QualityModel:
 
 def fit_quality(docs: DataFrame, labels: DataFrame, folds: int = 3, held_out: int = 1) -> QualityModel:
     """Fit on the labelled documents outside the held-out fold of ids."""
-    sample = labelled_sample(docs, labels, "quality", fold(F.col("doc_id"), folds) != held_out)
-    return fit(*sample)
+    wanted = fold(F.col("doc_id"), folds) != held_out
+    model = fit(*labelled_sample(docs, labels, "quality", wanted))
+    return replace(model, odds=class_odds(labels, "quality", wanted))
 
 
 def quality_score(model: QualityModel, text_col: str = "text") -> Column:

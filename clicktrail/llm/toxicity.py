@@ -21,14 +21,14 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clicktrail.llm.samples import fold, labelled_sample
+from clicktrail.llm.samples import class_odds, fold, labelled_sample, with_odds
 
 SENTENCE = re.compile(r"[.!?\n]+")
 WORD = re.compile(r"[^\W\d_]+")
@@ -62,6 +62,7 @@ class ToxicityModel:
     weights: dict[str, float]
     bias: float
     constant: float | None = None
+    odds: float = 1.0
     words: dict[str, tuple] = field(default_factory=dict, repr=False)
 
     def _known(self, word: str) -> tuple:
@@ -88,7 +89,7 @@ class ToxicityModel:
                     offending.append({"sentence": number, "score": float(p), "text": sentence.strip()})
             else:
                 clean += plain
-        return float(-np.expm1(clean)), offending
+        return with_odds(float(-np.expm1(clean)), self.odds), offending
 
 
 def _candidates(toxic: list[str], clean: list[str]) -> list[str]:
@@ -144,8 +145,9 @@ def fit(toxic: list[str], clean: list[str]) -> ToxicityModel:
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0) -> ToxicityModel:
     """Fit on the labelled documents outside the held-out fold of ids."""
-    sample = labelled_sample(docs, labels, "toxic", fold(F.col("doc_id"), folds) != held_out)
-    return fit(*sample)
+    wanted = fold(F.col("doc_id"), folds) != held_out
+    model = fit(*labelled_sample(docs, labels, "toxic", wanted))
+    return replace(model, odds=class_odds(labels, "toxic", wanted))
 
 
 def toxicity(model: ToxicityModel, threshold: float = 0.5, text_col: str = "text") -> Column:

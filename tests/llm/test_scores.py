@@ -1,12 +1,13 @@
 """Quality and toxicity: held-out accuracy, odd documents, degenerate labels."""
 
+import math
 import zlib
 
 import pytest
 from pyspark.sql import functions as F
 
 from clicktrail.llm import catalog, quality, toxicity
-from clicktrail.llm.samples import labelled_sample
+from clicktrail.llm.samples import class_odds, labelled_sample, with_odds
 from tests.llm.helpers import SF_DIR, documents, edge_rows, random_texts, tables
 
 
@@ -105,3 +106,50 @@ def test_offending_sentences_are_located(spark):
     docs = documents(spark, [(1, "a b. vilefx"), (2, None)])
     rows = docs.select("doc_id", toxicity.toxicity(model).alias("t")).orderBy("doc_id").collect()
     assert [len(row["t"]["offending"]) for row in rows] == [1, 0] and rows[1]["t"]["score"] == 0
+
+
+def test_one_text_per_sampled_id(spark):
+    """An id that very many rows hold meets the driver once."""
+    rows = [(7, f"text {i:05}") for i in range(10_000)] + [(i, "other text") for i in range(20, 60)] + [(7, None)]
+    labels = spark.createDataFrame([(7, 1)] * 50 + [(i, i % 2) for i in range(20, 60)], "doc_id long, quality int")
+    ones, zeros = labelled_sample(documents(spark, rows), labels, "quality", F.lit(True), rows=30)
+    assert len(ones) == 21 and len(zeros) == 20
+    assert [text for text in ones if text != "other text"] == ["text 00000"]
+
+
+def test_scores_mean_the_same_at_any_size(spark):
+    """Fitted on as many of either class, and put right by the classes' share among all labels."""
+    labels = spark.createDataFrame([(i, int(i % 10 < 8)) for i in range(1000)] + [(3, None), (None, 1)], "doc_id long, quality int")
+    assert class_odds(labels, "quality", F.lit(True), rows=5000) == 1.0
+    assert class_odds(labels, "quality", F.lit(True), rows=500) == pytest.approx(1.6)
+    assert class_odds(labels, "quality", F.lit(True), rows=50) == pytest.approx(4.0)
+    assert class_odds(labels.unionByName(labels), "quality", F.lit(True), rows=50) == pytest.approx(4.0)
+    assert class_odds(labels.where("quality = 1"), "quality", F.lit(True)) == 1.0
+    assert with_odds(0.5, 4.0) == pytest.approx(0.8) and with_odds(0.0, 4.0) == 0.0 and with_odds(1.0, 0.1) == 1.0
+
+
+@pytest.mark.parametrize(("fit", "query", "label"), [
+    (quality.fit_quality, catalog.quality, "quality"), (toxicity.fit_toxicity, catalog.toxic, "toxic"),
+])
+def test_scores_of_the_fitted_model_in_plain_python(spark, fit, query, label):
+    """Every row of the query against the fitted model, sentence by sentence or size by size."""
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    model = fit(docs, spark.read.parquet(f"{SF_DIR}/labels.parquet"))
+    found = {row["doc_id"]: row["score"] for row in query(spark, SF_DIR).collect()}
+    for row in docs.limit(120).collect():
+        if label == "quality":
+            centre, scale, weights = model.calibration
+            sizes = [len(quality._compressor(data).compress(row["text"].encode())) for data in (model.good, model.bad)]
+            length = len(row["text"].encode()) + 20
+            x = [(sizes[1] - sizes[0]) / length, (sizes[1] - sizes[0]) / sum(sizes), sizes[0] / length, math.log(length)]
+            x += [x[i] * x[j] for i in range(4) for j in range(i, 4)]
+            z = weights[0] + sum((a - c) / s * w for a, c, s, w in zip(x, centre, scale, weights[1:], strict=True))
+            p = 1 / (1 + math.exp(-min(30, max(-30, z))))
+        else:
+            left = 1.0
+            for _, words in toxicity.sentences(row["text"]):
+                known = {stem for word in words for stem in toxicity.stems(word) if stem in model.weights}
+                left *= 1 - 1 / (1 + math.exp(-model.bias - sum(model.weights[stem] for stem in known)))
+            p = 1 - left
+        expected = p * model.odds / (p * model.odds + 1 - p)
+        assert found[row["doc_id"]] == pytest.approx(expected, rel=1e-6, abs=1e-9)
