@@ -31,7 +31,10 @@ SEED_WORDS = 3
 MIN_MATCH = 8
 BLOCK_WORDS = 1 << 20  # words of test items that are searched in one scan; 2^21 fit a seed's key
 MATCH, MISMATCH, GAP = 2, -1, -1
-WORD = re.compile(r"\w+")
+COUNT_BITS = 24  # of an alignment's matching words, beside its score
+# Blocks of scripts that put no space between words; there each character is a word.
+UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+WORD = re.compile(f"[{UNSPACED}]|[^\\W{UNSPACED}]+")
 HITS = "array<struct<item_id:long,similarity:double,first_word:long,last_word:long>>"
 
 
@@ -80,21 +83,27 @@ class SeedIndex:
         return places[same], found[same]
 
 
-def align(item: np.ndarray, window: np.ndarray) -> tuple[int, int, int]:
-    """(score, last place in the item, last place in the window) of the best local alignment."""
-    places = -GAP * np.arange(len(window) + 1)
+def align(item: np.ndarray, window: np.ndarray) -> tuple[int, int, int, int]:
+    """(score, last place in the item, last place in the window, matching words) of the best local alignment.
+
+    Of alignments with the same score the one with the most matching words is
+    the best: they are counted in the lower bits of the scores.
+    """
+    one = 1 << COUNT_BITS
+    places = -GAP * one * np.arange(len(window) + 1)
     before = np.zeros(len(window) + 1, np.int64)
-    best = (0, -1, -1)
+    best, at = 0, (-1, -1)
     for i, word in enumerate(item):
         row = np.zeros(len(window) + 1, np.int64)
-        row[1:] = before[:-1] + np.where(window == word, MATCH, MISMATCH)
-        np.maximum(row, before + GAP, out=row)
-        np.maximum(row, 0, out=row)
+        row[1:] = before[:-1] + np.where(window == word, MATCH * one + 1, MISMATCH * one)
+        np.maximum(row, before + GAP * one, out=row)
+        row[row < one] = 0
         before = np.maximum.accumulate(row + places) - places
+        before[before < one] = 0
         j = int(before.argmax())
-        if before[j] > best[0]:
-            best = (int(before[j]), i, j - 1)
-    return best
+        if before[j] > best:
+            best, at = int(before[j]), (i, j - 1)
+    return best >> COUNT_BITS, *at, best & one - 1
 
 
 def _contained(index: SeedIndex, numbers: np.ndarray, threshold: float) -> list[dict]:
@@ -123,14 +132,14 @@ def _contained(index: SeedIndex, numbers: np.ndarray, threshold: float) -> list[
             shared = np.minimum(present, np.bincount(here, minlength=len(present))).sum()
             if shared < threshold * size:
                 continue
-            score, last_item, last = align(item, window)
-            if best is None or score > best[0]:
+            score, last_item, last, matching = align(item, window)
+            if best is None or (score, matching) > (best[0], best[3]):
                 back = align(item[: last_item + 1][::-1], window[: last + 1][::-1])
-                best = (score, low + last - back[2], low + last)
+                best = (score, low + last - back[2], low + last, matching)
         if best is None:
             continue
         similarity = best[0] / (MATCH * size)
-        if similarity >= threshold and (best[0] >= MATCH * MIN_MATCH or similarity == 1):
+        if similarity >= threshold and (best[3] >= MIN_MATCH or similarity == 1):
             found.append({
                 "item_id": index.item_ids[number], "similarity": similarity, "first_word": best[1], "last_word": best[2]
             })
@@ -142,7 +151,8 @@ def _item_blocks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[l
     items = benchmark.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(id_col).cast("long").alias("item_id"), F.col(text_col).alias("text")
     )
-    words = F.size(F.split("text", "\\W+"))
+    # No text has more words than characters.
+    words = F.ceil(F.length("text") / F.lit(2)) + F.regexp_count("text", F.lit(f"[{UNSPACED}]"))
     total = items.agg(F.coalesce(F.sum(words), F.lit(0))).first()[0]
     blocks = 1 + total // BLOCK_WORDS
     for block in range(blocks):

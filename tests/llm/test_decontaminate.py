@@ -10,13 +10,17 @@ from tests.llm.helpers import SMALL_DIR, by_id, documents, edge_rows, random_tex
 
 
 def plain_score(item, words):
-    """Smith-Waterman in plain Python."""
-    before, best = [0] * (len(words) + 1), 0
+    """Smith-Waterman in plain Python: the score, and the most matching words among alignments with it."""
+    before, best = [(0, 0)] * (len(words) + 1), (0, 0)
     for a in item:
-        row = [0]
+        row = [(0, 0)]
         for j, b in enumerate(words):
-            match = before[j] + (decontaminate.MATCH if a == b else decontaminate.MISMATCH)
-            row.append(max(0, match, before[j + 1] + decontaminate.GAP, row[-1] + decontaminate.GAP))
+            same = a == b
+            score, matching = before[j]
+            match = (score + (decontaminate.MATCH if same else decontaminate.MISMATCH), matching + same)
+            gaps = [(x[0] + decontaminate.GAP, x[1]) for x in (before[j + 1], row[-1])]
+            found = max(match, *gaps)
+            row.append(found if found[0] > 0 else (0, 0))
         before, best = row, max(best, *row)
     return best
 
@@ -29,10 +33,9 @@ def brute(docs, items, threshold=0.5):
             item = decontaminate.words_of(item_text)
             if item_id is None or len(item) < decontaminate.SEED_WORDS or not set(item) & set(words):
                 continue
-            score = plain_score(item, words)
+            score, matching = plain_score(item, words)
             similarity = score / (decontaminate.MATCH * len(item))
-            enough = score >= decontaminate.MATCH * decontaminate.MIN_MATCH or similarity == 1
-            if similarity >= threshold and enough:
+            if similarity >= threshold and (matching >= 8 or similarity == 1):
                 found.append((doc_id, item_id, round(similarity, 9)))
     return by_id(found)
 
@@ -131,7 +134,31 @@ def test_alignment_scores():
     rng = np.random.default_rng(4)
     for _ in range(60):
         item, window = rng.integers(0, 5, rng.integers(1, 9)), rng.integers(0, 5, rng.integers(1, 30))
-        assert decontaminate.align(item, window)[0] == plain_score(item.tolist(), window.tolist())
+        found = decontaminate.align(item, window)
+        assert (found[0], found[3]) == plain_score(item.tolist(), window.tolist())
+
+
+def test_short_items_count_matching_words(spark):
+    """Ten words of which eight match score 0.7; of nine with seven matching none is reported."""
+    ten = "one two three four five six seven eight nine ten"
+    docs = documents(spark, [
+        (1, "x " + ten.replace("four", "a").replace("eight", "b") + " y"), (2, ten.replace("four", "a").replace("seven", "b").replace("nine", "c")),
+    ])
+    bench = spark.createDataFrame([(1, ten), (2, " ".join(ten.split()[:9]))], "item_id long, text string")
+    found = rounded(decontaminate.contaminated(docs, bench).collect())
+    assert found == brute([tuple(r) for r in docs.select("doc_id", "text").collect()], [(1, ten), (2, " ".join(ten.split()[:9]))])
+    assert (1, 1, 0.7) in found and not [row for row in found if row[0] == 2]
+
+
+def test_scripts_without_spaces(spark):
+    """Each character is a word, so a copy in the middle of a clause is found, edited too."""
+    item = "今日は天気がとても良いので散歩に行きました"
+    assert decontaminate.words_of("abc今日def ไทย") == ["abc", "今", "日", "def", "ไ", "ท", "ย"]
+    docs = [(1, f"昔々{item}終わり。"), (2, "昔々" + item.replace("散歩", "買物") + "です"), (3, "これは別の文章であり関係がない"), (4, "семь слов " * 3)]
+    items = [(1, item), (2, "семь слов по русски в этом примере есть")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = rounded(decontaminate.contaminated(documents(spark, docs), bench).collect())
+    assert found == brute(docs, items) and [row[:2] for row in found] == [(1, 1), (2, 1)]
 
 
 @pytest.mark.parametrize("benchmark", [True, False])
