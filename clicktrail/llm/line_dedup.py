@@ -6,11 +6,12 @@ case. Keys of at least `min_chars` code points that occur in at least
 largest id that holds them.
 
 How: the distinct (line hash, document) pairs are stored once and counted per
-128-bit line hash. The hashes that reach `min_docs` are cut into shards of
-bounded size; of each shard a minimal perfect hash is built, which leads to
-arrays of fingerprints, document counts and the largest document. The pairs
-then go to the shard of their hash, where they probe those arrays; no line text
-and no line table is joined. The few shards that very common lines make hot are
+128-bit line hash. All distinct hashes are cut into shards of bounded size; of
+each shard a minimal perfect hash is built, which leads to arrays of 32-bit
+fingerprints, document counts and the largest document. The pairs then go to
+the shard of their hash, where they probe those arrays, and the count decides;
+no line text and no line table is joined. Since every hash that probes is in the
+index, it meets its own entry; the fingerprint only shows foreign hashes. The few shards that very common lines make hot are
 copied and their probes spread over the copies. Only hits come back: one list
 of hashes per document, which meets the documents once, by id.
 
@@ -29,16 +30,17 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clicktrail.llm.common import batch_of, byte_texts, others, settled, stored, text_slices
+from clicktrail.llm.common import batch_of, byte_texts, others, stored, text_slices
 
-SHARD_KEYS = 1 << 12  # keys of a shard; its arrays take about 25 bytes a key
+SHARD_KEYS = 1 << 12  # keys of a shard, at most on average; its arrays take about 17 bytes a key
 HOT_SHARDS = 64  # a shard with more than this fraction of the probes is copied
 SPREAD = 512  # a copy answers about this fraction of the probes
 
 ASCII_SPACE = b" \t\n\x0b\x0c\r"
 LEVELS = 24
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
-INDEX = "sizes array<int>, bits binary, prints binary, counts binary, keepers binary"
+INDEX = "sizes array<int>, bits binary, prints binary, counts binary, keepers binary, unplaced binary"
+MOST_COUNTED = 2**32 - 1  # larger document counts stay at this
 
 
 def line_key(line: bytes, min_chars: int) -> bytes | None:
@@ -83,6 +85,11 @@ def _mixed(hashes: np.ndarray, level: int) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
+def _print(h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
+    """A 32-bit fingerprint, of other bits than the places."""
+    return (_mixed(h1.view(np.uint64) + h2.view(np.uint64), LEVELS + 1) >> np.uint64(32)).astype("<u4")
+
+
 def build_index(h1: np.ndarray, h2: np.ndarray, counts: np.ndarray, keepers: np.ndarray) -> dict:
     """Minimal perfect hash of distinct (h1, h2) with its arrays.
 
@@ -90,7 +97,8 @@ def build_index(h1: np.ndarray, h2: np.ndarray, counts: np.ndarray, keepers: np.
     the rest goes on to the next level. A key's index is the rank of its bit.
     Keys left after the last level (equal h1, so hardly ever) follow in a list.
     """
-    key = h1.astype(np.int64).view(np.uint64) ^ _mixed(h2.astype(np.int64).view(np.uint64), LEVELS)
+    h1, h2 = h1.astype(np.int64), h2.astype(np.int64)
+    key = h1.view(np.uint64) ^ _mixed(h2.view(np.uint64), LEVELS)
     left, order, bits, sizes = np.arange(len(key)), [], [], []
     for level in range(LEVELS):
         if not len(left):
@@ -105,27 +113,27 @@ def build_index(h1: np.ndarray, h2: np.ndarray, counts: np.ndarray, keepers: np.
         left = left[~single]
     order = np.concatenate([*order, left]).astype(np.int64) if len(key) else left
     flat = np.concatenate(bits) if bits else np.zeros(0, bool)
-    prints = np.stack([h1[order], h2[order]], axis=1).astype("<i8") if len(key) else np.zeros((0, 2), "<i8")
     return {
         "sizes": sizes,
         "bits": np.packbits(flat).tobytes(),
-        "prints": prints.tobytes(),
-        "counts": counts[order].astype("<i4").tobytes(),
+        "prints": _print(h1[order], h2[order]).tobytes(),
+        "counts": np.minimum(counts[order], MOST_COUNTED).astype("<u4").tobytes(),
         "keepers": keepers[order].astype("<i8").tobytes(),
+        "unplaced": np.stack([h1[left], h2[left]], axis=1).astype("<i8").tobytes(),
     }
 
 
 class LineIndex:
     """The arrays of one shard, to be probed with many hashes at a time."""
 
-    def __init__(self, sizes, bits, prints, counts, keepers):
+    def __init__(self, sizes, bits, prints, counts, keepers, unplaced):
         self.sizes = sizes
         self.bits = np.unpackbits(np.frombuffer(bits, np.uint8), count=sum(sizes)).astype(bool)
         self.ranks = np.cumsum(self.bits) - 1
-        self.prints = np.frombuffer(prints, "<i8").reshape(-1, 2)
-        self.counts = np.frombuffer(counts, "<i4")
+        self.prints = np.frombuffer(prints, "<u4")
+        self.counts = np.frombuffer(counts, "<u4")
         self.keepers = np.frombuffer(keepers, "<i8")
-        self.unplaced = range(int(self.bits.sum()), len(self.prints))
+        self.unplaced = np.frombuffer(unplaced, "<i8").reshape(-1, 2).tolist()
 
     def probe(self, h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
         """Index of each hash, -1 for one that the shard doesn't hold."""
@@ -137,11 +145,11 @@ class LineIndex:
             hit = self.bits[place]
             found[left[hit]] = self.ranks[place[hit]]
             left, base = left[~hit], base + size
-        for i in self.unplaced:
-            found[left[(h1[left] == self.prints[i, 0]) & (h2[left] == self.prints[i, 1])]] = i
-        held = found >= 0
-        same = (self.prints[found[held], 0] == h1[held]) & (self.prints[found[held], 1] == h2[held])
-        found[np.flatnonzero(held)[~same]] = -1
+        first = len(self.prints) - len(self.unplaced)
+        for i, (one, two) in enumerate(self.unplaced, start=first):
+            found[left[(h1[left] == one) & (h2[left] == two)]] = i
+        held = np.flatnonzero(found >= 0)
+        found[held[self.prints[found[held]] != _print(h1[held], h2[held])]] = -1
         return found
 
 
@@ -167,17 +175,13 @@ def line_index(counted: DataFrame, shards: int) -> DataFrame:
 
 def repeated_in(lines: DataFrame, min_docs: int) -> DataFrame:
     """(doc_id, h1, h2): the line hashes that each document loses."""
-    counted = settled(
-        lines.groupBy("h1", "h2")
-        .agg(F.count("*").alias("n"), F.max("doc_id").alias("keeper"))
-        .where(F.col("n") >= min_docs)
-    )
-    shards = max(1, -(-counted.count() // SHARD_KEYS))
-    index = settled(line_index(counted, shards))
+    counted = lines.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.max("doc_id").alias("keeper"))
+    total = lines.count()
+    shards = max(1, -(-total // SHARD_KEYS))
+    index = stored(line_index(counted, shards), "line-index")
     probes = lines.withColumn("shard", _shard(shards))
 
     # At most HOT_SHARDS shards can hold more than that fraction of the probes each.
-    total = lines.count()
     loads = probes.groupBy("shard").count().where(F.col("count") > total / HOT_SHARDS).collect()
     copies = F.lit(1)
     for load in loads:
@@ -203,7 +207,7 @@ def repeated_in(lines: DataFrame, min_docs: int) -> DataFrame:
             starts = np.flatnonzero(np.r_[True, (np.diff(place, axis=0) != 0).any(axis=1) | (np.diff(kinds) != 0)])
             for start, end in zip(starts, [*starts[1:], len(kinds)], strict=True):
                 if kinds[start] == 0:
-                    index = LineIndex(*(batch.column(i)[int(start)].as_py() for i in range(6, 11)))
+                    index = LineIndex(*(batch.column(i)[int(start)].as_py() for i in range(6, 12)))
                     at = tuple(place[start])
                 elif at == tuple(place[start]):
                     ids, h1, h2 = (batch.column(i).slice(start, end - start).to_numpy() for i in (3, 4, 5))

@@ -5,6 +5,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from clicktrail.llm import catalog, line_dedup
 from tests.llm.helpers import CLASHING, ascii_lower, by_id, documents, edge_rows, random_texts, tables
@@ -84,3 +85,19 @@ def test_keys_that_no_level_places(monkeypatch):
     h1, h2 = np.arange(40) % 3, np.arange(40)
     index = line_dedup.LineIndex(**line_dedup.build_index(h1, h2, h2, h2))
     assert (index.keepers[index.probe(h1, h2)] == h2).all()
+
+
+def test_counts_in_the_index_decide(spark):
+    """All distinct hashes are indexed, and large counts don't wrap."""
+    rows = repeated_rows()
+    lines = line_dedup.line_hashes(documents(spark, rows), 20, "doc_id", "text")
+    counted = lines.groupBy("h1", "h2").count().count()
+    totals = lines.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.max("doc_id").alias("keeper"))
+    index = line_dedup.line_index(totals, 4).collect()
+    assert sum(len(row["counts"]) // 4 for row in index) == counted
+    assert min(min(np.frombuffer(row["counts"], "<u4")) for row in index) < 3
+    assert {len(row["prints"]) for row in index} == {len(row["counts"]) for row in index}
+    big = line_dedup.build_index(np.array([1]), np.array([2]), np.array([2**33 + 1]), np.array([7]))
+    assert line_dedup.LineIndex(**big).counts.tolist() == [2**32 - 1]
+    found = {tuple(r) for r in line_dedup.repeated_in(lines, 3).collect()}
+    assert found and all(row[0] != max(r["doc_id"] for r in lines.collect() if (r["h1"], r["h2"]) == row[1:]) for row in list(found)[:5])
