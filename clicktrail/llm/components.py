@@ -8,8 +8,25 @@ from pyspark.sql import functions as F
 from clicktrail.llm.common import settled
 
 
-def _star(links: DataFrame, large: bool) -> DataFrame:
-    """One step of the alternating star algorithm on (a, b) links.
+# A node with more links than this and than a 1,000th of all is hot. At most
+# 2,000 nodes can be, whose rows of two numbers are broadcast.
+HOT_LINKS = 100
+HOT_SHARE = 1000
+
+
+def _hung(sides: DataFrame, total: int) -> DataFrame:
+    """The links (a, b) with the smallest node around each a, as `least`; hot nodes' links don't meet in a task."""
+    least = sides.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("least"), F.count("*").alias("degree"))
+    least = least.withColumnRenamed("a", "node")
+    is_hot = F.col("degree") > max(HOT_LINKS, total // HOT_SHARE)
+    hot = F.broadcast(least.where(is_hot).select("node", "least"))
+    cold = least.where(~is_hot).select("node", "least")
+    usual = sides.join(hot, sides["a"] == hot["node"], "left_anti")
+    return sides.join(hot, sides["a"] == hot["node"]).unionByName(usual.join(cold, usual["a"] == cold["node"]))
+
+
+def _star(links: DataFrame, large: bool, total: int) -> DataFrame:
+    """One step of the alternating star algorithm on `total` (a, b) links.
 
     The large star hangs the greater neighbours of each node on the smallest
     node around it, the small star the smaller ones.
@@ -18,13 +35,12 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
         sides = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     else:
         sides = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = sides.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("least")).withColumnRenamed("a", "node")
-    hung = sides.join(least, sides["a"] == least["node"])
+    hung = _hung(sides, total)
     if large:
         moved = hung.where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("least").alias("b"))
     else:
         moved = hung.select(F.col("b").alias("a"), F.col("least").alias("b")).unionByName(
-            least.select(F.col("node").alias("a"), F.col("least").alias("b"))
+            hung.select("a", F.col("least").alias("b")).distinct()
         )
     return moved.where(F.col("a") != F.col("b")).distinct()
 
@@ -44,7 +60,8 @@ def smallest_reachable(links: DataFrame) -> DataFrame:
     links = settled(links.where(F.col("a") != F.col("b")).distinct())
     state = _state(links)
     while state[0]:
-        links = settled(_star(_star(links, True), False))
+        # A large star leaves no more links than it got.
+        links = settled(_star(_star(links, True, state[0]), False, state[0]))
         before, state = state, _state(links)
         if before == state:
             break
