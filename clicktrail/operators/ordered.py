@@ -278,37 +278,37 @@ class Islands:
     def summary(self, columns: list[str]) -> list[Column]:
         first = F.struct(*[F.col(f"`{c}`") for c in columns], F.col("_l_grows"))
         found = [
-            F.min_by(first, F.col(ROW)).alias("first"),
-            F.max_by(self.value, F.col(ROW)).alias("last"),
-            F.sum("_l_grows").alias("growth"),
+            F.min_by(first, F.col(ROW)).alias("_s_first"),
+            F.max_by(self.value, F.col(ROW)).alias("_s_last"),
+            F.sum("_l_grows").alias("_s_growth"),
         ]
         if self.counted is not None:
-            found.append(F.sum("_l_one").alias("count"))
+            found.append(F.sum("_l_one").alias("_s_count"))
         if self.position:
-            found.append(F.max("_l_begun").alias("begun"))
+            found.append(F.max("_l_begun").alias("_s_begun"))
         return found
 
     def carry(self, parts: DataFrame, key: str, slices: WindowSpec) -> DataFrame:
         """(_carry_key, _carry_slice, _c_*): what each slice takes over."""
-        known = parts.withColumn("_c_before", F.lag("last").over(slices))
+        known = parts.withColumn("_c_before", F.lag("_s_last").over(slices))
         names = [F.col(key).alias("_carry_key"), F.col(SLICE).alias("_carry_slice")]
         # The first row's columns under their own names, for `step`.
-        own = known.select(*names, *[c for c in known.columns if c not in (key, SLICE, "first")], F.col("first.*"))
+        own = known.select(*names, *[c for c in known.columns if c not in (key, SLICE, "_s_first")], F.col("_s_first.*"))
         over = Window.partitionBy("_carry_key").orderBy("_carry_slice")
         own = own.withColumn("_c_grows", self.step(F.col("_c_before")))
         shift = F.col("_c_grows") - F.col("_l_grows")
-        before = F.coalesce(F.sum(F.col("growth") + shift).over(_before(over)), F.lit(0))
+        before = F.coalesce(F.sum(F.col("_s_growth") + shift).over(_before(over)), F.lit(0))
         added = {"_c_number": before + shift}
         if self.counted is not None:
-            added["_c_rank"] = F.coalesce(F.sum("count").over(_before(over)), F.lit(0))
+            added["_c_rank"] = F.coalesce(F.sum("_s_count").over(_before(over)), F.lit(0))
         if self.position:
             added["_c_begins"] = self.begins(F.col("_c_grows"))
         own = own.withColumns(added)
         kept = ["_c_before", "_c_grows", *added]
         if self.position:
             begins = F.when(F.col("_c_begins"), F.col("_c_rank"))
-            own = own.withColumn("_c_latest", F.greatest(F.col("_c_rank") + F.col("begun"), begins))
-            own = own.withColumn("_c_begun", F.greatest(F.max("_c_latest").over(_before(over)), F.when(F.col("_c_begins"), F.col("_c_rank"))))
+            own = own.withColumn("_c_latest", F.greatest(F.col("_c_rank") + F.col("_s_begun"), begins))
+            own = own.withColumn("_c_begun", F.greatest(F.max("_c_latest").over(_before(over)), begins))
             kept.append("_c_begun")
         return own.select("_carry_key", "_carry_slice", F.lit(True).alias("_c_found"), *kept)
 

@@ -1,5 +1,6 @@
 """Sessionization rules, on small fixtures and against plain Python."""
 
+import functools
 import random
 
 import pytest
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 
 from clicktrail.operators import behavior
 from clicktrail.operators import sessions as s
+from clicktrail.operators.ordered import Skew
 from clicktrail.sources.event_table import read_table_events
 from tests.brute import event, label, make_events, session_id, sessions, whole_second
 
@@ -286,3 +288,16 @@ def test_invariants(spark):
     assert counts == sorted(counts, reverse=True)
     assert counts[-1] == events.select("user_id").distinct().count()
     assert s.session_table(events, 240).agg(F.sum("event_count")).first()[0] == total
+
+
+@pytest.mark.parametrize("hot_rows", [None, 40, Skew(40, 0)])
+def test_extra_columns_of_clashing_names(skewed, hot_rows):
+    """Source columns may have any name that isn't the operators' own."""
+    names = ["first", "last", "count", "growth", "begun", "total", "k", "f", "v", "rank", "position"]
+    wide = skewed.select("*", *[F.concat(F.lit(f"{name} "), F.coalesce("item_id", F.lit("none"))).alias(name) for name in names])
+    found = s.event_positions(wide, 12, hot_rows=hot_rows)
+    plain = s.event_positions(skewed, 12, hot_rows=None)
+    rows = found.select(*plain.columns)
+    assert rows.exceptAll(plain).isEmpty() and plain.exceptAll(rows).isEmpty()
+    wrong = [F.col(f"`{name}`") != F.concat(F.lit(f"{name} "), F.coalesce("item_id", F.lit("none"))) for name in names]
+    assert found.where(functools.reduce(lambda a, b: a | b, wrong)).isEmpty()
