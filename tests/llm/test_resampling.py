@@ -2,7 +2,6 @@
 
 import hashlib
 import math
-import random
 import re
 import zlib
 from collections import Counter
