@@ -33,6 +33,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,8 +67,6 @@ class SessionStore:
         self.spark, self.path, self.gap_seconds = spark, path.rstrip("/"), check_gap(gap_minutes)
         self.gap_minutes, self.lists, self.hot_rows = gap_minutes, lists, hot_rows
         self.fields = ["user_id", "session_seq", "start_ts", "end_ts", "prev_end_ts", *TOTALS, *(["steps"] if lists else [])]
-        # Appending no rows makes the folder, and changes nothing where it is there.
-        spark.createDataFrame([], COMMITS).write.mode("append").parquet(f"{self.path}/commits")
         for commit in self._commits():
             if (commit["gap_minutes"], commit["lists"]) != (gap_minutes, lists):
                 raise ValueError(f"{path} has gap_minutes={commit['gap_minutes']}, lists={commit['lists']}")
@@ -76,7 +75,13 @@ class SessionStore:
 
     def _commits(self) -> list[Row]:
         """One row per batch so far, in order."""
-        found = self.spark.read.schema(COMMITS).parquet(f"{self.path}/commits").orderBy("number").collect()
+        try:
+            commits = self.spark.read.schema(COMMITS).parquet(f"{self.path}/commits")
+        except AnalysisException as error:
+            if error.getCondition() == "PATH_NOT_FOUND":
+                return []
+            raise
+        found = commits.orderBy("number").collect()
         if len({commit["number"] for commit in found}) < len(found):
             raise RuntimeError(f"two jobs wrote to {self.path} at the same time")
         return found
