@@ -48,6 +48,7 @@ HEADLINES = [
 ]
 
 
+# The yardstick: the usual plain plan of lag and running sum, without any care for hot keys.
 def _labelled(events: DataFrame, gap: int) -> DataFrame:
     user = Window.partitionBy("user_id").orderBy("ts", "event_id")
     idle = (F.unix_timestamp("ts") - F.unix_timestamp(F.lag("ts").over(user))) / 60.0

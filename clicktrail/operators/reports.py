@@ -19,6 +19,9 @@ from clicktrail.operators.ordered import HOT_ROWS, Skew
 from clicktrail.operators.sessions import event_positions, session_sequence_labels
 from clicktrail.session import ensure_checkpoint_dir
 
+# The column names of all results of this module, and of `rankings`,
+# `sessions` and `behavior`, are the ones that users of these reports know, and a
+# total or an average of them is a plain aggregate of one line.
 TOP_SEQUENCES = 10
 # Characters of a sequence that travel with its digest, and digests that are broadcast.
 PREFIX = 64
