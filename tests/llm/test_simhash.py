@@ -139,17 +139,3 @@ def test_rows_of_one_id_become_one_before_they_move(spark):
         (False, 1, None), (False, 2, "c")
     ]
     assert sum(r["doc_id"] is None for r in kept) == 700
-
-
-@pytest.mark.parametrize("limit", [100, 3])
-def test_hot_stars_are_joined_by_broadcast(spark, monkeypatch, limit):
-    """Two stars of many leaves, a path between them, and links the wrong way round."""
-    monkeypatch.setattr(components, "HOT_LINKS", limit)
-    links = [(5, n) for n in range(100, 1100)] + [(n, 9) for n in range(2000, 3000)] + [(n, n + 1) for n in range(1099, 2000)]
-    frame = spark.createDataFrame(links, "a long, b long")
-    plan = components._hung(frame, len(links))._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
-    hot = frame.groupBy("a").count().where(f"count > {max(limit, len(links) // components.HOT_SHARE)}").count()
-    assert 1 <= hot <= 2000
-    found = dict(map(tuple, components.smallest_reachable(frame).collect()))
-    assert found == dict.fromkeys({n for link in links for n in link} - {5}, 5)
