@@ -43,9 +43,13 @@ HOT_ROWS = 1_000_000
 # Rows per slice are between `hot_rows` / SLICE_SHRINK, where that gives no more
 # slices than the session has shuffle partitions, and `hot_rows` * SLICE_GROW
 # (1 to 2 GB, which a sort spills), so that 3 * 10^11 hot rows are sorted with
-# some 20,000 partitions and not with millions.
+# some 20,000 partitions and not with millions. Beyond the session's shuffle
+# partitions no slice is made for fewer than LEAST_SLICE_ROWS rows, however small
+# `hot_rows`: n slices are dealt out again by n tasks, which costs n * n entries
+# in the shuffle's index files and in the driver's map of them.
 SLICE_SHRINK = 16
 SLICE_GROW = 16
+LEAST_SLICE_ROWS = 1_000_000
 # Hot keys up to which their rows are split off: by a list of values in the
 # filter, which reaches the scan, or by a broadcast of a few MB.
 LITERAL_KEYS = 1_000
@@ -507,7 +511,7 @@ def _slice_count(spark: SparkSession, rows: int, hot_rows: int) -> int:
     """At least two, so that a single hot key is split."""
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     fine = math.ceil(rows * SLICE_SHRINK / hot_rows)
-    coarse = math.ceil(rows / (hot_rows * SLICE_GROW))
+    coarse = math.ceil(rows / max(hot_rows * SLICE_GROW, LEAST_SLICE_ROWS))
     return max(2, coarse, min(fine, partitions))
 
 

@@ -101,6 +101,23 @@ def test_slice_count(spark):
     assert o._slice_count(spark, 5, 100) == 2
 
 
+def test_slices_do_not_follow_a_small_limit(spark):
+    # Slices are dealt out by as many tasks: 75,000 of them are 5.6 billion index entries.
+    assert o._slice_count(spark, 6_000_000, 5) == 8
+    assert o._slice_count(spark, 36_000_000, 5) == 36
+    assert o._slice_count(spark, 36_000_000, 60) == 36
+    rows = spark.range(2000).select((F.col("id") % 3).alias("k"), F.col("id").alias("t"))
+    seen = []
+
+    def keep(ordered):
+        seen.append(ordered.frame.rdd.getNumPartitions() if ordered.hot else 0)
+        return ordered.add(total=o.RunningSum(F.lit(1))).frame.select("k", "t", "total")
+
+    found = o.per_key_order(rows, "k", ["t"], keep, o.Skew(5, listed=1))
+    assert as_counts(found) == as_counts(o.per_key_order(rows, "k", ["t"], keep, None))
+    assert max(seen) == 8
+
+
 @pytest.mark.parametrize("limits", [(2, 100_000), (10_000, 0), (2, 0)])
 def test_too_many_keys_to_broadcast(rows, monkeypatch, limits):
     expected = as_counts(o.per_key_order(rows, "k", ["t", "n", "v"], build, None))
