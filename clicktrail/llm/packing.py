@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clicktrail.llm.common import batch_of, byte_texts, stored, text_slices
-from clicktrail.llm.parts import LibraryEncoder, kept_encoder
+from clicktrail.llm.parts import SENTINEL, LibraryEncoder, kept_encoder
 from clicktrail.llm.token_files import SYMBOLS, id_type
 
 WINDOW = 4096
@@ -49,10 +49,9 @@ PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, seq
 class WordEncoder(LibraryEncoder):
     """Ids by a BPE of whole lower-case words, whose pre-tokens never hold white space."""
 
-    gap = b" \t\n\r\x0b\x0c\xff"
     # İ becomes two characters in lower case.
     not_plain = (b"\xc3\x97", b"\xc3\xb7", b"\xc4\xb0")
-    is_gap = np.isin(np.arange(256), list(gap))
+    is_gap = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c" + SENTINEL))
 
     def cut(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         gap = self.is_gap[data]

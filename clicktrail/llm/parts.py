@@ -1,9 +1,10 @@
 """Numbers for the parts that texts are cut into, by whole arrays of bytes.
 
-Equal parts get the same number. Parts are told apart by a hash of their bytes
-and places, which Numpy adds up for all parts at once; then every part is
-compared with the one that got its number byte by byte, so a clash of hashes is
-found and settled by the bytes themselves.
+Equal parts get the same number. The first bytes of all parts are taken as two
+words at once, which Numpy hashes and compares; only parts longer than the words
+are also hashed and compared byte by byte. Every part is compared with the one
+that got its number, so a clash of hashes is found and settled by the bytes
+themselves.
 """
 
 from __future__ import annotations
@@ -14,22 +15,28 @@ from itertools import chain
 from types import ModuleType
 
 import numpy as np
+import pandas as pd
 
 PLACES = 64  # the hash repeats its values for bytes further in
+WORD = 8
+HEAD = 2 * WORD  # bytes of a part in its two words
+# By the number of a word's bytes that belong to the part, from the first on.
+MASKS = np.array([(1 << 8 * n) - 1 for n in range(WORD + 1)], np.uint64)
 
 
 class Parts:
-    """Parts seen so far, numbered from 0. Bytes of `gap` behind a part belong to none."""
+    """Parts seen so far, numbered from 0."""
 
-    def __init__(self, gap: bytes = b""):
-        self.values = np.random.default_rng(1).integers(0, 1 << 64, (PLACES, 256), np.uint64)
-        self.values[:, list(gap)] = 0
-        self.values = self.values.ravel()
+    def __init__(self):
+        random = np.random.default_rng(1)
+        self.values = random.integers(0, 1 << 64, PLACES * 256, np.uint64)
+        self.factors = random.integers(0, 1 << 63, 3, np.uint64) * np.uint64(2) + np.uint64(1)
         self.forget()
 
     def forget(self) -> None:
         self.hashes, self.numbers = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.blob, self.starts, self.sizes = np.zeros(0, np.uint8), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.heads = np.zeros((0, 2), np.uint64)
         self.clashes: dict[bytes, int] = {}
 
     def __len__(self) -> int:
@@ -38,59 +45,82 @@ class Parts:
     def part(self, number: int) -> bytes:
         return self.blob[self.starts[number] : self.starts[number] + self.sizes[number]].tobytes()
 
-    def _add(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    def _add(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, heads: np.ndarray) -> np.ndarray:
         """Numbers for new parts."""
         first = len(self)
         self.starts = np.concatenate([self.starts, len(self.blob) + np.cumsum(sizes) - sizes])
         self.sizes = np.concatenate([self.sizes, sizes])
+        self.heads = np.concatenate([self.heads, heads])
         self.blob = np.concatenate([self.blob, data[_spread(starts, sizes)]])
         return np.arange(first, first + len(sizes))
 
-    def number(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """The numbers of data[start:end]. Parts aren't empty and follow each other, but for gaps.
+    def _hashes(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, heads: np.ndarray) -> np.ndarray:
+        hashes = heads[:, 0] * self.factors[0] + heads[:, 1] * self.factors[1] + sizes.astype(np.uint64) * self.factors[2]
+        long = np.flatnonzero(sizes > HEAD)
+        if len(long):
+            sizes = sizes[long]
+            begin = np.cumsum(sizes) - sizes
+            place = (np.arange(sizes.sum()) - np.repeat(begin, sizes)) & PLACES - 1
+            hashes[long] += np.add.reduceat(self.values[place << 8 | data[_spread(starts[long], sizes)]], begin)
+        return hashes
 
-        Nothing but gaps may stand before the first part.
-        """
+    def number(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The numbers of data[start:end]. Parts aren't empty."""
         if not len(starts):
             return np.zeros(0, np.int64)
         sizes = ends - starts
-        begin, stop = int(starts[0]), int(ends[-1])
-        place = np.arange(begin, stop, dtype=np.int32)
-        place -= np.repeat(starts.astype(np.int32), np.diff(np.r_[starts, stop]))
-        place &= PLACES - 1
-        place <<= 8
-        place |= data[begin:stop]
-        hashes = np.add.reduceat(self.values[place], starts - begin) + sizes.astype(np.uint64)
-        found, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+        heads = _heads(data, starts, sizes)
+        which, found = pd.factorize(self._hashes(data, starts, sizes, heads))
+        first = np.empty(len(found), np.int64)
+        first[which[::-1]] = np.arange(len(which))[::-1]
+        # In the order of the hashes, since looking up sorted values is faster.
+        order = np.argsort(found)
+        found, first = found[order], first[order]
         at = np.minimum(np.searchsorted(self.hashes, found), max(len(self.hashes) - 1, 0))
         known = self.hashes[at] == found if len(self.hashes) else np.zeros(len(found), bool)
-        new = first[~known]
         numbers = np.empty(len(found), np.int64)
         numbers[known] = self.numbers[at[known]]
-        numbers[~known] = self._add(data, starts[new], sizes[new])
+        new = first[~known]
         if len(new):
+            numbers[~known] = self._add(data, starts[new], sizes[new], heads[new])
             to = np.searchsorted(self.hashes, found[~known])
             self.hashes = np.insert(self.hashes, to, found[~known])
             self.numbers = np.insert(self.numbers, to, numbers[~known])
-        numbers = numbers[which]
-        wrong = self._wrong(data, starts, sizes, numbers)
-        for at in wrong.tolist():
+        by_place = np.empty(len(found), np.int64)
+        by_place[order] = numbers
+        numbers = by_place[which]
+        for at in self._wrong(data, starts, sizes, heads, numbers).tolist():
             value = data[starts[at] : ends[at]].tobytes()
             if value not in self.clashes:
-                self.clashes[value] = int(self._add(data, starts[at : at + 1], sizes[at : at + 1])[0])
+                one = slice(at, at + 1)
+                self.clashes[value] = int(self._add(data, starts[one], sizes[one], heads[one])[0])
             numbers[at] = self.clashes[value]
         return numbers
 
-    def _wrong(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+    def _wrong(
+        self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, heads: np.ndarray, numbers: np.ndarray
+    ) -> np.ndarray:
         """Which parts aren't, byte by byte, what their number stands for."""
-        other = self.sizes[numbers] != sizes
-        compared = np.where(other, 0, sizes)
-        same = data[_spread(starts, compared)] == self.blob[_spread(self.starts[numbers], compared)]
-        differs = np.flatnonzero(~same)
-        other[np.searchsorted(np.cumsum(compared), differs, side="right")] = True
+        kept = self.heads.take(numbers, axis=0)
+        other = (self.sizes[numbers] != sizes) | (kept[:, 0] != heads[:, 0]) | (kept[:, 1] != heads[:, 1])
+        long = np.flatnonzero((sizes > HEAD) & ~other)
+        if len(long):
+            rest = sizes[long] - HEAD
+            stored = _spread(self.starts[numbers[long]] + HEAD, rest)
+            differs = np.flatnonzero(data[_spread(starts[long] + HEAD, rest)] != self.blob[stored])
+            other[long[np.searchsorted(np.cumsum(rest), differs, side="right")]] = True
         return np.flatnonzero(other)
 
 
+def _heads(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The first bytes of each part as two words, 0 behind the part's end."""
+    padded = np.concatenate([data, np.zeros(HEAD, np.uint8)])
+    heads = np.lib.stride_tricks.sliding_window_view(padded, HEAD)[starts].view("<u8")
+    heads[:, 0] &= MASKS[np.minimum(sizes, WORD)]
+    heads[:, 1] &= MASKS[np.clip(sizes - WORD, 0, WORD)]
+    return heads
+
+
 def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """All places of the ranges that begin at `starts`, one range after the other."""
     return np.arange(sizes.sum()) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
@@ -116,7 +146,6 @@ class LibraryEncoder:
     are the ids of what was encoded; a part has one row or two.
     """
 
-    gap = SENTINEL
     lead_space = False
     not_plain: tuple[bytes, ...] = (b"\xc3\x97", b"\xc3\xb7")
 
@@ -127,7 +156,7 @@ class LibraryEncoder:
         self.library = Tokenizer.from_file(tokenizer)
         self.model = self.library.model
         self.added = {token.content.encode() for token in self.library.get_added_tokens_decoder().values() if token.content}
-        self.parts, self.units = Parts(self.gap), Parts()
+        self.parts, self.units = Parts(), Parts()
         self.forget()
 
     def forget(self) -> None:
