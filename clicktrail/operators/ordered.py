@@ -426,9 +426,10 @@ class HotKeys:
 def find_hot_keys(df: DataFrame, key: str, hot_rows: int | Skew = HOT_ROWS) -> HotKeys | None:
     """Count rows per key and return the hot keys, None if there are none.
 
-    The largest BROADCAST_KEYS + 1 keys at most reach the driver; if there are
-    that many, the hot keys aren't listed. (Taking the largest is one job; taking
-    any would try few partitions first, then more, in several.)
+    BROADCAST_KEYS + 1 keys at most reach the driver, whatever the number of
+    tasks; if there are that many, the hot keys aren't listed. (One task puts them
+    into one row. Taking the largest would send the driver as many from each task;
+    taking any would try few partitions first, then more, in several jobs.)
     """
     most = hot_rows.listed if isinstance(hot_rows, Skew) else BROADCAST_KEYS
     counts = (
@@ -436,7 +437,7 @@ def find_hot_keys(df: DataFrame, key: str, hot_rows: int | Skew = HOT_ROWS) -> H
         .agg(F.count("*").alias("_hot_rows"))
         .filter(F.col("_hot_rows") > rows_limit(hot_rows))
     )
-    found = counts.orderBy(F.desc("_hot_rows")).limit(most + 1).collect()
+    found = counts.limit(most + 1).agg(F.collect_list(F.struct("_hot_key", "_hot_rows")).alias("found")).first()["found"]
     if not found:
         return None
     if len(found) > most:

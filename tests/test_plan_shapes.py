@@ -149,6 +149,26 @@ def test_rows_of_many_hot_keys_never_move_by_key(events, checkpointed, name):
     assert "LeftSemi" in summaries[0]
 
 
+@pytest.mark.parametrize("listed", [3, 1000])
+def test_hot_keys_reach_the_driver_from_one_task(events, monkeypatch, listed):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    seen, real = [], DataFrame.collect
+
+    def collect(self):
+        found = real(self)
+        seen.append((len(found), plan(self)))
+        return found
+
+    monkeypatch.setattr(DataFrame, "collect", collect)
+    hot = o.find_hot_keys(events, "user_id", o.Skew(50, listed=listed))
+    assert hot.count >= 50 and (hot.keys is None) == (listed == 3)
+    assert seen
+    for rows, text in seen:
+        # Otherwise each task sends as many keys as may be listed.
+        assert rows == 1 and "TakeOrderedAndProject" not in text
+
+
 def test_summaries_are_of_keys_that_reach_over_a_slices_start(spark, events, monkeypatch):
     seen = []
     real = o.Ordered._carried
